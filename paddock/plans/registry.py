@@ -19,7 +19,7 @@ from pyspark.sql.types import TimestampNTZType
 from paddock.functions import scalars
 from paddock.operators import checks, incremental, merge, models
 from paddock.operators.enrich import enrich
-from paddock.plans import sinks
+from paddock.plans import pipeline, sinks
 from paddock.plans.standins import StandIns
 from paddock.schemas import (
     AVERAGE_SPEED_KEYS,
@@ -31,6 +31,7 @@ from paddock.schemas import (
 )
 from paddock.session import scratch_path, unique_table_name
 from paddock.sources import files
+from paddock.streaming import file_ingest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -583,3 +584,76 @@ def q_schema_sync(spark, sf_dir):
     sinks.sync_all_columns(spark, name, new.schema)
     sinks.append(new, name)
     return spark.table(name)
+
+
+# --- end-to-end: raw CSV files -> watermark -> star join -> partitioned table --------------------
+
+def _raw_files(spark: SparkSession, sf_dir: str) -> str:
+    """Export the stand-ins as raw CSV: car rows in two arrivals, and the dims."""
+    s = StandIns(spark, sf_dir)
+    root = scratch_path(spark, "raw")
+    car = s.car().withColumn("day", F.date_format("date", "yyyy-MM-dd"))
+    files.write_csv(s.drivers(), f"{root}/drivers")
+    files.write_csv(s.sessions(), f"{root}/sessions")
+    files.write_csv(
+        car.where(F.col("date") < ts_ntz(LOADED_BEFORE)),
+        f"{root}/car_data/arrival=1", columns=CAR_COLUMNS_A, nest_by="day",
+    )
+    return root
+
+
+def _second_arrival(spark: SparkSession, sf_dir: str, root: str) -> None:
+    car = StandIns(spark, sf_dir).car().withColumn("day", F.date_format("date", "yyyy-MM-dd"))
+    files.write_csv(
+        car.where(F.col("date") >= ts_ntz(LOADED_BEFORE)),
+        f"{root}/car_data/arrival=2", columns=CAR_COLUMNS_A, nest_by="day",
+    )
+
+
+def _raw_dims(spark: SparkSession, root: str):
+    drivers = files.read_drivers(spark, f"{root}/drivers")
+    sessions = files.read_sessions(
+        spark, f"{root}/sessions", ts_type=TimestampNTZType(), timestamp_ntz_format=files.TS_NTZ_FORMAT
+    )
+    return drivers, sessions
+
+
+def _raw_car(spark: SparkSession, root: str) -> DataFrame:
+    return files.read_car_csv(
+        spark, f"{root}/car_data", "A", recursive=True, ts_type=TimestampNTZType(),
+        timestamp_ntz_format=files.TS_NTZ_FORMAT,
+    )
+
+
+@register("ingest_pipeline", SQL_ENRICHED_YEAR)
+def q_ingest_pipeline(spark, sf_dir):
+    root = _raw_files(spark, sf_dir)
+    drivers, sessions = _raw_dims(spark, root)
+    name, path = _scratch_table(spark, "formula_one_car")
+    pipeline.run_ingest(spark, _raw_car(spark, root), drivers, sessions, name,
+                        partition_cols=FACT_PARTITIONS, path=path)
+    _second_arrival(spark, sf_dir, root)
+    pipeline.run_ingest(spark, _raw_car(spark, root), drivers, sessions, name,
+                        partition_cols=FACT_PARTITIONS, path=path)
+    return spark.table(name)
+
+
+@register("stream_ingest", SQL_ENRICHED_YEAR)
+def q_stream_ingest(spark, sf_dir):
+    root = _raw_files(spark, sf_dir)
+    drivers, sessions = _raw_dims(spark, root)
+    out, ckpt = f"{root}/fact_stream", f"{root}/fact_stream_checkpoint"
+    stream = file_ingest.car_stream(
+        spark, f"{root}/car_data", "A", ts_type=TimestampNTZType(),
+        timestampNTZFormat=files.TS_NTZ_FORMAT,
+    )
+    file_ingest.run_file_ingest_once(spark, stream, drivers, sessions, out, ckpt,
+                                     partition_cols=FACT_PARTITIONS)
+    _second_arrival(spark, sf_dir, root)
+    stream = file_ingest.car_stream(
+        spark, f"{root}/car_data", "A", ts_type=TimestampNTZType(),
+        timestampNTZFormat=files.TS_NTZ_FORMAT,
+    )
+    file_ingest.run_file_ingest_once(spark, stream, drivers, sessions, out, ckpt,
+                                     partition_cols=FACT_PARTITIONS)
+    return spark.read.parquet(out)
