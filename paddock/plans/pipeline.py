@@ -53,7 +53,19 @@ def _max_micros(df: DataFrame, column: str) -> tuple[int | None, int]:
     return row["wm"], int(row["n"])
 
 
-def _micros_literal(micros: int, dtype) :
+def _observed(obs: Observation) -> int | None:
+    """The observed count, or None when the observed node never ran.
+
+    AQE replaces a plan whose input turned out empty by an empty relation, and
+    the observation inside it is then never reported.
+    """
+    try:
+        return int(obs.get.get("n", 0))
+    except Exception:  # noqa: BLE001 - reported as a JVM assertion
+        return None
+
+
+def _micros_literal(micros: int, dtype):
     return F.timestamp_micros(F.lit(micros)).cast(dtype)
 
 
@@ -99,12 +111,20 @@ def run_ingest(
         sinks.create_table(enriched, table, partition_cols, fmt, path)
 
     wm_after, rows_after = _max_micros(spark.table(table), "date")
+    rows_written = _observed(obs_out)
+    if rows_written is None:
+        rows_written = rows_after - rows_before
+    new_rows = _observed(obs_new)
+    if new_rows is None:
+        # Only when AQE dropped the observed node (an empty side made the
+        # whole join empty); then count the filtered input directly.
+        new_rows = new.count()
     return RunReport(
         table=table,
         created=not exists,
         watermark_before=_to_datetime(spark, wm_micros, date_type),
-        new_fact_rows=int(obs_new.get.get("n", 0)),
-        rows_written=int(obs_out.get.get("n", 0)),
+        new_fact_rows=int(new_rows),
+        rows_written=int(rows_written),
         table_rows=rows_after,
         watermark_after=_to_datetime(spark, wm_after, date_type),
     )
