@@ -1,24 +1,29 @@
 """Upsert as a relational operator: source rows win, other target rows stay.
 
-``upsert_rows(target, source, keys)`` = ``source UNION ALL (target ANTI JOIN
-source ON keys)``.  Keys match with ``=`` by default, so a NULL key never
-matches and a NULL-keyed row is inserted again on every run; ``null_safe=True``
-matches NULLs with ``<=>`` instead.  Target rows whose key vanished from the
-source are kept (no deletes).
+``upsert_rows(target, source, keys)`` returns what ``source UNION ALL (target
+ANTI JOIN source ON keys)`` returns, computed as one full outer join so each
+side is read and shuffled once.  Keys match with ``=`` by default, so a NULL
+key never matches and a NULL-keyed row is inserted again on every run;
+``null_safe=True`` matches NULLs with ``<=>`` instead.  Target rows whose key
+vanished from the source are kept (no deletes).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_T, _S = "_t_", "_s_"
 
-def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False):
-    conds = [
-        left[k].eqNullSafe(right[k]) if null_safe else (left[k] == right[k]) for k in keys
-    ]
+
+def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False,
+                  left_prefix: str = "", right_prefix: str = "") -> Column:
+    conds = []
+    for k in keys:
+        a, b = left[f"{left_prefix}{k}"], right[f"{right_prefix}{k}"]
+        conds.append(a.eqNullSafe(b) if null_safe else (a == b))
     out = conds[0]
     for c in conds[1:]:
         out = out & c
@@ -33,10 +38,15 @@ def upsert_rows(
 ) -> DataFrame:
     """Merged rows in the target's column order.
 
-    The anti join shuffles both sides on the keys; each key is unique per side
-    (the sides are aggregates or checked with ``checks.duplicate_keys``), so a
-    hot key cannot pile up in one task.
+    Both sides are shuffled once on the keys.  Keys are unique per side (the
+    sides are aggregates, or the sink checks them first), so no key can pile
+    up in one task.
     """
-    src_keys = source.select(*[F.col(k) for k in keys])
-    kept = target.join(src_keys, key_condition(target, src_keys, keys, null_safe), "left_anti")
-    return source.select(*target.columns).unionByName(kept)
+    cols = target.columns
+    t = target.select(*[F.col(c).alias(_T + c) for c in cols], F.lit(True).alias("_t_hit"))
+    s = source.select(*[F.col(c).alias(_S + c) for c in cols], F.lit(True).alias("_s_hit"))
+    j = t.join(s, key_condition(t, s, keys, null_safe, _T, _S), "full_outer")
+    # A row that came from the source takes every value from the source.
+    return j.select(
+        *[F.when(F.col("_s_hit"), F.col(_S + c)).otherwise(F.col(_T + c)).alias(c) for c in cols]
+    )

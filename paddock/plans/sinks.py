@@ -162,6 +162,12 @@ def refresh(
 
 # --- K9 / K10: incremental merge (upsert) ---------------------------------------------------------
 
+# At most this many touched partition values are turned into a literal
+# partition filter; beyond it the touched set is applied as a semi-join
+# (the same rows, without planning-time pruning).
+MAX_PRUNING_VALUES = 10_000
+
+
 def upsert(
     source: DataFrame,
     name: str,
@@ -178,18 +184,22 @@ def upsert(
     the keys: a key can then only match inside its own partition, and only the
     partitions that ``source`` touches are read and rewritten.
 
+    Plan: the source is materialised once in the checkpoint folder (it is
+    used three times: key check, touched partitions, merge).  Its distinct
+    partition values -- one per touched day -- become a literal partition
+    filter on the target scan.  The merged rows are checkpointed too, because
+    they are read from the very partitions that the overwrite replaces.
+
     Source keys must be unique (a MERGE would refuse a double match; an
     anti-join would silently keep both), so they are checked first.
     """
     spark = source.sparkSession
     if partition_col not in keys:
         raise ValueError(f"partition column {partition_col!r} must be one of the keys {list(keys)}")
-    if check_keys and not duplicate_keys(source, list(keys)).isEmpty():
-        raise ValueError(f"upsert source has duplicate keys {list(keys)}")
-    if not table_exists(spark, name):
-        create_table(source, name, [partition_col], path=path)
-        return
-    if not is_file_table(spark, name):
+    exists = table_exists(spark, name)
+    if exists and not is_file_table(spark, name):
+        if check_keys and not duplicate_keys(source, list(keys)).isEmpty():
+            raise ValueError(f"upsert source has duplicate keys {list(keys)}")
         op = "<=>" if null_safe else "="
         cond = F.expr(" AND ".join(f"{name}.{k} {op} s.{k}" for k in keys))
         (
@@ -200,15 +210,27 @@ def upsert(
         )
         return
 
+    table_cols = spark.table(name).columns if exists else source.columns
+    src = detach(source.select(*table_cols))
+    if check_keys and not duplicate_keys(src, list(keys)).isEmpty():
+        raise ValueError(f"upsert source has duplicate keys {list(keys)}")
+    if not exists:
+        create_table(src, name, [partition_col], path=path)
+        return
+
     target = spark.table(name)
-    table_cols = target.columns
-    touched = source.select(partition_col).distinct()
-    # Semi-join on the partition column: only touched partitions are read
-    # (dynamic partition pruning turns the touched set into a scan filter).
-    affected = target.join(touched, partition_col, "left_semi")
-    merged = upsert_rows(affected, source.select(*table_cols), keys, null_safe)
-    staged = detach(merged)
-    writer = cluster_for_write(staged.select(*table_cols), [partition_col]).write.mode("overwrite")
+    touched_df = src.select(partition_col).distinct()
+    touched = [r[0] for r in touched_df.limit(MAX_PRUNING_VALUES + 1).collect()]
+    if len(touched) <= MAX_PRUNING_VALUES:
+        present = [v for v in touched if v is not None]
+        cond = F.col(partition_col).isin(present) if present else F.lit(False)
+        if len(present) < len(touched):
+            cond = cond | F.col(partition_col).isNull()
+        affected = target.where(cond)
+    else:
+        affected = target.join(touched_df, target[partition_col].eqNullSafe(touched_df[partition_col]), "left_semi")
+    staged = detach(upsert_rows(affected, src, keys, null_safe))
+    writer = cluster_for_write(staged, [partition_col]).write.mode("overwrite")
     with _dynamic_overwrite(spark):
         writer.insertInto(name)
 
