@@ -1,11 +1,12 @@
 """Dimension joins with a measured broadcast.
 
-A dimension is broadcast only after a bounded job has shown that it holds at
-most ``max_rows`` rows and ``max_bytes`` bytes.  The job reads at most
-``max_rows + 1`` rows per input partition, so it stays cheap even when the
-"dimension" turns out to be a large table; in that case the plain frame is
-returned and Spark plans a shuffle join (sort-merge, with AQE skew splitting
-for hot keys) instead.
+A dimension is broadcast only after it has been shown to hold at most
+``max_rows`` rows and ``max_bytes`` bytes.  The row bound is checked first by
+an incremental take that stops as soon as row ``max_rows + 1`` exists, so a
+"dimension" that turns out to be a large table costs a few partitions, not a
+scan; in that case the plain frame is returned and Spark plans a shuffle join
+(sort-merge, with AQE skew splitting for hot keys) instead.  Only a frame
+proven to be under the row cap is then aggregated for its exact byte size.
 """
 
 from __future__ import annotations
@@ -85,12 +86,21 @@ def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> SizeCheck:
 
 
 def _measure(df: DataFrame, max_rows: int) -> SizeCheck:
+    # Step 1: is there a row beyond the cap?  ``offset + limit`` at the end of
+    # a plan runs as an incremental take: Spark scans one partition, then
+    # more (x4 each round) only while it still lacks rows, and reads no
+    # columns it does not need.  A large frame is rejected after a few
+    # partitions instead of a full scan.
+    over = df.select(F.lit(1).alias("_one")).offset(max_rows).limit(1).collect()
+    if over:
+        return SizeCheck(rows=max_rows + 1, bytes=0, capped=True)
+    # Step 2: the frame has at most ``max_rows`` rows; add up its payload.
     cols = [_width(f.name, f.dataType) for f in df.schema.fields]
     row_bytes = sum(cols[1:], cols[0]) if cols else F.lit(0)
-    probe = df.limit(max_rows + 1).select(row_bytes.alias("_b"))
-    row = probe.agg(F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b")).first()
-    n = int(row["n"] or 0)
-    return SizeCheck(rows=n, bytes=int(row["b"] or 0), capped=n > max_rows)
+    row = df.select(row_bytes.alias("_b")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b")
+    ).first()
+    return SizeCheck(rows=int(row["n"] or 0), bytes=int(row["b"] or 0), capped=False)
 
 
 def dimension(
