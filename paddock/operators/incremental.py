@@ -8,8 +8,11 @@ everything" instead of "load nothing forever".
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampNTZType
 
 
 def high_watermark(target: DataFrame, column: str = "date") -> DataFrame:
@@ -43,15 +46,28 @@ def newer_than(
     return source.where(cond)
 
 
+def typed_literal(value, dtype: DataType) -> Column:
+    """A literal of the column's own type, built without any time-zone step.
+
+    A wall-clock ``TIMESTAMP_NTZ`` value goes through its text form (a zone-free
+    cast); every other value is a plain literal cast to the column type.
+    """
+    if isinstance(dtype, TimestampNTZType) and isinstance(value, datetime):
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
 def newer_than_value(source: DataFrame, column: str, watermark) -> DataFrame:
-    """Same filter with an already known watermark literal.
+    """Same filter with an already known watermark value.
 
     A literal (unlike a subquery) is pushed into the scan, so Parquet row
     groups and CSV rows below it are skipped at read time.  ``None`` = full load.
     """
     if watermark is None:
         return source
-    return source.where(F.col(column) > F.lit(watermark))
+    if not isinstance(watermark, Column):
+        watermark = typed_literal(watermark, source.schema[column].dataType)
+    return source.where(F.col(column) > watermark)
 
 
 def newer_than_sql(

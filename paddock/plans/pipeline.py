@@ -3,9 +3,10 @@
 One run is one pass over the raw files:
 
 1. If the target exists, one small job reads its ``max(date)`` (the column
-   alone, partial max per task).  The value is carried as epoch microseconds
-   and turned back into a timestamp literal inside the plan, so it never goes
-   through the driver's local time zone and it is pushed into the file scan.
+   alone, partial max per task).  The value is carried in a zone-free form
+   (epoch microseconds, or wall-clock text for TIMESTAMP_NTZ) and turned back
+   into a literal inside the plan, so no time zone touches it and it is
+   pushed into the file scan.
 2. Rows strictly newer than that watermark are joined to the dimensions and
    written (create on the first run, append afterwards).  Two observations
    taken *during* the write report the new fact rows before the joins and the
@@ -20,8 +21,9 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampNTZType
 
 from paddock.operators.enrich import enrich
 from paddock.plans import sinks
@@ -45,14 +47,26 @@ class RunReport:
         return asdict(self)
 
 
-def _max_micros(df: DataFrame, column: str) -> tuple[int | None, int]:
-    row = df.agg(
-        F.unix_micros(F.max(F.col(column)).cast("timestamp")).alias("wm"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
+def _watermark_token(df: DataFrame, column: str) -> tuple[int | str | None, int]:
+    """``(max(column), count)`` with the maximum in a zone-free form.
+
+    TIMESTAMP (an instant) travels as epoch microseconds; TIMESTAMP_NTZ (a
+    wall-clock value) as its text.  Neither passes through the driver's or the
+    session's time zone, so the value written back into the plan is exact.
+    """
+    m = F.max(F.col(column))
+    is_ntz = isinstance(df.schema[column].dataType, TimestampNTZType)
+    token = m.cast("string") if is_ntz else F.unix_micros(m)
+    row = df.agg(token.alias("wm"), F.count(F.lit(1)).alias("n")).first()
     return row["wm"], int(row["n"])
 
 
+def _token_literal(token: int | str, dtype: DataType) -> Column:
+    if isinstance(token, str):
+        return F.lit(token).cast(dtype)
+    return F.timestamp_micros(F.lit(token)).cast(dtype)
+
+
 def _observed(obs: Observation) -> int | None:
     """The observed count, or None when the observed node never ran.
 
@@ -65,14 +79,12 @@ def _observed(obs: Observation) -> int | None:
         return None
 
 
-def _micros_literal(micros: int, dtype):
-    return F.timestamp_micros(F.lit(micros)).cast(dtype)
-
-
-def _to_datetime(spark: SparkSession, micros: int | None, dtype) -> datetime | None:
-    if micros is None:
+def _to_datetime(spark: SparkSession, token: int | str | None, dtype: DataType) -> datetime | None:
+    if token is None:
         return None
-    return spark.range(1).select(_micros_literal(micros, dtype).alias("t")).first()["t"]
+    if isinstance(token, str):
+        return datetime.fromisoformat(token)
+    return spark.range(1).select(_token_literal(token, dtype).alias("t")).first()["t"]
 
 
 def run_ingest(
@@ -91,13 +103,13 @@ def run_ingest(
     """Load car rows newer than the table's watermark into ``table``."""
     date_type = car.schema["date"].dataType
     exists = sinks.table_exists(spark, table)
-    wm_micros, rows_before = (None, 0)
+    wm_token, rows_before = (None, 0)
     if exists:
-        wm_micros, rows_before = _max_micros(spark.table(table), "date")
+        wm_token, rows_before = _watermark_token(spark.table(table), "date")
     new = car
-    if wm_micros is not None:
+    if wm_token is not None:
         # Strict '>': a row that ties the watermark, or is older, is skipped.
-        new = car.where(F.col("date") > _micros_literal(wm_micros, date_type))
+        new = car.where(F.col("date") > _token_literal(wm_token, date_type))
 
     obs_new = Observation("new_fact_rows")
     obs_out = Observation("rows_written")
@@ -110,7 +122,7 @@ def run_ingest(
     else:
         sinks.create_table(enriched, table, partition_cols, fmt, path)
 
-    wm_after, rows_after = _max_micros(spark.table(table), "date")
+    wm_after, rows_after = _watermark_token(spark.table(table), "date")
     rows_written = _observed(obs_out)
     if rows_written is None:
         rows_written = rows_after - rows_before
@@ -122,7 +134,7 @@ def run_ingest(
     return RunReport(
         table=table,
         created=not exists,
-        watermark_before=_to_datetime(spark, wm_micros, date_type),
+        watermark_before=_to_datetime(spark, wm_token, date_type),
         new_fact_rows=int(new_rows),
         rows_written=int(rows_written),
         table_rows=rows_after,

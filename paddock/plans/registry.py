@@ -30,7 +30,7 @@ from paddock.schemas import (
     SESSION_COLUMNS,
 )
 from paddock.session import scratch_path, unique_table_name
-from paddock.sources import files
+from paddock.sources import files, tables
 from paddock.streaming import file_ingest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -657,3 +657,56 @@ def q_stream_ingest(spark, sf_dir):
     file_ingest.run_file_ingest_once(spark, stream, drivers, sessions, out, ckpt,
                                      partition_cols=FACT_PARTITIONS)
     return spark.read.parquet(out)
+
+
+# --- run report and catalog namespaces ---------------------------------------------------------
+
+SQL_INGEST_REPORT = f"""
+WITH {SQL_ENRICHED},
+r1 AS (
+  SELECT (SELECT COUNT(*) FROM car WHERE "date" < TIMESTAMP '{LOADED_BEFORE}') AS new_fact_rows,
+         (SELECT COUNT(*) FROM enriched WHERE "date" < TIMESTAMP '{LOADED_BEFORE}') AS rows_written,
+         (SELECT MAX("date") FROM enriched WHERE "date" < TIMESTAMP '{LOADED_BEFORE}') AS wm),
+r2 AS (
+  SELECT (SELECT COUNT(*) FROM car WHERE "date" > (SELECT wm FROM r1)) AS new_fact_rows,
+         (SELECT COUNT(*) FROM enriched WHERE "date" > (SELECT wm FROM r1)) AS rows_written,
+         (SELECT MAX("date") FROM enriched) AS wm)
+SELECT 1 AS run, TRUE AS created, CAST(NULL AS TIMESTAMP) AS watermark_before,
+       new_fact_rows, rows_written, rows_written AS table_rows, wm AS watermark_after
+FROM r1
+UNION ALL
+SELECT 2, FALSE, (SELECT wm FROM r1), new_fact_rows, rows_written,
+       (SELECT rows_written FROM r1) + rows_written, wm
+FROM r2"""
+
+
+@register("ingest_report", SQL_INGEST_REPORT)
+def q_ingest_report(spark, sf_dir):
+    """Two runs of the ingest over the stand-in car frame; one report row each."""
+    s = StandIns(spark, sf_dir)
+    car, drivers, sessions = s.car(), s.drivers(), s.sessions()
+    name, path = _scratch_table(spark, "fact_report")
+    r1 = pipeline.run_ingest(spark, car.where(F.col("date") < ts_ntz(LOADED_BEFORE)), drivers, sessions,
+                             name, partition_cols=FACT_PARTITIONS, path=path)
+    r2 = pipeline.run_ingest(spark, car, drivers, sessions, name, partition_cols=FACT_PARTITIONS)
+    rows = [
+        (i, r.created, r.watermark_before, r.new_fact_rows, r.rows_written, r.table_rows, r.watermark_after)
+        for i, r in ((1, r1), (2, r2))
+    ]
+    return spark.createDataFrame(
+        rows,
+        "run int, created boolean, watermark_before timestamp_ntz, new_fact_rows bigint, "
+        "rows_written bigint, table_rows bigint, watermark_after timestamp_ntz",
+    )
+
+
+@register("table_in_database", SQL_ENRICHED_YEAR)
+def q_table_in_database(spark, sf_dir):
+    """Create a namespace at a scratch location, then a managed table in it,
+    addressed by a three-part name."""
+    db = unique_table_name("paddock_db")
+    tables.ensure_database(spark, db, scratch_path(spark, "db"))
+    name = f"spark_catalog.{db}.formula_one_car"
+    created = sinks.create_or_append(_enriched(spark, sf_dir, add_year=True), name, FACT_PARTITIONS)
+    assert created and sinks.table_exists(spark, name)
+    return tables.read_table(spark, name)
