@@ -39,11 +39,16 @@ def summarize(failures: DataFrame, test_name: str) -> DataFrame:
     )
 
 
-def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Key combinations that occur more than once (any key NULL is ignored)."""
+def duplicate_keys(df: DataFrame, keys: list[str], include_nulls: bool = False) -> DataFrame:
+    """Key combinations that occur more than once.
+
+    Rows with a NULL key are ignored unless ``include_nulls`` (for null-safe
+    matching, where NULL keys do match each other).
+    """
     present = F.lit(True)
-    for k in keys:
-        present = present & F.col(k).isNotNull()
+    if not include_nulls:
+        for k in keys:
+            present = present & F.col(k).isNotNull()
     return (
         df.where(present)
         .groupBy(*keys)

@@ -1,11 +1,16 @@
-"""Upsert as a relational operator: source rows win, other target rows stay.
-
-``upsert_rows(target, source, keys)`` returns what ``source UNION ALL (target
-ANTI JOIN source ON keys)`` returns, computed as one full outer join so each
-side is read and shuffled once.  Keys match with ``=`` by default, so a NULL
-key never matches and a NULL-keyed row is inserted again on every run;
-``null_safe=True`` matches NULLs with ``<=>`` instead.  Target rows whose key
-vanished from the source are kept (no deletes).
+"""Upsert as a relational operator with SQL MERGE semantics.
+
+``upsert_rows(target, source, keys)`` is ``MERGE INTO target USING source ON
+keys WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *``: every
+target row matched by a source row takes that row's values, unmatched target
+rows stay (no deletes), unmatched source rows are inserted.  It is computed as
+one full outer join, so each side is read and shuffled once.  When the target
+keys are unique this equals ``source UNION ALL (target ANTI JOIN source)``.
+
+Keys match with ``=`` by default, so a NULL key never matches and a
+NULL-keyed row is inserted again on every run; ``null_safe=True`` matches NULLs
+with ``<=>`` instead.  Source keys must be unique (a MERGE refuses a target row
+matched twice); the table sink checks that before merging.
 """
 
 from __future__ import annotations

@@ -198,7 +198,7 @@ def upsert(
         raise ValueError(f"partition column {partition_col!r} must be one of the keys {list(keys)}")
     exists = table_exists(spark, name)
     if exists and not is_file_table(spark, name):
-        if check_keys and not duplicate_keys(source, list(keys)).isEmpty():
+        if check_keys and not duplicate_keys(source, list(keys), include_nulls=null_safe).isEmpty():
             raise ValueError(f"upsert source has duplicate keys {list(keys)}")
         op = "<=>" if null_safe else "="
         cond = F.expr(" AND ".join(f"{name}.{k} {op} s.{k}" for k in keys))
@@ -212,7 +212,7 @@ def upsert(
 
     table_cols = spark.table(name).columns if exists else source.columns
     src = detach(source.select(*table_cols))
-    if check_keys and not duplicate_keys(src, list(keys)).isEmpty():
+    if check_keys and not duplicate_keys(src, list(keys), include_nulls=null_safe).isEmpty():
         raise ValueError(f"upsert source has duplicate keys {list(keys)}")
     if not exists:
         create_table(src, name, [partition_col], path=path)
