@@ -656,7 +656,7 @@ def q_stream_ingest(spark, sf_dir):
     )
     file_ingest.run_file_ingest_once(spark, stream, drivers, sessions, out, ckpt,
                                      partition_cols=FACT_PARTITIONS)
-    return spark.read.parquet(out)
+    return file_ingest.read_output(spark, out, file_ingest.enriched_schema(stream, drivers, sessions))
 
 
 # --- run report and catalog namespaces ---------------------------------------------------------

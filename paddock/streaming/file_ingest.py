@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructType
 
 from paddock.operators.enrich import enrich
 from paddock.schemas import car_schema
@@ -71,6 +71,16 @@ def start_file_ingest(
     return w.start()
 
 
+def read_output(spark: SparkSession, out_path: str, schema: StructType) -> DataFrame:
+    """Read what the stream committed, with the declared column types.
+
+    The file sink's log lists only committed files (no partial batches), and a
+    given schema stops partition values such as a numeric-looking location
+    from being re-typed by inference.
+    """
+    return spark.read.schema(schema).parquet(out_path)
+
+
 def run_file_ingest_once(
     spark: SparkSession,
     car: DataFrame,
@@ -90,3 +100,8 @@ def run_file_ingest_once(
     if q.exception() is not None:
         raise q.exception()
     return q
+
+
+def enriched_schema(car: DataFrame, drivers: DataFrame, sessions: DataFrame) -> StructType:
+    """Schema of the stream's output rows (no job runs)."""
+    return enrich(car, drivers, sessions, add_year=True, broadcast=False).schema
