@@ -155,14 +155,60 @@ def refresh_daily_models(
     """Upsert both daily aggregates from the fact table.
 
     By default every day is recomputed (each run re-reads the whole fact).
-    With ``since`` only days at or after it are recomputed and upserted; that
-    is exact because a day's aggregate depends only on that day's rows.
+    With ``since`` only days at or after ``since``'s day are recomputed and
+    upserted; that is exact because a day's aggregate depends only on that
+    day's rows.  The day bound is pushed into the fact scan, and when the fact
+    is partitioned by ``year`` it also prunes older year partitions.
     """
     from paddock.operators import models
     from paddock.schemas import AVERAGE_SPEED_KEYS, AVG_SPEED_GEAR_KEYS
 
     fact = spark.table(fact_table)
     if since is not None:
-        fact = fact.where(F.col("date") >= F.to_date(F.lit(since)).cast(fact.schema["date"].dataType))
+        day = since.date() if isinstance(since, datetime) else since
+        date_type = fact.schema["date"].dataType
+        cond = F.col("date") >= F.lit(day.isoformat()).cast(date_type)
+        if "year" in sinks.partition_columns(spark, fact_table):
+            cond = cond & (F.col("year") >= F.lit(day.year))
+        fact = fact.where(cond)
     sinks.upsert(models.average_speed(fact), average_speed_table, AVERAGE_SPEED_KEYS, path=path_average_speed)
     sinks.upsert(models.avg_speed_gear(fact), avg_speed_gear_table, AVG_SPEED_GEAR_KEYS, path=path_avg_speed_gear)
+
+
+@dataclass
+class DailyTables:
+    fact: str
+    average_speed: str
+    avg_speed_gear: str
+    fact_path: str | None = None
+    average_speed_path: str | None = None
+    avg_speed_gear_path: str | None = None
+
+
+def run_daily(
+    spark: SparkSession,
+    car: DataFrame,
+    drivers: DataFrame,
+    sessions: DataFrame,
+    tables: DailyTables,
+    *,
+    partition_cols: Sequence[str] = ("year", "location", "full_name"),
+    incremental_models: bool = True,
+) -> RunReport:
+    """One scheduled run: ingest new car rows, then bring both aggregates up to date.
+
+    New rows are strictly newer than the watermark the run started from, so
+    only days from that watermark's day onward can change; with
+    ``incremental_models`` just those days are recomputed (a first run, with
+    no watermark, recomputes everything).  ``incremental_models=False``
+    recomputes every day, as the SQL models do.
+    """
+    report = run_ingest(spark, car, drivers, sessions, tables.fact,
+                        partition_cols=partition_cols, path=tables.fact_path)
+    if report.wrote or not sinks.table_exists(spark, tables.average_speed):
+        since = report.watermark_before if incremental_models else None
+        refresh_daily_models(
+            spark, tables.fact, tables.average_speed, tables.avg_speed_gear, since=since,
+            path_average_speed=tables.average_speed_path, path_avg_speed_gear=tables.avg_speed_gear_path,
+        )
+    return report

@@ -710,3 +710,29 @@ def q_table_in_database(spark, sf_dir):
     created = sinks.create_or_append(_enriched(spark, sf_dir, add_year=True), name, FACT_PARTITIONS)
     assert created and sinks.table_exists(spark, name)
     return tables.read_table(spark, name)
+
+
+def _daily_scenario(spark: SparkSession, sf_dir: str, stem: str) -> pipeline.DailyTables:
+    """Two scheduled runs: the rows before the cut-off, then all rows."""
+    s = StandIns(spark, sf_dir)
+    car, drivers, sessions = s.car(), s.drivers(), s.sessions()
+    names = {k: _scratch_table(spark, f"{stem}_{k}") for k in ("fact", "avg", "gear")}
+    t = pipeline.DailyTables(
+        fact=names["fact"][0], average_speed=names["avg"][0], avg_speed_gear=names["gear"][0],
+        fact_path=names["fact"][1], average_speed_path=names["avg"][1], avg_speed_gear_path=names["gear"][1],
+    )
+    pipeline.run_daily(spark, car.where(F.col("date") < ts_ntz(LOADED_BEFORE)), drivers, sessions, t,
+                       partition_cols=FACT_PARTITIONS)
+    pipeline.run_daily(spark, car, drivers, sessions, t, partition_cols=FACT_PARTITIONS)
+    return t
+
+
+@register("daily_average_speed", f"WITH {SQL_ENRICHED} {SQL_AVG.format(src='enriched')}")
+def q_daily_average_speed(spark, sf_dir):
+    """The incremental daily job's average_speed table equals a full recompute."""
+    return spark.table(_daily_scenario(spark, sf_dir, "daily").average_speed)
+
+
+@register("daily_avg_speed_gear", f"WITH {SQL_ENRICHED} {SQL_AVG_GEAR.format(src='enriched')}")
+def q_daily_avg_speed_gear(spark, sf_dir):
+    return spark.table(_daily_scenario(spark, sf_dir, "daily").avg_speed_gear)
