@@ -11,6 +11,7 @@ proven to be under the row cap is then aggregated for its exact byte size.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -62,8 +63,10 @@ def _width(name: str, dtype: DataType) -> Column:
 # Size checks already made, keyed by the frame's semantic plan hash and its
 # exact input files.  Table writes add files with new names, so new data
 # yields a new key; a frame without input files (local data) is keyed by its
-# plan alone.
-_MEASURED: dict[tuple, SizeCheck] = {}
+# plan alone.  Entries expire, so a file replaced in place under the same name
+# (a daily dimension export) is measured again in a long-lived session.
+_MEASURED: dict[tuple, tuple[float, SizeCheck]] = {}
+MEASURE_TTL_SECONDS = 15 * 60
 
 
 def _cache_key(df: DataFrame, max_rows: int) -> tuple | None:
@@ -77,11 +80,14 @@ def _cache_key(df: DataFrame, max_rows: int) -> tuple | None:
 def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> SizeCheck:
     """Count rows and payload bytes, reading at most ``max_rows + 1`` rows."""
     key = _cache_key(df, max_rows)
+    now = time.monotonic()
     if key is not None and key in _MEASURED:
-        return _MEASURED[key]
+        at, check = _MEASURED[key]
+        if now - at < MEASURE_TTL_SECONDS:
+            return check
     check = _measure(df, max_rows)
     if key is not None:
-        _MEASURED[key] = check
+        _MEASURED[key] = (now, check)
     return check
 
 

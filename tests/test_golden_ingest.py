@@ -249,3 +249,21 @@ def test_run_daily_incremental_models_equal_full_recompute(spark, raw):
         q.explain("formatted")
     assert "PartitionFilters: [isnotnull(year" in buf.getvalue()
     assert "GreaterThanOrEqual(date," in buf.getvalue()
+
+
+def test_second_job_layout_b_glob_no_year(spark, raw):
+    """Layout B files read through a one-level glob, no year column, and the
+    table partitioned by team and driver."""
+    from paddock.schemas import CAR_COLUMNS_B
+
+    write_text(f"{raw}/car_b/batch1.csv", _csv(CAR_COLUMNS_B, _car_rows(BATCH1)))
+    drivers, sessions = _dims(spark, raw)
+    car = files.read_car_csv(spark, f"{raw}/car_b/*.csv", "B", recursive=False)
+    name = f"golden_b_{uuid.uuid4().hex[:8]}"
+    r = pipeline.run_ingest(spark, car, drivers, sessions, name, add_year=False,
+                            partition_cols=("team_name", "full_name"), path=f"{raw}/tables/{name}")
+    assert (r.new_fact_rows, r.rows_written) == (6, 6)
+    t = spark.table(name)
+    assert "year" not in t.columns
+    assert sinks.partition_columns(spark, name) == ["team_name", "full_name"]
+    assert sorted(r.speed for r in t.collect()) == [280, 280, 290, 290, 300, 310]
