@@ -80,11 +80,13 @@ def _observed(obs: Observation) -> int | None:
 
 
 def _to_datetime(spark: SparkSession, token: int | str | None, dtype: DataType) -> datetime | None:
+    """The watermark as the value a collected row would hold (no Spark job):
+    wall-clock text as is, an instant as local time like PySpark returns it."""
     if token is None:
         return None
     if isinstance(token, str):
         return datetime.fromisoformat(token)
-    return spark.range(1).select(_token_literal(token, dtype).alias("t")).first()["t"]
+    return datetime.fromtimestamp(token // 1_000_000).replace(microsecond=token % 1_000_000)
 
 
 def run_ingest(
