@@ -104,6 +104,7 @@ def run_ingest(
 ) -> RunReport:
     """Load car rows newer than the table's watermark into ``table``."""
     date_type = car.schema["date"].dataType
+    sinks.attach_if_present(spark, table, path, fmt)
     exists = sinks.table_exists(spark, table)
     wm_token, rows_before = (None, 0)
     if exists:
@@ -196,6 +197,8 @@ def run_daily(
     *,
     partition_cols: Sequence[str] = ("year", "location", "full_name"),
     incremental_models: bool = True,
+    add_year: bool = True,
+    driver_keys: Sequence[str] = ("driver_number",),
 ) -> RunReport:
     """One scheduled run: ingest new car rows, then bring both aggregates up to date.
 
@@ -205,8 +208,8 @@ def run_daily(
     no watermark, recomputes everything).  ``incremental_models=False``
     recomputes every day, as the SQL models do.
     """
-    report = run_ingest(spark, car, drivers, sessions, tables.fact,
-                        partition_cols=partition_cols, path=tables.fact_path)
+    report = run_ingest(spark, car, drivers, sessions, tables.fact, partition_cols=partition_cols,
+                        add_year=add_year, driver_keys=driver_keys, path=tables.fact_path)
     if report.wrote or not sinks.table_exists(spark, tables.average_speed):
         since = report.watermark_before if incremental_models else None
         refresh_daily_models(

@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -63,6 +64,26 @@ def is_file_table(spark: SparkSession, name: str) -> bool:
     return (table_provider(spark, name) or "parquet") in FILE_PROVIDERS
 
 
+def attach_if_present(spark: SparkSession, name: str, path: str | None, fmt: str = "parquet") -> bool:
+    """Register an existing table folder under ``name`` if the catalog lacks it.
+
+    With Spark's in-memory catalog a table disappears when the process ends;
+    a scheduled job started anew finds yesterday's table at its location and
+    re-attaches it (schema and partition columns are read from the folder,
+    then the partitions are registered).  Returns True if it attached one.
+    """
+    if not path or table_exists(spark, name):
+        return False
+    try:
+        spark.read.format(fmt).load(path)
+    except AnalysisException:  # no such folder, or no data files in it
+        return False
+    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
+    if partition_columns(spark, name):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return True
+
+
 def cluster_for_write(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """Group rows by output partition before a partitioned file write."""
     return df.hint("rebalance", *partition_cols) if partition_cols else df
@@ -196,6 +217,7 @@ def upsert(
     spark = source.sparkSession
     if partition_col not in keys:
         raise ValueError(f"partition column {partition_col!r} must be one of the keys {list(keys)}")
+    attach_if_present(spark, name, path)
     exists = table_exists(spark, name)
     if exists and not is_file_table(spark, name):
         if check_keys and not duplicate_keys(source, list(keys), include_nulls=null_safe).isEmpty():

@@ -267,3 +267,34 @@ def test_second_job_layout_b_glob_no_year(spark, raw):
     assert "year" not in t.columns
     assert sinks.partition_columns(spark, name) == ["team_name", "full_name"]
     assert sorted(r.speed for r in t.collect()) == [280, 280, 290, 290, 300, 310]
+
+
+def test_daily_job_command_line(raw):
+    """The submit entry point runs twice in its own process and reports JSON."""
+    import json
+    import subprocess
+    import sys
+
+    from conftest import REPO
+
+    args = [
+        sys.executable, str(REPO / "paddock" / "plans" / "daily_job.py"),
+        "--car", f"{raw}/car_data", "--recursive",
+        "--drivers", f"{raw}/drivers.csv", "--sessions", f"{raw}/sessions.csv",
+        "--fact", "cli_fact", "--fact-path", f"{raw}/tables/cli_fact",
+        "--partition-by", "year,location",
+    ]
+    # One process per run, like a daily submit; the table lives at its path.
+    first = subprocess.run(args, capture_output=True, text=True, timeout=300)
+    assert first.returncode == 0, first.stderr[-3000:]
+    rep = json.loads(first.stdout.strip().splitlines()[-1])
+    assert (rep["created"], rep["rows_written"], rep["table_rows"]) == (True, 6, 6)
+    assert rep["watermark_after"] == "2023-09-22T05:00:01"
+
+    write_text(f"{raw}/car_data/2023/09/batch2.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH2)))
+    second = subprocess.run(args, capture_output=True, text=True, timeout=300)
+    assert second.returncode == 0, second.stderr[-3000:]
+    rep = json.loads(second.stdout.strip().splitlines()[-1])
+    # A new process: the table is found at its location and only c8 is new.
+    assert (rep["created"], rep["new_fact_rows"], rep["rows_written"], rep["table_rows"]) == (False, 1, 2, 8)
+    assert rep["watermark_before"] == "2023-09-22T05:00:01"
