@@ -234,29 +234,55 @@ def upsert(
 
     table_cols = spark.table(name).columns if exists else source.columns
     src = detach(source.select(*table_cols))
-    if check_keys and not duplicate_keys(src, list(keys), include_nulls=null_safe).isEmpty():
+    dup, touched, null_part = _profile_source(src, list(keys), partition_col, null_safe)
+    if check_keys and dup:
         raise ValueError(f"upsert source has duplicate keys {list(keys)}")
     if not exists:
         create_table(src, name, [partition_col], path=path)
         return
 
     target = spark.table(name)
-    touched_df = src.select(partition_col).distinct()
-    touched = [r[0] for r in touched_df.limit(MAX_PRUNING_VALUES + 1).collect()]
-    if len(touched) <= MAX_PRUNING_VALUES:
-        present = [v for v in touched if v is not None]
-        cond = F.col(partition_col).isin(present) if present else F.lit(False)
-        if len(present) < len(touched):
+    if touched is not None:
+        cond = F.col(partition_col).isin(touched) if touched else F.lit(False)
+        if null_part:
             cond = cond | F.col(partition_col).isNull()
         affected = target.where(cond)
     else:
-        affected = target.join(touched_df, target[partition_col].eqNullSafe(touched_df[partition_col]), "left_semi")
+        touched_df = src.select(partition_col).distinct()
+        affected = target.join(
+            touched_df, target[partition_col].eqNullSafe(touched_df[partition_col]), "left_semi"
+        )
     staged = detach(upsert_rows(affected, src, keys, null_safe))
     writer = cluster_for_write(staged, [partition_col]).write.mode("overwrite")
     with _dynamic_overwrite(spark):
         writer.insertInto(name)
 
 
+def _profile_source(src: DataFrame, keys: list[str], partition_col: str, null_safe: bool):
+    """One pass over the source: (duplicate keys?, touched partition values or
+    None when there are more than MAX_PRUNING_VALUES, NULL partition touched?).
+
+    Keys are grouped first (partial counts per task), so the final single-row
+    aggregate sees one row per key.  The touched values are partition folder
+    names, as many as the table has partitions at most.
+    """
+    per_key = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counted = F.col("_n")
+    if not null_safe:
+        present = F.lit(True)
+        for k in keys:
+            present = present & F.col(k).isNotNull()
+        counted = F.when(present, counted)
+    values = F.collect_set(partition_col)
+    row = per_key.agg(
+        F.max(counted).alias("max_n"),
+        F.when(F.size(values) <= MAX_PRUNING_VALUES, values).alias("parts"),
+        F.max(F.col(partition_col).isNull()).alias("null_part"),
+    ).first()
+    dup = (row["max_n"] or 0) > 1
+    return dup, row["parts"], bool(row["null_part"])
+
+
 class _dynamic_overwrite:
     """Overwrite only the partitions present in the written data."""
 

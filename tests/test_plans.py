@@ -119,3 +119,41 @@ def test_ntz_watermark_round_trip_ignores_session_zone(spark):
         assert pipeline._to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 10, 2, 30, 0, 123456)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_upsert_keeps_rows_of_a_rewritten_null_partition(spark, workdir):
+    import datetime as dt
+    import uuid
+
+    from paddock.plans import sinks
+    from paddock.schemas import AVERAGE_SPEED_KEYS
+
+    schema = "team_name string, full_name string, location string, date date, average_speed double"
+    d1 = dt.date(2024, 1, 1)
+    for null_safe, want in ((False, [("None", 1.0), ("None", 2.0), ("2024-01-01", 1.0)]),
+                            (True, [("None", 2.0), ("2024-01-01", 1.0)])):
+        name = f"nullpart_{uuid.uuid4().hex[:8]}"
+        t = spark.createDataFrame([("T", "D", "L", None, 1.0), ("T", "D", "L", d1, 1.0)], schema)
+        sinks.upsert(t, name, AVERAGE_SPEED_KEYS, path=f"{workdir}/{name}", null_safe=null_safe)
+        s = spark.createDataFrame([("T", "D", "L", None, 2.0)], schema)
+        sinks.upsert(s, name, AVERAGE_SPEED_KEYS, null_safe=null_safe)
+        got = sorted((str(r.date), r.average_speed) for r in spark.table(name).collect())
+        assert got == sorted(want), (null_safe, got)
+
+
+def test_upsert_duplicate_null_keys_only_matter_when_null_safe(spark, workdir):
+    import datetime as dt
+    import uuid
+
+    import pytest
+
+    from paddock.plans import sinks
+    from paddock.schemas import AVERAGE_SPEED_KEYS
+
+    schema = "team_name string, full_name string, location string, date date, average_speed double"
+    rows = [(None, "D", "L", dt.date(2024, 1, 1), 1.0), (None, "D", "L", dt.date(2024, 1, 1), 2.0)]
+    sinks.upsert(spark.createDataFrame(rows, schema), f"dn_{uuid.uuid4().hex[:8]}", AVERAGE_SPEED_KEYS,
+                 path=f"{workdir}/a")
+    with pytest.raises(ValueError):
+        sinks.upsert(spark.createDataFrame(rows, schema), f"dn_{uuid.uuid4().hex[:8]}", AVERAGE_SPEED_KEYS,
+                     path=f"{workdir}/b", null_safe=True)
