@@ -53,9 +53,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     The cluster names it in ``spark.checkpoint.dir``; that value always wins.
-    Only when it is unset (local runs, tests) a fresh temporary folder is
-    created and registered, so staged data never lands in a machine-local
-    folder on a real cluster.
+    Only when it is unset *and* the master is local (tests, local runs) a fresh
+    temporary folder is created and registered; on a cluster an unset value is
+    an error, so staged data never lands in a machine-local folder.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -69,6 +69,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # SparkContext appends a random sub-folder; use its parent as root.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster it must name a shared "
+            "folder (staged tables and checkpoints are read back by other executors)"
+        )
     local = tempfile.mkdtemp(prefix="paddock-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/").rsplit("/", 1)[0]
