@@ -43,7 +43,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def main(argv: list[str] | None = None) -> dict:
-    from paddock.plans import pipeline
+    from paddock.plans import ingest
     from paddock.session import build_session
     from paddock.sources import files, tables
 
@@ -57,14 +57,14 @@ def main(argv: list[str] | None = None) -> dict:
     parts = tuple(c for c in a.partition_by.split(",") if c)
     keys = tuple(c for c in a.driver_keys.split(",") if c)
     if a.average_speed and a.avg_speed_gear:
-        report = pipeline.run_daily(
+        report = ingest.run_daily(
             spark, car, drivers, sessions,
-            pipeline.DailyTables(a.fact, a.average_speed, a.avg_speed_gear, fact_path=a.fact_path),
+            ingest.DailyTables(a.fact, a.average_speed, a.avg_speed_gear, fact_path=a.fact_path),
             partition_cols=parts, incremental_models=not a.full_model_refresh,
             add_year=not a.no_year, driver_keys=keys,
         )
     else:
-        report = pipeline.run_ingest(spark, car, drivers, sessions, a.fact, partition_cols=parts,
+        report = ingest.run_ingest(spark, car, drivers, sessions, a.fact, partition_cols=parts,
                                      add_year=not a.no_year, driver_keys=keys, path=a.fact_path)
     out = {k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in report.as_dict().items()}
     print(json.dumps(out))

@@ -19,7 +19,7 @@ from pyspark.sql.types import TimestampNTZType
 from paddock.functions import scalars
 from paddock.operators import checks, incremental, merge, models
 from paddock.operators.enrich import enrich
-from paddock.plans import pipeline, sinks, sql_models
+from paddock.plans import ingest, sinks, sql_models
 from paddock.plans.standins import StandIns
 from paddock.schemas import (
     AVERAGE_SPEED_KEYS,
@@ -625,15 +625,15 @@ def _raw_car(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-@register("ingest_pipeline", SQL_ENRICHED_YEAR)
-def q_ingest_pipeline(spark, sf_dir):
+@register("ingest_csv_runs", SQL_ENRICHED_YEAR)
+def q_ingest_csv_runs(spark, sf_dir):
     root = _raw_files(spark, sf_dir)
     drivers, sessions = _raw_dims(spark, root)
     name, path = _scratch_table(spark, "formula_one_car")
-    pipeline.run_ingest(spark, _raw_car(spark, root), drivers, sessions, name,
+    ingest.run_ingest(spark, _raw_car(spark, root), drivers, sessions, name,
                         partition_cols=FACT_PARTITIONS, path=path)
     _second_arrival(spark, sf_dir, root)
-    pipeline.run_ingest(spark, _raw_car(spark, root), drivers, sessions, name,
+    ingest.run_ingest(spark, _raw_car(spark, root), drivers, sessions, name,
                         partition_cols=FACT_PARTITIONS, path=path)
     return spark.table(name)
 
@@ -686,9 +686,9 @@ def q_ingest_report(spark, sf_dir):
     s = StandIns(spark, sf_dir)
     car, drivers, sessions = s.car(), s.drivers(), s.sessions()
     name, path = _scratch_table(spark, "fact_report")
-    r1 = pipeline.run_ingest(spark, car.where(F.col("date") < ts_ntz(LOADED_BEFORE)), drivers, sessions,
+    r1 = ingest.run_ingest(spark, car.where(F.col("date") < ts_ntz(LOADED_BEFORE)), drivers, sessions,
                              name, partition_cols=FACT_PARTITIONS, path=path)
-    r2 = pipeline.run_ingest(spark, car, drivers, sessions, name, partition_cols=FACT_PARTITIONS)
+    r2 = ingest.run_ingest(spark, car, drivers, sessions, name, partition_cols=FACT_PARTITIONS)
     rows = [
         (i, r.created, r.watermark_before, r.new_fact_rows, r.rows_written, r.table_rows, r.watermark_after)
         for i, r in ((1, r1), (2, r2))
@@ -712,18 +712,18 @@ def q_table_in_database(spark, sf_dir):
     return tables.read_table(spark, name)
 
 
-def _daily_scenario(spark: SparkSession, sf_dir: str, stem: str) -> pipeline.DailyTables:
+def _daily_scenario(spark: SparkSession, sf_dir: str, stem: str) -> ingest.DailyTables:
     """Two scheduled runs: the rows before the cut-off, then all rows."""
     s = StandIns(spark, sf_dir)
     car, drivers, sessions = s.car(), s.drivers(), s.sessions()
     names = {k: _scratch_table(spark, f"{stem}_{k}") for k in ("fact", "avg", "gear")}
-    t = pipeline.DailyTables(
+    t = ingest.DailyTables(
         fact=names["fact"][0], average_speed=names["avg"][0], avg_speed_gear=names["gear"][0],
         fact_path=names["fact"][1], average_speed_path=names["avg"][1], avg_speed_gear_path=names["gear"][1],
     )
-    pipeline.run_daily(spark, car.where(F.col("date") < ts_ntz(LOADED_BEFORE)), drivers, sessions, t,
+    ingest.run_daily(spark, car.where(F.col("date") < ts_ntz(LOADED_BEFORE)), drivers, sessions, t,
                        partition_cols=FACT_PARTITIONS)
-    pipeline.run_daily(spark, car, drivers, sessions, t, partition_cols=FACT_PARTITIONS)
+    ingest.run_daily(spark, car, drivers, sessions, t, partition_cols=FACT_PARTITIONS)
     return t
 
 

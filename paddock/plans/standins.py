@@ -1,4 +1,4 @@
-"""Map the shared test tables onto the roles the pipeline expects.
+"""Map the shared test tables onto the roles the ingest expects.
 
 The test data has no telemetry files, so:
 

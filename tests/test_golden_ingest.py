@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import write_text
 from paddock.operators import models
-from paddock.plans import pipeline, sinks
+from paddock.plans import ingest, sinks
 from paddock.schemas import AVERAGE_SPEED_KEYS, AVG_SPEED_GEAR_KEYS, CAR_COLUMNS_A, DRIVER_COLUMNS, SESSION_COLUMNS
 from paddock.sources import files
 
@@ -76,19 +76,19 @@ def test_three_runs(spark, raw):
     name = f"golden_fact_{uuid.uuid4().hex[:8]}"
     path = f"{raw}/tables/{name}"
 
-    r1 = pipeline.run_ingest(spark, _car(spark, raw), drivers, sessions, name, path=path)
+    r1 = ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, name, path=path)
     assert r1.created
     assert (r1.new_fact_rows, r1.rows_written, r1.table_rows) == (6, 6, 6)
     assert r1.watermark_after == _ts("2023-09-22 05:00:01")
 
     write_text(f"{raw}/car_data/2023/09/batch2.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH2)))
-    r2 = pipeline.run_ingest(spark, _car(spark, raw), drivers, sessions, name)
+    r2 = ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, name)
     assert not r2.created
     assert r2.watermark_before == _ts("2023-09-22 05:00:01")
     assert (r2.new_fact_rows, r2.rows_written, r2.table_rows) == (1, 2, 8)
     assert r2.watermark_after == _ts("2023-09-22 05:00:02")
 
-    r3 = pipeline.run_ingest(spark, _car(spark, raw), drivers, sessions, name)
+    r3 = ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, name)
     assert (r3.new_fact_rows, r3.rows_written, r3.table_rows) == (0, 0, 8)
     assert r3.watermark_after == r2.watermark_after
     assert not r3.wrote
@@ -108,9 +108,9 @@ def test_three_runs(spark, raw):
 def test_empty_target_means_full_load(spark, raw):
     drivers, sessions = _dims(spark, raw)
     name = f"golden_empty_{uuid.uuid4().hex[:8]}"
-    empty = pipeline.enrich(_car(spark, raw), drivers, sessions, add_year=True).limit(0)
+    empty = ingest.enrich(_car(spark, raw), drivers, sessions, add_year=True).limit(0)
     sinks.create_table(empty, name, ["year", "location", "full_name"], path=f"{raw}/tables/{name}")
-    r = pipeline.run_ingest(spark, _car(spark, raw), drivers, sessions, name)
+    r = ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, name)
     assert r.watermark_before is None
     assert (r.new_fact_rows, r.rows_written, r.table_rows) == (6, 6, 6)
     assert r.watermark_after == _ts("2023-09-22 05:00:01")
@@ -137,8 +137,8 @@ def test_daily_aggregates_upsert(spark, raw):
     drivers, sessions = _dims(spark, raw)
     fact = f"golden_fact_{uuid.uuid4().hex[:8]}"
     avg_t, gear_t = f"golden_avg_{uuid.uuid4().hex[:8]}", f"golden_gear_{uuid.uuid4().hex[:8]}"
-    pipeline.run_ingest(spark, _car(spark, raw), drivers, sessions, fact, path=f"{raw}/tables/{fact}")
-    pipeline.refresh_daily_models(spark, fact, avg_t, gear_t,
+    ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, fact, path=f"{raw}/tables/{fact}")
+    ingest.refresh_daily_models(spark, fact, avg_t, gear_t,
                                   path_average_speed=f"{raw}/tables/{avg_t}",
                                   path_avg_speed_gear=f"{raw}/tables/{gear_t}")
     assert _avg(spark.table(avg_t).collect()) == [
@@ -153,8 +153,8 @@ def test_daily_aggregates_upsert(spark, raw):
     ]
 
     write_text(f"{raw}/car_data/2023/09/batch2.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH2)))
-    pipeline.run_ingest(spark, _car(spark, raw), drivers, sessions, fact)
-    pipeline.refresh_daily_models(spark, fact, avg_t, gear_t)
+    ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, fact)
+    ingest.refresh_daily_models(spark, fact, avg_t, gear_t)
     assert _avg(spark.table(avg_t).collect()) == [
         ("Red", "Max V", "Monza", "2023-09-01", 305.0),
         ("Silver", "Lewis H", "Monza", "2023-09-01", 290.0),
@@ -169,14 +169,14 @@ def test_daily_aggregates_upsert(spark, raw):
 
     # Upserting the same source again changes nothing, and keys stay unique.
     before = _avg(spark.table(avg_t).collect())
-    pipeline.refresh_daily_models(spark, fact, avg_t, gear_t)
+    ingest.refresh_daily_models(spark, fact, avg_t, gear_t)
     assert _avg(spark.table(avg_t).collect()) == before
     for t, keys in ((avg_t, AVERAGE_SPEED_KEYS), (gear_t, AVG_SPEED_GEAR_KEYS)):
         df = spark.table(t)
         assert df.count() == df.select(*keys).distinct().count()
 
     # Recomputing only the touched day gives the same table.
-    pipeline.refresh_daily_models(spark, fact, avg_t, gear_t, since=dt.datetime(2023, 9, 22))
+    ingest.refresh_daily_models(spark, fact, avg_t, gear_t, since=dt.datetime(2023, 9, 22))
     assert _avg(spark.table(avg_t).collect()) == before
 
 
@@ -218,14 +218,14 @@ def test_run_daily_incremental_models_equal_full_recompute(spark, raw):
 
     drivers, sessions = _dims(spark, raw)
     u = uuid.uuid4().hex[:8]
-    t = pipeline.DailyTables(
+    t = ingest.DailyTables(
         fact=f"daily_fact_{u}", average_speed=f"daily_avg_{u}", avg_speed_gear=f"daily_gear_{u}",
         fact_path=f"{raw}/tables/fact_{u}", average_speed_path=f"{raw}/tables/avg_{u}",
         avg_speed_gear_path=f"{raw}/tables/gear_{u}",
     )
-    r1 = pipeline.run_daily(spark, _car(spark, raw), drivers, sessions, t)
+    r1 = ingest.run_daily(spark, _car(spark, raw), drivers, sessions, t)
     write_text(f"{raw}/car_data/2023/09/batch2.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH2)))
-    r2 = pipeline.run_daily(spark, _car(spark, raw), drivers, sessions, t)
+    r2 = ingest.run_daily(spark, _car(spark, raw), drivers, sessions, t)
     assert (r1.rows_written, r2.rows_written) == (6, 2)
     assert _avg(spark.table(t.average_speed).collect()) == [
         ("Red", "Max V", "Monza", "2023-09-01", 305.0),
@@ -235,7 +235,7 @@ def test_run_daily_incremental_models_equal_full_recompute(spark, raw):
     full = models.avg_speed_gear(spark.table(t.fact))
     assert _avg(spark.table(t.avg_speed_gear).collect(), True) == _avg(full.collect(), True)
     # A run with nothing new leaves both tables as they are.
-    r3 = pipeline.run_daily(spark, _car(spark, raw), drivers, sessions, t)
+    r3 = ingest.run_daily(spark, _car(spark, raw), drivers, sessions, t)
     assert r3.rows_written == 0
     assert _avg(spark.table(t.average_speed).collect())[-1][-1] == 275.0
 
@@ -260,7 +260,7 @@ def test_second_job_layout_b_glob_no_year(spark, raw):
     drivers, sessions = _dims(spark, raw)
     car = files.read_car_csv(spark, f"{raw}/car_b/*.csv", "B", recursive=False)
     name = f"golden_b_{uuid.uuid4().hex[:8]}"
-    r = pipeline.run_ingest(spark, car, drivers, sessions, name, add_year=False,
+    r = ingest.run_ingest(spark, car, drivers, sessions, name, add_year=False,
                             partition_cols=("team_name", "full_name"), path=f"{raw}/tables/{name}")
     assert (r.new_fact_rows, r.rows_written) == (6, 6)
     t = spark.table(name)

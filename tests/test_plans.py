@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, write_text
 from paddock.operators import joins, models
-from paddock.plans import pipeline, registry
+from paddock.plans import ingest, registry
 from paddock.sources import files
 from test_golden_ingest import BATCH1, CAR_COLUMNS_A, _car_rows, _csv
 
@@ -67,7 +67,7 @@ def test_watermark_literal_reaches_the_csv_scan(spark, workdir):
     write_text(f"{workdir}/car/one.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH1)))
     car = files.read_car_csv(spark, f"{workdir}/car")
     wm = 1693573200000000  # 2023-09-01 13:00:00 UTC in microseconds
-    new = car.where(F.col("date") > pipeline._token_literal(wm, car.schema["date"].dataType))
+    new = car.where(F.col("date") > ingest._token_literal(wm, car.schema["date"].dataType))
     p = plan(new)
     assert re.search(r"PushedFilters: \[IsNotNull\(date\), GreaterThan\(date,2023-09-01 13:00:00", p) or \
         re.search(r"PushedFilters: \[IsNotNull\(date\), GreaterThan\(date,2023-09-01T13:00", p), p
@@ -113,10 +113,10 @@ def test_ntz_watermark_round_trip_ignores_session_zone(spark):
     try:
         # 02:30 does not exist on this day in New York; no zone may touch it.
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        token, n = pipeline._watermark_token(df, "date")
+        token, n = ingest._watermark_token(df, "date")
         assert token == "2024-03-10 02:30:00.123456" and n == 1
-        assert df.where(F.col("date") > pipeline._token_literal(token, df.schema["date"].dataType)).count() == 0
-        assert pipeline._to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 10, 2, 30, 0, 123456)
+        assert df.where(F.col("date") > ingest._token_literal(token, df.schema["date"].dataType)).count() == 0
+        assert ingest._to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 10, 2, 30, 0, 123456)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
