@@ -39,6 +39,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--full-model-refresh", action="store_true",
                    help="recompute every day of the aggregates (default: only touched days)")
     p.add_argument("--database", default=None, help="CREATE DATABASE IF NOT EXISTS first")
+    p.add_argument("--profile", default="cluster", choices=["cluster", "local"],
+                   help="session sizing (cluster: wide shuffles coalesced by AQE)")
     return p.parse_args(argv)
 
 
@@ -48,7 +50,7 @@ def main(argv: list[str] | None = None) -> dict:
     from paddock.sources import files, tables
 
     a = parse_args(argv)
-    spark = build_session(app_name="paddock-daily")
+    spark = build_session(app_name="paddock-daily", profile=a.profile)
     if a.database:
         tables.ensure_database(spark, a.database)
     car = files.read_car_csv(spark, a.car, a.layout, recursive=a.recursive, positional=a.positional)

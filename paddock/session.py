@@ -28,17 +28,41 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+# Sizing for a large cluster (hundreds of executors, tens of TB per run).
+# Shuffles start wide and AQE merges them towards the advisory size, so no
+# task holds more than a few hundred MB; raw files are split at the same size;
+# a partition counts as skewed from 1 GB and 5x the median and is then split.
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.files.openCostInBytes": "8m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "paddock",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    profile: str = "local",
 ) -> SparkSession:
-    """Create (or reuse) a session with the package defaults applied."""
+    """Create (or reuse) a session with the package defaults applied.
+
+    ``profile="cluster"`` adds ``CLUSTER_CONF``; explicit arguments win.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -282,7 +282,7 @@ def test_daily_job_command_line(raw):
         "--car", f"{raw}/car_data", "--recursive",
         "--drivers", f"{raw}/drivers.csv", "--sessions", f"{raw}/sessions.csv",
         "--fact", "cli_fact", "--fact-path", f"{raw}/tables/cli_fact",
-        "--partition-by", "year,location",
+        "--partition-by", "year,location", "--profile", "local",
     ]
     # One process per run, like a daily submit; the table lives at its path.
     first = subprocess.run(args, capture_output=True, text=True, timeout=300)
