@@ -1,797 +1,5 @@
-"""Registered queries and their DuckDB oracle SQL.
+"""Registered queries and their DuckDB oracle SQL (see ``paddock.plans.queries``)."""
 
-Each query is ``(spark, sf_dir) -> DataFrame`` over the whole stand-in tables.
-The oracle SQL builds the same stand-ins with DuckDB syntax from the raw views
-(region nation customer supplier part orders lineitem events ...).
-Column names and types are aliased identically on both sides.
-"""
+from paddock.plans.queries import ORACLE_SQL, QUERIES
 
-from __future__ import annotations
-
-import uuid
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from pyspark.sql.types import TimestampNTZType
-
-from paddock.functions import scalars
-from paddock.operators import checks, incremental, merge, models
-from paddock.operators.enrich import enrich
-from paddock.plans import ingest, sinks, sql_models
-from paddock.plans.standins import StandIns
-from paddock.schemas import (
-    AVERAGE_SPEED_KEYS,
-    AVG_SPEED_GEAR_KEYS,
-    CAR_COLUMNS_A,
-    CAR_COLUMNS_B,
-    DRIVER_COLUMNS,
-    SESSION_COLUMNS,
-)
-from paddock.session import scratch_path, unique_table_name
-from paddock.sources import files, tables
-from paddock.streaming import file_ingest
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-# --- fixed parameters of the stand-in scenarios ---------------------------------
-# The "already loaded" target of a watermark run: events before this instant.
-LOADED_BEFORE = "2024-01-21 00:00:00"
-# Upsert scenario: the target was built from rows before TARGET_UNTIL, the new
-# source aggregate from rows at or after SOURCE_FROM (the ranges overlap).
-TARGET_UNTIL = "2024-01-20 12:00:00"
-SOURCE_FROM = "2024-01-15 00:00:00"
-# Integer-key watermark: the earlier load holds order keys below this value.
-LOADED_KEYS_BELOW = 9000
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE_SQL[name] = sql.strip()
-        return fn
-    return deco
-
-
-def ts_ntz(text: str):
-    return F.lit(text).cast("timestamp_ntz")
-
-
-def _enriched(spark: SparkSession, sf_dir: str, add_year: bool = False) -> DataFrame:
-    s = StandIns(spark, sf_dir)
-    return enrich(s.car(), s.drivers(), s.sessions(), add_year=add_year)
-
-
-def _purchase_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = StandIns(spark, sf_dir)
-    return models.purchase_enriched(s.purchases(), s.regions(), s.products())
-
-
-# --- oracle building blocks (DuckDB) -----------------------------------------------
-SQL_CAR = """
-car AS (
-  SELECT CAST(user_id AS INTEGER) AS driver_number,
-         CAST(NULL AS INTEGER) AS rpm,
-         CAST(FLOOR(value) AS INTEGER) AS speed,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) % 9 AS n_gear,
-         CAST(NULL AS INTEGER) AS throttle,
-         CAST(NULL AS INTEGER) AS brake,
-         CAST(NULL AS INTEGER) AS drs,
-         ts AS "date",
-         CAST(user_id % 25 AS INTEGER) AS session_key,
-         CAST(NULL AS INTEGER) AS meeting_key
-  FROM events)"""
-SQL_DRV = """
-drv AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS driver_number, c_name AS full_name,
-         c_mktsegment AS team_name
-  FROM customer)"""
-SQL_SES = """
-ses AS (
-  SELECT n_nationkey AS session_key, n_name AS location, r_name AS country_name
-  FROM nation JOIN region ON r_regionkey = n_regionkey)"""
-SQL_ENRICHED = f"""
-{SQL_CAR},
-{SQL_DRV},
-{SQL_SES},
-enriched AS (
-  SELECT d.full_name, d.team_name, c.rpm, c.speed, c.n_gear, c.brake, c.drs,
-         c."date", s.location, s.country_name
-  FROM car c
-  JOIN drv d ON c.driver_number = TRY_CAST(d.driver_number AS INTEGER)
-  JOIN ses s ON c.session_key = s.session_key)"""
-SQL_AVG = """
-SELECT team_name, full_name, location, CAST("date" AS DATE) AS "date",
-       AVG(speed) AS average_speed
-FROM {src} GROUP BY team_name, full_name, location, CAST("date" AS DATE)"""
-SQL_AVG_GEAR = """
-SELECT team_name, full_name, location, CAST("date" AS DATE) AS "date", n_gear,
-       AVG(speed) AS average_speed
-FROM {src} GROUP BY team_name, full_name, location, CAST("date" AS DATE), n_gear"""
-SQL_CP = """
-cp AS (
-  SELECT l_orderkey * 10 + l_linenumber AS id, c_name AS name,
-         CAST(n_regionkey AS BIGINT) AS region, l_partkey AS product,
-         l_quantity AS qty
-  FROM lineitem
-  JOIN orders ON o_orderkey = l_orderkey
-  JOIN customer ON c_custkey = o_custkey
-  JOIN nation ON n_nationkey = c_nationkey)"""
-SQL_PE = f"""
-{SQL_CP},
-regions AS (SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name FROM region),
-products AS (SELECT p_partkey AS id, p_name AS product FROM part),
-pe AS (
-  SELECT c.id, c.name, r.name AS region, p.product, c.qty
-  FROM cp c JOIN regions r ON r.id = c.region JOIN products p ON p.id = c.product)"""
-
-
-def _merge_sql(agg_sql: str, keys: list[str]) -> str:
-    on = " AND ".join(f'u."{k}" = t."{k}"' for k in keys)
-    return f"""
-WITH {SQL_ENRICHED},
-t AS ({agg_sql.format(src=f"(SELECT * FROM enriched WHERE \"date\" < TIMESTAMP '{TARGET_UNTIL}')")}),
-u AS ({agg_sql.format(src=f"(SELECT * FROM enriched WHERE \"date\" >= TIMESTAMP '{SOURCE_FROM}')")})
-SELECT * FROM u
-UNION ALL
-SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM u WHERE {on})"""
-
-
-def _check_sql(test_name: str, failing_sql: str) -> str:
-    return f"""
-SELECT '{test_name}' AS test_name, COUNT(*) AS failures,
-       CASE WHEN COUNT(*) = 0 THEN 'pass' ELSE 'fail' END AS status
-FROM ({failing_sql}) f"""
-
-
-def _days_values_sql() -> str:
-    rows = ", ".join(
-        "('{}', {}, '{}')".format(d, "TRUE" if wk else "FALSE", a.replace("'", "''"))
-        for d, wk, a in scalars.DAY_ACTIVITY
-    )
-    return f"days(day_name, is_weekday, activity) AS (VALUES {rows})"
-
-
-# --- telemetry: star join and aggregates ----------------------------------------------
-
-@register("enrich", f"WITH {SQL_ENRICHED} SELECT * FROM enriched")
-def q_enrich(spark, sf_dir):
-    return _enriched(spark, sf_dir)
-
-
-@register(
-    "enrich_with_year",
-    f'WITH {SQL_ENRICHED} SELECT *, CAST(year("date") AS INTEGER) AS year FROM enriched',
-)
-def q_enrich_with_year(spark, sf_dir):
-    return _enriched(spark, sf_dir, add_year=True)
-
-
-@register("average_speed", f"WITH {SQL_ENRICHED} {SQL_AVG.format(src='enriched')}")
-def q_average_speed(spark, sf_dir):
-    return models.average_speed(_enriched(spark, sf_dir))
-
-
-@register("avg_speed_gear", f"WITH {SQL_ENRICHED} {SQL_AVG_GEAR.format(src='enriched')}")
-def q_avg_speed_gear(spark, sf_dir):
-    return models.avg_speed_gear(_enriched(spark, sf_dir))
-
-
-@register(
-    "average_speed_sorted",
-    f"WITH {SQL_ENRICHED} {SQL_AVG.format(src='enriched')} ORDER BY 1, 2, 3, 4",
-)
-def q_average_speed_sorted(spark, sf_dir):
-    return models.sort_model(models.average_speed(_enriched(spark, sf_dir)))
-
-
-@register(
-    "avg_speed_gear_sorted",
-    f"WITH {SQL_ENRICHED} {SQL_AVG_GEAR.format(src='enriched')} ORDER BY 1, 2, 3, 4, 5",
-)
-def q_avg_speed_gear_sorted(spark, sf_dir):
-    return models.sort_model(models.avg_speed_gear(_enriched(spark, sf_dir)))
-
-
-@register("merge_average_speed", _merge_sql(SQL_AVG, AVERAGE_SPEED_KEYS))
-def q_merge_average_speed(spark, sf_dir):
-    e = _enriched(spark, sf_dir)
-    target = models.average_speed(e.where(F.col("date") < ts_ntz(TARGET_UNTIL)))
-    source = models.average_speed(e.where(F.col("date") >= ts_ntz(SOURCE_FROM)))
-    return merge.upsert_rows(target, source, AVERAGE_SPEED_KEYS)
-
-
-@register("merge_avg_speed_gear", _merge_sql(SQL_AVG_GEAR, AVG_SPEED_GEAR_KEYS))
-def q_merge_avg_speed_gear(spark, sf_dir):
-    e = _enriched(spark, sf_dir)
-    target = models.avg_speed_gear(e.where(F.col("date") < ts_ntz(TARGET_UNTIL)))
-    source = models.avg_speed_gear(e.where(F.col("date") >= ts_ntz(SOURCE_FROM)))
-    return merge.upsert_rows(target, source, AVG_SPEED_GEAR_KEYS)
-
-
-# --- watermarks, counts, preview ---------------------------------------------------------
-
-@register("watermark_max", "SELECT MAX(ts) AS watermark FROM events")
-def q_watermark_max(spark, sf_dir):
-    return incremental.high_watermark(StandIns(spark, sf_dir).t("events"), "ts")
-
-
-@register(
-    "incremental_filter",
-    f"SELECT * FROM events WHERE ts > "
-    f"(SELECT MAX(ts) FROM events WHERE ts < TIMESTAMP '{LOADED_BEFORE}')",
-)
-def q_incremental_filter(spark, sf_dir):
-    events = StandIns(spark, sf_dir).t("events")
-    target = events.where(F.col("ts") < ts_ntz(LOADED_BEFORE))
-    return incremental.newer_than(events, target, "ts")
-
-
-@register("incremental_filter_sql", ORACLE_SQL["incremental_filter"])
-def q_incremental_filter_sql(spark, sf_dir):
-    tag = uuid.uuid4().hex[:8]
-    events = StandIns(spark, sf_dir).t("events")
-    src, tgt = f"events_src_{tag}", f"events_loaded_{tag}"
-    events.createOrReplaceTempView(src)
-    events.where(F.col("ts") < ts_ntz(LOADED_BEFORE)).createOrReplaceTempView(tgt)
-    return incremental.newer_than_sql(spark, src, tgt, "ts")
-
-
-@register(
-    "incremental_filter_id",
-    f"SELECT * FROM orders WHERE o_orderkey > "
-    f"(SELECT MAX(o_orderkey) FROM orders WHERE o_orderkey < {LOADED_KEYS_BELOW})",
-)
-def q_incremental_filter_id(spark, sf_dir):
-    orders = StandIns(spark, sf_dir).t("orders")
-    target = orders.where(F.col("o_orderkey") < LOADED_KEYS_BELOW)
-    return incremental.newer_than(orders, target, "o_orderkey")
-
-
-@register("row_count", "SELECT COUNT(*) AS row_count FROM events")
-def q_row_count(spark, sf_dir):
-    return StandIns(spark, sf_dir).t("events").agg(F.count(F.lit(1)).alias("row_count"))
-
-
-@register("preview_limit", "SELECT * FROM events ORDER BY ts, event_id LIMIT 5")
-def q_preview_limit(spark, sf_dir):
-    # The limit is the feature (a five-row preview); the order makes it stable.
-    return StandIns(spark, sf_dir).t("events").orderBy("ts", "event_id").limit(5)
-
-
-# --- purchase star -------------------------------------------------------------------------------
-
-@register("view_passthrough", f"WITH {SQL_CP} SELECT * FROM cp")
-def q_view_passthrough(spark, sf_dir):
-    view = f"customer_purchases_{uuid.uuid4().hex[:8]}"
-    StandIns(spark, sf_dir).purchases().createOrReplaceTempView(view)
-    return spark.sql(f"SELECT * FROM {view}")
-
-
-@register("purchase_enriched", f"WITH {SQL_PE} SELECT * FROM pe")
-def q_purchase_enriched(spark, sf_dir):
-    return _purchase_enriched(spark, sf_dir)
-
-
-@register(
-    "products_purchase_count",
-    f"WITH {SQL_PE} SELECT product, COUNT(*) AS orders FROM pe GROUP BY product",
-)
-def q_products_purchase_count(spark, sf_dir):
-    return models.products_purchase_count(_purchase_enriched(spark, sf_dir))
-
-
-@register(
-    "region_purchase_count",
-    f"WITH {SQL_PE} SELECT region, COUNT(*) AS orders FROM pe GROUP BY region",
-)
-def q_region_purchase_count(spark, sf_dir):
-    return models.region_purchase_count(_purchase_enriched(spark, sf_dir))
-
-
-# --- data tests --------------------------------------------------------------------------------------
-
-@register(
-    "check_unique",
-    f"WITH {SQL_PE} "
-    + _check_sql(
-        "unique_customer_purchase_enriched_id",
-        "SELECT id FROM pe WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1",
-    ),
-)
-def q_check_unique(spark, sf_dir):
-    return checks.summarize(
-        checks.unique(_purchase_enriched(spark, sf_dir), "id"),
-        "unique_customer_purchase_enriched_id",
-    )
-
-
-@register(
-    "check_unique_failures",
-    f"WITH {SQL_PE} SELECT id AS unique_field, COUNT(*) AS n_records FROM pe "
-    "WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1",
-)
-def q_check_unique_failures(spark, sf_dir):
-    return checks.unique(_purchase_enriched(spark, sf_dir), "id")
-
-
-@register(
-    "check_unique_orders",
-    _check_sql(
-        "unique_orders_o_orderkey",
-        "SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL "
-        "GROUP BY o_orderkey HAVING COUNT(*) > 1",
-    ),
-)
-def q_check_unique_orders(spark, sf_dir):
-    return checks.summarize(
-        checks.unique(StandIns(spark, sf_dir).t("orders"), "o_orderkey"),
-        "unique_orders_o_orderkey",
-    )
-
-
-@register(
-    "check_not_null",
-    f"WITH {SQL_CP} "
-    + _check_sql("not_null_customer_purchases_id", "SELECT * FROM cp WHERE id IS NULL"),
-)
-def q_check_not_null(spark, sf_dir):
-    return checks.summarize(
-        checks.not_null(StandIns(spark, sf_dir).purchases(), "id"),
-        "not_null_customer_purchases_id",
-    )
-
-
-# --- scalar helpers over whole tables ---------------------------------------------------------------
-
-SQL_JSON_MAP = "CAST(CAST(props AS JSON) AS MAP(VARCHAR, DOUBLE))"
-
-
-@register(
-    "json_map_sum",
-    f"SELECT event_id, CASE WHEN props IS NULL THEN NULL "
-    f"ELSE COALESCE(list_sum(map_values({SQL_JSON_MAP})), 0.0) END AS total_order_value "
-    "FROM events",
-)
-def q_json_map_sum(spark, sf_dir):
-    e = StandIns(spark, sf_dir).t("events")
-    return e.select(
-        "event_id",
-        scalars.map_values_sum(scalars.json_number_map("props")).alias("total_order_value"),
-    )
-
-
-@register(
-    "json_map_total",
-    f"""SELECT total_order_value, printf('{scalars.TOTAL_REPORT}', total_order_value) AS report
-FROM (SELECT SUM(list_sum(map_values({SQL_JSON_MAP}))) AS total_order_value FROM events)""",
-)
-def q_json_map_total(spark, sf_dir):
-    e = StandIns(spark, sf_dir).t("events")
-    total = e.agg(
-        F.sum(scalars.map_values_sum(scalars.json_number_map("props"))).alias("total_order_value")
-    )
-    return total.select("total_order_value", scalars.total_report("total_order_value").alias("report"))
-
-
-@register(
-    "report_format",
-    f"SELECT o_orderkey, printf('{scalars.TOTAL_REPORT}', o_totalprice) AS report FROM orders",
-)
-def q_report_format(spark, sf_dir):
-    o = StandIns(spark, sf_dir).t("orders")
-    return o.select("o_orderkey", scalars.total_report("o_totalprice").alias("report"))
-
-
-@register(
-    "weekday_route",
-    """SELECT event_id, ts, lower(dayname(ts)) AS day_name,
-       dayofweek(ts) IN (0, 6) AS is_weekend,
-       CASE WHEN dayofweek(ts) IN (0, 6) THEN 'weekend' ELSE 'weekday' END AS route
-FROM events""",
-)
-def q_weekday_route(spark, sf_dir):
-    e = StandIns(spark, sf_dir).t("events").select("event_id", "ts")
-    return scalars.weekday_route(e, "ts")
-
-
-@register(
-    "day_names",
-    "SELECT lower(dayname(ts)) AS day_name, COUNT(*) AS events FROM events GROUP BY 1",
-)
-def q_day_names(spark, sf_dir):
-    e = StandIns(spark, sf_dir).t("events")
-    return e.groupBy(scalars.day_name("ts").alias("day_name")).agg(F.count(F.lit(1)).alias("events"))
-
-
-@register(
-    "day_activity",
-    f"""WITH {_days_values_sql()}
-SELECT e.event_id, e.ts, d.day_name, d.is_weekday, d.activity,
-       CASE WHEN d.is_weekday THEN 'weekday_activities' ELSE 'weekend_activities' END
-         || '.' || replace(d.activity, ' ', '_') AS task_path,
-       'It''s ' || dayname(e.ts) || ' and I''m busy with ' || d.activity || '.' AS message
-FROM events e JOIN days d ON d.day_name = lower(dayname(e.ts))""",
-)
-def q_day_activity(spark, sf_dir):
-    e = StandIns(spark, sf_dir).t("events").select("event_id", "ts")
-    return scalars.day_activity(spark, e, "ts")
-
-
-# --- sources: CSV export and read-back -----------------------------------------------------------
-
-def _null_cols_sql(columns: list[str], present: dict[str, str], types: dict[str, str], default: str) -> str:
-    return ", ".join(
-        f'{present[c]} AS "{c}"' if c in present else f'CAST(NULL AS {types.get(c, default)}) AS "{c}"'
-        for c in columns
-    )
-
-
-@register("scan_csv_recursive", f"WITH {SQL_CAR} SELECT * FROM car")
-def q_scan_csv_recursive(spark, sf_dir):
-    car = StandIns(spark, sf_dir).car().withColumn("day", F.date_format("date", "yyyy-MM-dd"))
-    path = scratch_path(spark, "car_csv_tree")
-    files.write_csv(car, path, columns=CAR_COLUMNS_A, nest_by="day")
-    return files.read_car_csv(
-        spark, path, "A", recursive=True, ts_type=TimestampNTZType(),
-        timestamp_ntz_format=files.TS_NTZ_FORMAT,
-    )
-
-
-@register(
-    "scan_csv_glob",
-    f"WITH {SQL_CAR} SELECT " + ", ".join(f'"{c}"' for c in CAR_COLUMNS_B) + " FROM car",
-)
-def q_scan_csv_glob(spark, sf_dir):
-    car = StandIns(spark, sf_dir).car()
-    path = scratch_path(spark, "car_csv_flat")
-    files.write_csv(car, path, columns=CAR_COLUMNS_B)
-    return files.read_car_csv(
-        spark, f"{path}/*.csv", "B", recursive=False, ts_type=TimestampNTZType(),
-        timestamp_ntz_format=files.TS_NTZ_FORMAT,
-    )
-
-
-@register(
-    "scan_dim_drivers",
-    "SELECT "
-    + _null_cols_sql(
-        DRIVER_COLUMNS,
-        {"driver_number": "CAST(c_custkey AS VARCHAR)", "full_name": "c_name", "team_name": "c_mktsegment"},
-        {},
-        "VARCHAR",
-    )
-    + " FROM customer",
-)
-def q_scan_dim_drivers(spark, sf_dir):
-    path = scratch_path(spark, "drivers_csv")
-    files.write_csv(StandIns(spark, sf_dir).drivers(), path)
-    return files.read_drivers(spark, path)
-
-
-@register(
-    "scan_dim_sessions",
-    "SELECT "
-    + _null_cols_sql(
-        SESSION_COLUMNS,
-        {"session_key": "n_nationkey", "location": "n_name", "country_name": "r_name"},
-        {"country_key": "INTEGER", "date_start": "TIMESTAMP", "date_end": "TIMESTAMP"},
-        "VARCHAR",
-    )
-    + " FROM nation JOIN region ON r_regionkey = n_regionkey",
-)
-def q_scan_dim_sessions(spark, sf_dir):
-    path = scratch_path(spark, "sessions_csv")
-    files.write_csv(StandIns(spark, sf_dir).sessions(), path)
-    return files.read_sessions(
-        spark, path, ts_type=TimestampNTZType(), timestamp_ntz_format=files.TS_NTZ_FORMAT
-    )
-
-
-# --- sinks: tables written under the scratch root and read back ---------------------------------
-
-def _scratch_table(spark: SparkSession, stem: str) -> tuple[str, str]:
-    return unique_table_name(f"paddock_{stem}"), scratch_path(spark, stem)
-
-
-SQL_ENRICHED_YEAR = f'WITH {SQL_ENRICHED} SELECT *, CAST(year("date") AS INTEGER) AS year FROM enriched'
-# Stand-in partitioning of the fact table (the reference's spec adds the driver
-# name, which would make one folder per driver and day-year at scale).
-FACT_PARTITIONS = ("year", "location")
-
-
-@register("table_roundtrip", SQL_ENRICHED_YEAR)
-def q_table_roundtrip(spark, sf_dir):
-    name, path = _scratch_table(spark, "fact_roundtrip")
-    sinks.create_table(_enriched(spark, sf_dir, add_year=True), name, FACT_PARTITIONS, path=path)
-    return spark.table(name)
-
-
-@register("incremental_append", SQL_ENRICHED_YEAR)
-def q_incremental_append(spark, sf_dir):
-    name, path = _scratch_table(spark, "fact_append")
-    enriched = _enriched(spark, sf_dir, add_year=True)
-    # Day one: everything loaded before the cut-off creates the table.
-    sinks.create_or_append(
-        enriched.where(F.col("date") < ts_ntz(LOADED_BEFORE)), name, FACT_PARTITIONS, path=path
-    )
-    # Day two: only rows strictly newer than the table's watermark are appended.
-    wm = spark.table(name).agg(F.max("date").alias("wm")).first()["wm"]
-    sinks.create_or_append(incremental.newer_than_value(enriched, "date", wm), name)
-    return spark.table(name)
-
-
-@register(
-    "table_refresh",
-    f"WITH {SQL_PE} SELECT product, COUNT(*) AS orders FROM pe GROUP BY product",
-)
-def q_table_refresh(spark, sf_dir):
-    name, path = _scratch_table(spark, "products_count")
-    pe = _purchase_enriched(spark, sf_dir)
-    # A stale first build, then a full refresh replaces every row.
-    sinks.create_table(models.products_purchase_count(pe.where(F.col("qty") < 10)), name, path=path)
-    sinks.refresh(models.products_purchase_count(pe), name)
-    return spark.table(name)
-
-
-@register("upsert_average_speed", ORACLE_SQL["merge_average_speed"])
-def q_upsert_average_speed(spark, sf_dir):
-    return _upsert_scenario(spark, sf_dir, models.average_speed, AVERAGE_SPEED_KEYS, "avg_speed")
-
-
-@register("upsert_avg_speed_gear", ORACLE_SQL["merge_avg_speed_gear"])
-def q_upsert_avg_speed_gear(spark, sf_dir):
-    return _upsert_scenario(spark, sf_dir, models.avg_speed_gear, AVG_SPEED_GEAR_KEYS, "avg_speed_gear")
-
-
-def _upsert_scenario(spark, sf_dir, model, keys, stem):
-    name, path = _scratch_table(spark, stem)
-    e = _enriched(spark, sf_dir)
-    sinks.upsert(model(e.where(F.col("date") < ts_ntz(TARGET_UNTIL))), name, keys, path=path)
-    sinks.upsert(model(e.where(F.col("date") >= ts_ntz(SOURCE_FROM))), name, keys)
-    return spark.table(name)
-
-
-# Schema sync scenario: orders placed before this instant were loaded with the
-# old columns; later orders arrive with the new ones.
-SCHEMA_CHANGED_AT = "1999-01-01 00:00:00"
-
-
-@register(
-    "schema_sync",
-    f"""SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
-       CASE WHEN o_orderdate >= TIMESTAMP '{SCHEMA_CHANGED_AT}' THEN o_orderpriority END AS o_orderpriority
-FROM orders""",
-)
-def q_schema_sync(spark, sf_dir):
-    name, path = _scratch_table(spark, "orders_sync")
-    orders = StandIns(spark, sf_dir).t("orders")
-    old = orders.where(F.col("o_orderdate") < ts_ntz(SCHEMA_CHANGED_AT))
-    sinks.create_table(
-        old.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"), name, path=path
-    )
-    new = orders.where(F.col("o_orderdate") >= ts_ntz(SCHEMA_CHANGED_AT)).select(
-        "o_orderkey",
-        F.col("o_custkey").cast("string").alias("o_custkey"),
-        "o_orderstatus",
-        "o_orderpriority",
-    )
-    # Added: o_orderpriority; dropped: o_totalprice; retyped: o_custkey.
-    sinks.sync_all_columns(spark, name, new.schema)
-    sinks.append(new, name)
-    return spark.table(name)
-
-
-# --- end-to-end: raw CSV files -> watermark -> star join -> partitioned table --------------------
-
-def _raw_files(spark: SparkSession, sf_dir: str) -> str:
-    """Export the stand-ins as raw CSV: car rows in two arrivals, and the dims."""
-    s = StandIns(spark, sf_dir)
-    root = scratch_path(spark, "raw")
-    car = s.car().withColumn("day", F.date_format("date", "yyyy-MM-dd"))
-    files.write_csv(s.drivers(), f"{root}/drivers")
-    files.write_csv(s.sessions(), f"{root}/sessions")
-    files.write_csv(
-        car.where(F.col("date") < ts_ntz(LOADED_BEFORE)),
-        f"{root}/car_data/arrival=1", columns=CAR_COLUMNS_A, nest_by="day",
-    )
-    return root
-
-
-def _second_arrival(spark: SparkSession, sf_dir: str, root: str) -> None:
-    car = StandIns(spark, sf_dir).car().withColumn("day", F.date_format("date", "yyyy-MM-dd"))
-    files.write_csv(
-        car.where(F.col("date") >= ts_ntz(LOADED_BEFORE)),
-        f"{root}/car_data/arrival=2", columns=CAR_COLUMNS_A, nest_by="day",
-    )
-
-
-def _raw_dims(spark: SparkSession, root: str):
-    drivers = files.read_drivers(spark, f"{root}/drivers")
-    sessions = files.read_sessions(
-        spark, f"{root}/sessions", ts_type=TimestampNTZType(), timestamp_ntz_format=files.TS_NTZ_FORMAT
-    )
-    return drivers, sessions
-
-
-def _raw_car(spark: SparkSession, root: str) -> DataFrame:
-    return files.read_car_csv(
-        spark, f"{root}/car_data", "A", recursive=True, ts_type=TimestampNTZType(),
-        timestamp_ntz_format=files.TS_NTZ_FORMAT,
-    )
-
-
-@register("ingest_csv_runs", SQL_ENRICHED_YEAR)
-def q_ingest_csv_runs(spark, sf_dir):
-    root = _raw_files(spark, sf_dir)
-    drivers, sessions = _raw_dims(spark, root)
-    name, path = _scratch_table(spark, "formula_one_car")
-    ingest.run_ingest(spark, _raw_car(spark, root), drivers, sessions, name,
-                        partition_cols=FACT_PARTITIONS, path=path)
-    _second_arrival(spark, sf_dir, root)
-    ingest.run_ingest(spark, _raw_car(spark, root), drivers, sessions, name,
-                        partition_cols=FACT_PARTITIONS, path=path)
-    return spark.table(name)
-
-
-@register("stream_ingest", SQL_ENRICHED_YEAR)
-def q_stream_ingest(spark, sf_dir):
-    root = _raw_files(spark, sf_dir)
-    drivers, sessions = _raw_dims(spark, root)
-    out, ckpt = f"{root}/fact_stream", f"{root}/fact_stream_checkpoint"
-    stream = file_ingest.car_stream(
-        spark, f"{root}/car_data", "A", ts_type=TimestampNTZType(),
-        timestampNTZFormat=files.TS_NTZ_FORMAT,
-    )
-    file_ingest.run_file_ingest_once(spark, stream, drivers, sessions, out, ckpt,
-                                     partition_cols=FACT_PARTITIONS)
-    _second_arrival(spark, sf_dir, root)
-    stream = file_ingest.car_stream(
-        spark, f"{root}/car_data", "A", ts_type=TimestampNTZType(),
-        timestampNTZFormat=files.TS_NTZ_FORMAT,
-    )
-    file_ingest.run_file_ingest_once(spark, stream, drivers, sessions, out, ckpt,
-                                     partition_cols=FACT_PARTITIONS)
-    return file_ingest.read_output(spark, out, file_ingest.enriched_schema(stream, drivers, sessions))
-
-
-# --- run report and catalog namespaces ---------------------------------------------------------
-
-SQL_INGEST_REPORT = f"""
-WITH {SQL_ENRICHED},
-r1 AS (
-  SELECT (SELECT COUNT(*) FROM car WHERE "date" < TIMESTAMP '{LOADED_BEFORE}') AS new_fact_rows,
-         (SELECT COUNT(*) FROM enriched WHERE "date" < TIMESTAMP '{LOADED_BEFORE}') AS rows_written,
-         (SELECT MAX("date") FROM enriched WHERE "date" < TIMESTAMP '{LOADED_BEFORE}') AS wm),
-r2 AS (
-  SELECT (SELECT COUNT(*) FROM car WHERE "date" > (SELECT wm FROM r1)) AS new_fact_rows,
-         (SELECT COUNT(*) FROM enriched WHERE "date" > (SELECT wm FROM r1)) AS rows_written,
-         (SELECT MAX("date") FROM enriched) AS wm)
-SELECT 1 AS run, TRUE AS created, CAST(NULL AS TIMESTAMP) AS watermark_before,
-       new_fact_rows, rows_written, rows_written AS table_rows, wm AS watermark_after
-FROM r1
-UNION ALL
-SELECT 2, FALSE, (SELECT wm FROM r1), new_fact_rows, rows_written,
-       (SELECT rows_written FROM r1) + rows_written, wm
-FROM r2"""
-
-
-@register("ingest_report", SQL_INGEST_REPORT)
-def q_ingest_report(spark, sf_dir):
-    """Two runs of the ingest over the stand-in car frame; one report row each."""
-    s = StandIns(spark, sf_dir)
-    car, drivers, sessions = s.car(), s.drivers(), s.sessions()
-    name, path = _scratch_table(spark, "fact_report")
-    r1 = ingest.run_ingest(spark, car.where(F.col("date") < ts_ntz(LOADED_BEFORE)), drivers, sessions,
-                             name, partition_cols=FACT_PARTITIONS, path=path)
-    r2 = ingest.run_ingest(spark, car, drivers, sessions, name, partition_cols=FACT_PARTITIONS)
-    rows = [
-        (i, r.created, r.watermark_before, r.new_fact_rows, r.rows_written, r.table_rows, r.watermark_after)
-        for i, r in ((1, r1), (2, r2))
-    ]
-    return spark.createDataFrame(
-        rows,
-        "run int, created boolean, watermark_before timestamp_ntz, new_fact_rows bigint, "
-        "rows_written bigint, table_rows bigint, watermark_after timestamp_ntz",
-    )
-
-
-@register("table_in_database", SQL_ENRICHED_YEAR)
-def q_table_in_database(spark, sf_dir):
-    """Create a namespace at a scratch location, then a managed table in it,
-    addressed by a three-part name."""
-    db = unique_table_name("paddock_db")
-    tables.ensure_database(spark, db, scratch_path(spark, "db"))
-    name = f"spark_catalog.{db}.formula_one_car"
-    created = sinks.create_or_append(_enriched(spark, sf_dir, add_year=True), name, FACT_PARTITIONS)
-    assert created and sinks.table_exists(spark, name)
-    return tables.read_table(spark, name)
-
-
-def _daily_scenario(spark: SparkSession, sf_dir: str, stem: str) -> ingest.DailyTables:
-    """Two scheduled runs: the rows before the cut-off, then all rows."""
-    s = StandIns(spark, sf_dir)
-    car, drivers, sessions = s.car(), s.drivers(), s.sessions()
-    names = {k: _scratch_table(spark, f"{stem}_{k}") for k in ("fact", "avg", "gear")}
-    t = ingest.DailyTables(
-        fact=names["fact"][0], average_speed=names["avg"][0], avg_speed_gear=names["gear"][0],
-        fact_path=names["fact"][1], average_speed_path=names["avg"][1], avg_speed_gear_path=names["gear"][1],
-    )
-    ingest.run_daily(spark, car.where(F.col("date") < ts_ntz(LOADED_BEFORE)), drivers, sessions, t,
-                       partition_cols=FACT_PARTITIONS)
-    ingest.run_daily(spark, car, drivers, sessions, t, partition_cols=FACT_PARTITIONS)
-    return t
-
-
-@register("daily_average_speed", f"WITH {SQL_ENRICHED} {SQL_AVG.format(src='enriched')}")
-def q_daily_average_speed(spark, sf_dir):
-    """The incremental daily job's average_speed table equals a full recompute."""
-    return spark.table(_daily_scenario(spark, sf_dir, "daily").average_speed)
-
-
-@register("daily_avg_speed_gear", f"WITH {SQL_ENRICHED} {SQL_AVG_GEAR.format(src='enriched')}")
-def q_daily_avg_speed_gear(spark, sf_dir):
-    return spark.table(_daily_scenario(spark, sf_dir, "daily").avg_speed_gear)
-
-
-# --- the same models through Spark SQL over temp views -----------------------------------------
-
-def _views(spark: SparkSession, stem: str, **frames: DataFrame) -> dict[str, str]:
-    tag = uuid.uuid4().hex[:8]
-    names = {}
-    for role, df in frames.items():
-        names[role] = f"{stem}_{role}_{tag}"
-        df.createOrReplaceTempView(names[role])
-    return names
-
-
-@register("average_speed_sql", ORACLE_SQL["average_speed"])
-def q_average_speed_sql(spark, sf_dir):
-    v = _views(spark, "sqlm", fact=_enriched(spark, sf_dir))
-    return sql_models.average_speed(spark, v["fact"])
-
-
-@register("average_speed_sorted_sql", ORACLE_SQL["average_speed_sorted"])
-def q_average_speed_sorted_sql(spark, sf_dir):
-    v = _views(spark, "sqlm", fact=_enriched(spark, sf_dir))
-    return sql_models.average_speed(spark, v["fact"], ordered=True)
-
-
-@register("avg_speed_gear_sql", ORACLE_SQL["avg_speed_gear"])
-def q_avg_speed_gear_sql(spark, sf_dir):
-    v = _views(spark, "sqlm", fact=_enriched(spark, sf_dir))
-    return sql_models.avg_speed_gear(spark, v["fact"], ordered=True)
-
-
-def _purchase_views(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    from paddock.operators.joins import dimension
-
-    s = StandIns(spark, sf_dir)
-    return _views(spark, "sqlp", purchases=s.purchases(),
-                  regions=dimension(s.regions()), products=dimension(s.products()))
-
-
-@register("purchase_enriched_sql", ORACLE_SQL["purchase_enriched"])
-def q_purchase_enriched_sql(spark, sf_dir):
-    v = _purchase_views(spark, sf_dir)
-    return sql_models.purchase_enriched(spark, v["purchases"], v["regions"], v["products"])
-
-
-@register("products_purchase_count_sql", ORACLE_SQL["products_purchase_count"])
-def q_products_purchase_count_sql(spark, sf_dir):
-    v = _purchase_views(spark, sf_dir)
-    pe = _views(spark, "sqlp", enriched=sql_models.purchase_enriched(
-        spark, v["purchases"], v["regions"], v["products"]))
-    return sql_models.count_by(spark, pe["enriched"], "product")
-
-
-@register("region_purchase_count_sql", ORACLE_SQL["region_purchase_count"])
-def q_region_purchase_count_sql(spark, sf_dir):
-    v = _purchase_views(spark, sf_dir)
-    pe = _views(spark, "sqlp", enriched=sql_models.purchase_enriched(
-        spark, v["purchases"], v["regions"], v["products"]))
-    return sql_models.count_by(spark, pe["enriched"], "region")
+__all__ = ["ORACLE_SQL", "QUERIES"]

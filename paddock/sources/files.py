@@ -11,10 +11,9 @@ the row is kept (PERMISSIVE).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType, TimestampNTZType
+from pyspark.sql.types import DataType, StructType
 
-from paddock.schemas import CAR_COLUMNS_A, CAR_COLUMNS_B, car_schema, driver_schema, session_schema
+from paddock.schemas import car_schema, driver_schema, session_schema
 
 # --- fixed values: text formats for exported timestamps (microseconds kept) ----
 TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -100,11 +99,3 @@ def write_csv(
     if nest_by:
         w = w.partitionBy(nest_by)
     w.csv(path)
-
-
-def car_columns(layout: str) -> list[str]:
-    return {"A": CAR_COLUMNS_A, "B": CAR_COLUMNS_B}[layout.upper()]
-
-
-def is_ntz(dtype: DataType) -> bool:
-    return isinstance(dtype, TimestampNTZType)
