@@ -82,3 +82,13 @@ def test_average_speed_uses_utc_day(spark):
         "team_name", "full_name", "location", "date", "n_gear", "average_speed"
     ]
     assert df.select(F.year("date")).distinct().count() == 1
+
+
+def test_declared_test_table_schemas_match_the_files(spark):
+    from paddock.plans.standins import TABLE_SCHEMAS
+    from pyspark.sql.types import StructType
+
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        for name, ddl in TABLE_SCHEMAS.items():
+            inferred = spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet").schema
+            assert inferred.simpleString() == StructType.fromDDL(ddl).simpleString(), (sf, name)
