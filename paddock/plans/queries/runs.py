@@ -14,7 +14,7 @@ from paddock.plans.queries.oracle import (
     SQL_AVG, SQL_AVG_GEAR, SQL_ENRICHED, SQL_ENRICHED_YEAR, SQL_INGEST_REPORT,
 )
 from paddock.plans.standins import StandIns
-from paddock.schemas import CAR_COLUMNS_A
+from paddock.schemas import CAR_COLUMNS_A, CAR_COLUMNS_B
 from paddock.session import scratch_path, unique_table_name
 from paddock.sources import files, tables
 from paddock.streaming import file_ingest
@@ -155,3 +155,20 @@ def q_daily_avg_speed_gear(spark, sf_dir):
     return spark.table(_daily_scenario(spark, sf_dir, "daily").avg_speed_gear)
 
 
+
+
+@register("ingest_layout_b", f"WITH {SQL_ENRICHED} SELECT * FROM enriched")
+def q_ingest_layout_b(spark, sf_dir):
+    """The second job's flavour: alphabetical (B) car files read through a
+    one-level glob, no year column, table partitioned by team (the reference
+    adds the driver name, one folder per driver)."""
+    s = StandIns(spark, sf_dir)
+    root = scratch_path(spark, "raw_b")
+    files.write_csv(s.car(), f"{root}/car_data", columns=CAR_COLUMNS_B)
+    drivers, sessions = s.drivers(), s.sessions()
+    car = files.read_car_csv(spark, f"{root}/car_data/*.csv", "B", recursive=False,
+                             ts_type=TimestampNTZType(), timestamp_ntz_format=files.TS_NTZ_FORMAT)
+    name, path = scratch_table(spark, "fact_b")
+    ingest.run_ingest(spark, car, drivers, sessions, name, partition_cols=("team_name",),
+                      add_year=False, path=path)
+    return spark.table(name)
