@@ -29,6 +29,37 @@ def avg_speed_gear(enriched: DataFrame) -> DataFrame:
     ).agg(F.avg("speed").alias("average_speed"))
 
 
+# --- both aggregates from one pass ---------------------------------------------
+
+DAY_KEYS = ["team_name", "full_name", "location", "date"]
+
+
+def speed_partials(enriched: DataFrame) -> DataFrame:
+    """Sum and count of speed per team, driver, location, day and gear.
+
+    Both daily models follow from this one aggregate: the gear model is
+    ``sum / count`` per row, the day model ``sum(sum) / sum(count)`` over the
+    gears of a day.  With integer speeds the sums are exact, so both equal
+    ``avg(speed)`` computed directly.
+    """
+    return enriched.groupBy(
+        "team_name", "full_name", "location", F.to_date("date").alias("date"), "n_gear"
+    ).agg(F.sum("speed").alias("speed_sum"), F.count("speed").alias("speed_count"))
+
+
+def avg_speed_gear_from_partials(partials: DataFrame) -> DataFrame:
+    return partials.select(
+        *DAY_KEYS, "n_gear",
+        F.try_divide(F.col("speed_sum"), F.col("speed_count")).cast("double").alias("average_speed"),
+    )
+
+
+def average_speed_from_partials(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*DAY_KEYS).agg(
+        F.try_divide(F.sum("speed_sum"), F.sum("speed_count")).cast("double").alias("average_speed")
+    )
+
+
 def sort_model(df: DataFrame) -> DataFrame:
     """Order a model by its key columns (all columns but the measure).
 

@@ -161,7 +161,9 @@ def refresh_daily_models(
     With ``since`` only days at or after ``since``'s day are recomputed and
     upserted; that is exact because a day's aggregate depends only on that
     day's rows.  The day bound is pushed into the fact scan, and when the fact
-    is partitioned by ``year`` it also prunes older year partitions.
+    is partitioned by ``year`` it also prunes older year partitions.  The fact
+    is read once for both models: per-gear sums and counts are checkpointed
+    and both aggregates are derived from them.
     """
     from paddock.operators import models
     from paddock.schemas import AVERAGE_SPEED_KEYS, AVG_SPEED_GEAR_KEYS
@@ -174,8 +176,12 @@ def refresh_daily_models(
         if "year" in sinks.partition_columns(spark, fact_table):
             cond = cond & (F.col("year") >= F.lit(day.year))
         fact = fact.where(cond)
-    sinks.upsert(models.average_speed(fact), average_speed_table, AVERAGE_SPEED_KEYS, path=path_average_speed)
-    sinks.upsert(models.avg_speed_gear(fact), avg_speed_gear_table, AVG_SPEED_GEAR_KEYS, path=path_avg_speed_gear)
+    # One pass over the fact feeds both models.
+    partials = sinks.detach(models.speed_partials(fact))
+    sinks.upsert(models.average_speed_from_partials(partials), average_speed_table, AVERAGE_SPEED_KEYS,
+                 path=path_average_speed)
+    sinks.upsert(models.avg_speed_gear_from_partials(partials), avg_speed_gear_table, AVG_SPEED_GEAR_KEYS,
+                 path=path_avg_speed_gear)
 
 
 @dataclass

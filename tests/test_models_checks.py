@@ -92,3 +92,16 @@ def test_declared_test_table_schemas_match_the_files(spark):
         for name, ddl in TABLE_SCHEMAS.items():
             inferred = spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet").schema
             assert inferred.simpleString() == StructType.fromDDL(ddl).simpleString(), (sf, name)
+
+
+def test_models_from_partials_equal_direct_averages(spark):
+    from conftest import SF_ORACLE
+    from paddock.plans.queries.base import enriched_fact
+
+    e = enriched_fact(spark, SF_ORACLE)
+    p = models.speed_partials(e)
+    for direct, derived in ((models.average_speed(e), models.average_speed_from_partials(p)),
+                            (models.avg_speed_gear(e), models.avg_speed_gear_from_partials(p))):
+        assert derived.columns == direct.columns
+        assert derived.schema == direct.schema
+        assert direct.exceptAll(derived).isEmpty() and derived.exceptAll(direct).isEmpty()
