@@ -70,3 +70,25 @@ def test_file_stream_loads_new_files_once_including_late_rows(spark, workdir):
     write_text(f"{workdir}/car/2/batch2.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH2)))
     # Files, not a max(date), decide what is new: the tie and the late row load too.
     assert run() == 6 + 1 + 2 + 1
+
+
+def test_csv_timestamp_forms(spark, workdir):
+    """ISO text with 'T' and an offset, and space-separated text, both parse."""
+    import datetime as dt
+
+    rows = [
+        dict(driver_number=1, rpm=1, speed=300, n_gear=8, throttle=1, brake=0, drs=0,
+             date="2023-09-16T13:00:00.179000+00:00", session_key=100, meeting_key=1),
+        dict(driver_number=1, rpm=1, speed=301, n_gear=8, throttle=1, brake=0, drs=0,
+             date="2023-09-16 13:00:01.5", session_key=100, meeting_key=1),
+        dict(driver_number=1, rpm=1, speed=302, n_gear=8, throttle=1, brake=0, drs=0,
+             date="2023-09-16T15:00:02+02:00", session_key=100, meeting_key=1),
+    ]
+    write_text(f"{workdir}/ts/one.csv", _csv(CAR_COLUMNS_A, rows))
+    got = sorted((r.speed, r.date) for r in files.read_car_csv(spark, f"{workdir}/ts").collect())
+    # Instants; collected as wall-clock times of the process zone (UTC here).
+    assert got == [
+        (300, dt.datetime(2023, 9, 16, 13, 0, 0, 179000)),
+        (301, dt.datetime(2023, 9, 16, 13, 0, 1, 500000)),
+        (302, dt.datetime(2023, 9, 16, 13, 0, 2)),
+    ]
