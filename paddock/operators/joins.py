@@ -109,11 +109,29 @@ def _measure(df: DataFrame, max_rows: int) -> SizeCheck:
     return SizeCheck(rows=int(row["n"] or 0), bytes=int(row["b"] or 0), capped=False)
 
 
+MAX_ROWS_CONF = "paddock.broadcast.maxRows"
+MAX_BYTES_CONF = "paddock.broadcast.maxBytes"
+
+
+def caps(df: DataFrame) -> tuple[int, int]:
+    """Row and byte caps: session settings if given, else the defaults."""
+    conf = df.sparkSession.conf
+    return (int(conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS))),
+            int(conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES))))
+
+
 def dimension(
     df: DataFrame,
-    max_rows: int = DEFAULT_MAX_ROWS,
-    max_bytes: int = DEFAULT_MAX_BYTES,
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Mark ``df`` for broadcast if it is provably small, else return it as is."""
+    """Mark ``df`` for broadcast if it is provably small, else return it as is.
+
+    Caps default to the session settings ``paddock.broadcast.maxRows`` and
+    ``paddock.broadcast.maxBytes`` (2,000,000 rows and 64 MiB when unset).
+    """
+    conf_rows, conf_bytes = caps(df)
+    max_rows = conf_rows if max_rows is None else max_rows
+    max_bytes = conf_bytes if max_bytes is None else max_bytes
     check = measure(df, max_rows)
     return F.broadcast(df) if check.fits(max_rows, max_bytes) else df

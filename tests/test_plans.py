@@ -157,3 +157,20 @@ def test_upsert_duplicate_null_keys_only_matter_when_null_safe(spark, workdir):
     with pytest.raises(ValueError):
         sinks.upsert(spark.createDataFrame(rows, schema), f"dn_{uuid.uuid4().hex[:8]}", AVERAGE_SPEED_KEYS,
                      path=f"{workdir}/b", null_safe=True)
+
+
+def test_broadcast_caps_come_from_session_settings(spark):
+    fact = spark.range(100).withColumnRenamed("id", "k")
+    dim = spark.range(7).withColumnRenamed("id", "k2")
+    try:
+        spark.conf.set(joins.MAX_ROWS_CONF, "5")
+        t = tree(plan(fact.join(joins.dimension(dim), fact.k == dim.k2)))
+        assert "BroadcastHashJoin" not in t
+        spark.conf.set(joins.MAX_ROWS_CONF, "50")
+        spark.conf.set(joins.MAX_BYTES_CONF, "10")  # 7 rows x 8 bytes > 10 bytes
+        t = tree(plan(fact.join(joins.dimension(dim), fact.k == dim.k2)))
+        assert "BroadcastHashJoin" not in t
+    finally:
+        spark.conf.unset(joins.MAX_ROWS_CONF)
+        spark.conf.unset(joins.MAX_BYTES_CONF)
+    assert "BroadcastHashJoin" in tree(plan(fact.join(joins.dimension(dim), fact.k == dim.k2)))
