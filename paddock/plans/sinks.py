@@ -259,12 +259,12 @@ def upsert(
 
 
 def _profile_source(src: DataFrame, keys: list[str], partition_col: str, null_safe: bool):
-    """One pass over the source: (duplicate keys?, touched partition values or
-    None when there are more than MAX_PRUNING_VALUES, NULL partition touched?).
+    """(duplicate keys?, touched partition values or None, NULL partition touched?).
 
-    Keys are grouped first (partial counts per task), so the final single-row
-    aggregate sees one row per key.  The touched values are partition folder
-    names, as many as the table has partitions at most.
+    One distributed pass gives the largest key multiplicity and the number of
+    distinct partition values (keys are grouped first, partial counts per
+    task).  Only when that number is within MAX_PRUNING_VALUES are the values
+    themselves fetched; otherwise None tells the caller to use a semi-join.
     """
     per_key = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     counted = F.col("_n")
@@ -273,14 +273,17 @@ def _profile_source(src: DataFrame, keys: list[str], partition_col: str, null_sa
         for k in keys:
             present = present & F.col(k).isNotNull()
         counted = F.when(present, counted)
-    values = F.collect_set(partition_col)
     row = per_key.agg(
         F.max(counted).alias("max_n"),
-        F.when(F.size(values) <= MAX_PRUNING_VALUES, values).alias("parts"),
+        F.count_distinct(partition_col).alias("n_parts"),
         F.max(F.col(partition_col).isNull()).alias("null_part"),
     ).first()
     dup = (row["max_n"] or 0) > 1
-    return dup, row["parts"], bool(row["null_part"])
+    touched = None
+    if row["n_parts"] <= MAX_PRUNING_VALUES:
+        values = src.where(F.col(partition_col).isNotNull()).select(partition_col).distinct()
+        touched = [r[0] for r in values.collect()]
+    return dup, touched, bool(row["null_part"])
 
 
 class _dynamic_overwrite:

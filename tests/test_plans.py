@@ -174,3 +174,24 @@ def test_broadcast_caps_come_from_session_settings(spark):
         spark.conf.unset(joins.MAX_ROWS_CONF)
         spark.conf.unset(joins.MAX_BYTES_CONF)
     assert "BroadcastHashJoin" in tree(plan(fact.join(joins.dimension(dim), fact.k == dim.k2)))
+
+
+def test_upsert_beyond_the_literal_bound_uses_a_semi_join(spark, workdir, monkeypatch):
+    import datetime as dt
+    import uuid
+
+    from paddock.plans import sinks
+    from paddock.schemas import AVERAGE_SPEED_KEYS
+
+    monkeypatch.setattr(sinks, "MAX_PRUNING_VALUES", 1)
+    schema = "team_name string, full_name string, location string, date date, average_speed double"
+    days = [dt.date(2024, 1, d) for d in range(1, 6)]
+    name = f"semi_{uuid.uuid4().hex[:8]}"
+    sinks.upsert(spark.createDataFrame([("T", "D", "L", d, 1.0) for d in days], schema), name,
+                 AVERAGE_SPEED_KEYS, path=f"{workdir}/{name}")
+    src = spark.createDataFrame([("T", "D", "L", days[0], 2.0), ("T", "D", "L", days[1], 3.0),
+                                 ("T", "D", "L", dt.date(2024, 1, 9), 4.0)], schema)
+    sinks.upsert(src, name, AVERAGE_SPEED_KEYS)
+    got = sorted((str(r.date), r.average_speed) for r in spark.table(name).collect())
+    assert got == [("2024-01-01", 2.0), ("2024-01-02", 3.0), ("2024-01-03", 1.0),
+                   ("2024-01-04", 1.0), ("2024-01-05", 1.0), ("2024-01-09", 4.0)]
