@@ -7,9 +7,14 @@ collecting the failures.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+TESTS = {"unique": lambda df, column: unique(df, column), "not_null": lambda df, column: not_null(df, column)}
+
 
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Values of ``column`` that occur more than once (NULLs are ignored).
@@ -55,3 +60,17 @@ def duplicate_keys(df: DataFrame, keys: list[str], include_nulls: bool = False)
         .agg(F.count(F.lit(1)).alias("n_records"))
         .where(F.col("n_records") > 1)
     )
+
+
+def run_tests(models: Mapping[str, DataFrame], declared: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Evaluate declared data tests: one verdict row per ``(model, test, column)``.
+
+    The verdicts are a union of one-row aggregates planned together, so a
+    model used by several tests is read through shared (reused) exchanges.
+    Test names follow ``<test>_<model>_<column>``.
+    """
+    verdicts = [
+        summarize(TESTS[test](models[model], column), f"{test}_{model}_{column}")
+        for model, test, column in declared
+    ]
+    return reduce(DataFrame.unionByName, verdicts)

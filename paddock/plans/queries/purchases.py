@@ -93,3 +93,37 @@ def q_check_not_null(spark, sf_dir):
     )
 
 
+
+
+# The declared tests: unique and not_null on id, for the enriched purchases
+# model and for the purchases view.
+DECLARED_TESTS = [
+    ("customer_purchase_enriched", "unique", "id"),
+    ("customer_purchase_enriched", "not_null", "id"),
+    ("customer_purchases", "unique", "id"),
+    ("customer_purchases", "not_null", "id"),
+]
+
+
+@register(
+    "data_tests",
+    f"WITH {SQL_PE} "
+    + " UNION ALL ".join(
+        "(" + check_sql(
+            f"{test}_{model}_id",
+            "SELECT id FROM {src} WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1".format(
+                src="pe" if model == "customer_purchase_enriched" else "cp")
+            if test == "unique" else
+            "SELECT id FROM {src} WHERE id IS NULL".format(
+                src="pe" if model == "customer_purchase_enriched" else "cp"),
+        ) + ")"
+        for model, test, _ in DECLARED_TESTS
+    ),
+)
+def q_data_tests(spark, sf_dir):
+    s = StandIns(spark, sf_dir)
+    models_by_name = {
+        "customer_purchase_enriched": enriched_purchases(spark, sf_dir),
+        "customer_purchases": s.purchases(),
+    }
+    return checks.run_tests(models_by_name, DECLARED_TESTS)
