@@ -198,6 +198,7 @@ def upsert(
     null_safe: bool = False,
     check_keys: bool = True,
     path: str | None = None,
+    checkpoint_source: bool = True,
 ) -> None:
     """Insert new keys and replace matched rows of ``name`` by ``source``.
 
@@ -233,7 +234,11 @@ def upsert(
         return
 
     table_cols = spark.table(name).columns if exists else source.columns
-    src = detach(source.select(*table_cols))
+    src = source.select(*table_cols)
+    if checkpoint_source:
+        # Skipped only by callers whose source is a cheap step over data that
+        # is already materialised in the checkpoint folder.
+        src = detach(src)
     dup, touched, null_part = _profile_source(src, list(keys), partition_col, null_safe)
     if check_keys and dup:
         raise ValueError(f"upsert source has duplicate keys {list(keys)}")
