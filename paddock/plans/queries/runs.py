@@ -72,6 +72,9 @@ def q_ingest_csv_runs(spark, sf_dir):
     return spark.table(name)
 
 
+STREAM_TIMEOUT_S = 1800
+
+
 @register("stream_ingest", SQL_ENRICHED_YEAR)
 def q_stream_ingest(spark, sf_dir):
     root = _raw_files(spark, sf_dir)
@@ -82,14 +85,14 @@ def q_stream_ingest(spark, sf_dir):
         timestampNTZFormat=files.TS_NTZ_FORMAT,
     )
     file_ingest.run_file_ingest_once(spark, stream, drivers, sessions, out, ckpt,
-                                     partition_cols=FACT_PARTITIONS)
+                                     partition_cols=FACT_PARTITIONS, timeout_s=STREAM_TIMEOUT_S)
     _second_arrival(spark, sf_dir, root)
     stream = file_ingest.car_stream(
         spark, f"{root}/car_data", "A", ts_type=TimestampNTZType(),
         timestampNTZFormat=files.TS_NTZ_FORMAT,
     )
     file_ingest.run_file_ingest_once(spark, stream, drivers, sessions, out, ckpt,
-                                     partition_cols=FACT_PARTITIONS)
+                                     partition_cols=FACT_PARTITIONS, timeout_s=STREAM_TIMEOUT_S)
     return file_ingest.read_output(spark, out, file_ingest.enriched_schema(stream, drivers, sessions))
 
 

@@ -92,13 +92,20 @@ def run_file_ingest_once(
     partition_cols: Sequence[str] = ("year", "location"),
     timeout_s: float | None = None,
 ) -> StreamingQuery:
-    """Process every file not yet seen, then stop."""
+    """Process every file not yet seen, then stop.
+
+    With ``timeout_s`` a run that has not finished in time is stopped and
+    reported; the checkpoint keeps what was committed, so the next run resumes.
+    """
     q = start_file_ingest(
         spark, car, drivers, sessions, out_path, checkpoint, partition_cols=partition_cols
     )
-    q.awaitTermination(timeout_s)
+    finished = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    if finished is False:
+        q.stop()
+        raise TimeoutError(f"file ingest did not finish within {timeout_s} s")
     return q
 
 
