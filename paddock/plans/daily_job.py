@@ -3,7 +3,7 @@
     spark-submit paddock/plans/daily_job.py \\
         --car s3a://lake/raw/car_data --layout A --recursive \\
         --drivers s3a://lake/raw/driver_data.csv --sessions s3a://lake/raw/sessions.csv \\
-        --fact demo.formula_one_car --average-speed demo.average_speed \\
+        --fact demo.car_telemetry --average-speed demo.average_speed \\
         --avg-speed-gear demo.avg_speed_gear --partition-by year,location,full_name
 
 Prints the run report as one JSON line.  Credentials and catalog settings

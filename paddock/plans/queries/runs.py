@@ -63,7 +63,7 @@ def _raw_car(spark: SparkSession, root: str) -> DataFrame:
 def q_ingest_csv_runs(spark, sf_dir):
     root = _raw_files(spark, sf_dir)
     drivers, sessions = _raw_dims(spark, root)
-    name, path = scratch_table(spark, "formula_one_car")
+    name, path = scratch_table(spark, "car_telemetry")
     ingest.run_ingest(spark, _raw_car(spark, root), drivers, sessions, name,
                         partition_cols=FACT_PARTITIONS, path=path)
     _second_arrival(spark, sf_dir, root)
@@ -126,7 +126,7 @@ def q_table_in_database(spark, sf_dir):
     addressed by a three-part name."""
     db = unique_table_name("paddock_db")
     tables.ensure_database(spark, db, scratch_path(spark, "db"))
-    name = f"spark_catalog.{db}.formula_one_car"
+    name = f"spark_catalog.{db}.car_telemetry"
     created = sinks.create_or_append(enriched_fact(spark, sf_dir, add_year=True), name, FACT_PARTITIONS)
     assert created and sinks.table_exists(spark, name)
     return tables.read_table(spark, name)
