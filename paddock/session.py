@@ -5,7 +5,6 @@ Nothing here runs at import time; callers build the session explicitly.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -111,14 +110,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def unique_table_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (used only by tests that inspect files)."""
-    if path.startswith("file:"):
-        return path[len("file:"):].replace("///", "/", 1) if path.startswith("file:///") else path[5:]
-    return path
-
-
-def is_local_dir(path: str) -> bool:
-    return os.path.isdir(local_path(path))
