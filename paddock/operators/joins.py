@@ -130,6 +130,8 @@ def dimension(
     Caps default to the session settings ``paddock.broadcast.maxRows`` and
     ``paddock.broadcast.maxBytes`` (2,000,000 rows and 64 MiB when unset).
     """
+    if df.isStreaming:
+        return df  # a stream has no size to prove; it stays the streamed side
     conf_rows, conf_bytes = caps(df)
     max_rows = conf_rows if max_rows is None else max_rows
     max_bytes = conf_bytes if max_bytes is None else max_bytes

@@ -195,3 +195,10 @@ def test_upsert_beyond_the_literal_bound_uses_a_semi_join(spark, workdir, monkey
     got = sorted((str(r.date), r.average_speed) for r in spark.table(name).collect())
     assert got == [("2024-01-01", 2.0), ("2024-01-02", 3.0), ("2024-01-03", 1.0),
                    ("2024-01-04", 1.0), ("2024-01-05", 1.0), ("2024-01-09", 4.0)]
+
+
+def test_streaming_frames_are_never_measured(spark, workdir):
+    from paddock.streaming import file_ingest
+
+    stream = file_ingest.car_stream(spark, workdir)
+    assert joins.dimension(stream) is stream
