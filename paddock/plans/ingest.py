@@ -2,8 +2,9 @@
 
 One run is one pass over the raw files:
 
-1. If the target exists, one small job reads its ``max(date)`` (the column
-   alone, partial max per task).  The value is carried in a zone-free form
+1. If the target exists, a small job reads its ``max(date)`` (the column
+   alone, partial max per task; only the latest ``year`` partition when the
+   table is partitioned by year).  The value is carried in a zone-free form
    (epoch microseconds, or wall-clock text for TIMESTAMP_NTZ) and turned back
    into a literal inside the plan, so no time zone touches it and it is
    pushed into the file scan.
@@ -61,6 +62,29 @@ def _watermark_token(df: DataFrame, column: str) -> tuple[int | str | None, int]
     return row["wm"], int(row["n"])
 
 
+def _table_watermark(spark: SparkSession, table: str, column: str = "date") -> tuple[int | str | None, int]:
+    """``(watermark token, row count)`` of a fact table.
+
+    When the table is partitioned by ``year`` (derived from ``column``), the
+    maximum lies in the latest year: that partition alone is read for it, the
+    year list coming from the catalog.  The row count reads no columns.  An
+    empty latest partition (possible after manual deletes) falls back to the
+    full column scan, so the result is always the true maximum.
+    """
+    t = spark.table(table)
+    n = t.count()
+    if n == 0:
+        return None, 0
+    if "year" in sinks.partition_columns(spark, table):
+        years = [int(v) for v in sinks.partition_values(spark, table, "year") if v.lstrip("-").isdigit()]
+        if years:
+            token, _ = _watermark_token(t.where(F.col("year") == max(years)), column)
+            if token is not None:
+                return token, n
+    token, _ = _watermark_token(t, column)
+    return token, n
+
+
 def _token_literal(token: int | str, dtype: DataType) -> Column:
     if isinstance(token, str):
         return F.lit(token).cast(dtype)
@@ -108,7 +132,7 @@ def run_ingest(
     exists = sinks.table_exists(spark, table)
     wm_token, rows_before = (None, 0)
     if exists:
-        wm_token, rows_before = _watermark_token(spark.table(table), "date")
+        wm_token, rows_before = _table_watermark(spark, table)
     new = car
     if wm_token is not None:
         # Strict '>': a row that ties the watermark, or is older, is skipped.
@@ -125,7 +149,7 @@ def run_ingest(
     else:
         sinks.create_table(enriched, table, partition_cols, fmt, path)
 
-    wm_after, rows_after = _watermark_token(spark.table(table), "date")
+    wm_after, rows_after = _table_watermark(spark, table)
     rows_written = _observed(obs_out)
     if rows_written is None:
         rows_written = rows_after - rows_before

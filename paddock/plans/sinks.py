@@ -60,6 +60,22 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def partition_values(spark: SparkSession, name: str, column: str) -> list[str]:
+    """Registered values of one partition column, from the catalog (no job).
+
+    NULL partitions are left out.  Values are the folder-name text.
+    """
+    from urllib.parse import unquote
+
+    out = []
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        for part in row[0].split("/"):
+            key, _, value = part.partition("=")
+            if key == column and value != "__HIVE_DEFAULT_PARTITION__":
+                out.append(unquote(value))
+    return out
+
+
 def is_file_table(spark: SparkSession, name: str) -> bool:
     return (table_provider(spark, name) or "parquet") in FILE_PROVIDERS
 

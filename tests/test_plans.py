@@ -202,3 +202,28 @@ def test_streaming_frames_are_never_measured(spark, workdir):
 
     stream = file_ingest.car_stream(spark, workdir)
     assert joins.dimension(stream) is stream
+
+
+def test_table_watermark_reads_the_latest_year_and_survives_an_empty_one(spark, workdir):
+    import datetime as dt
+    import uuid
+
+    from paddock.plans import sinks
+
+    rows = [(dt.datetime(2023, 5, 1, 10), 2023, "a"), (dt.datetime(2024, 2, 1, 9), 2024, "b"),
+            (dt.datetime(2024, 3, 1, 8), 2024, "c")]
+    df = spark.createDataFrame(rows, "date timestamp, year int, v string")
+    name = f"wm_{uuid.uuid4().hex[:8]}"
+    sinks.create_table(df, name, ["year"], path=f"{workdir}/{name}")
+    token, n = ingest._table_watermark(spark, name)
+    assert n == 3
+    assert ingest._to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 1, 8)
+    # The pruned read is what the watermark job runs.
+    pruned = spark.table(name).where(F.col("year") == 2024).agg(F.max("date"))
+    assert "PartitionFilters: [isnotnull(year" in plan(pruned)
+
+    # A registered but empty later partition must not hide the real maximum.
+    spark.sql(f"ALTER TABLE {name} ADD PARTITION (year=2025)")
+    assert "2025" in sinks.partition_values(spark, name, "year")
+    token, n = ingest._table_watermark(spark, name)
+    assert ingest._to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 1, 8)
