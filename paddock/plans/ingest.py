@@ -62,20 +62,23 @@ def _watermark_token(df: DataFrame, column: str) -> tuple[int | str | None, int]
     return row["wm"], int(row["n"])
 
 
-def _table_watermark(spark: SparkSession, table: str, column: str = "date") -> tuple[int | str | None, int]:
+def _table_watermark(
+    spark: SparkSession, table: str, column: str = "date", year_from_date: bool = True
+) -> tuple[int | str | None, int]:
     """``(watermark token, row count)`` of a fact table.
 
     When the table is partitioned by ``year`` (derived from ``column``), the
     maximum lies in the latest year: that partition alone is read for it, the
     year list coming from the catalog.  The row count reads no columns.  An
     empty latest partition (possible after manual deletes) falls back to the
-    full column scan, so the result is always the true maximum.
+    full column scan, so the result is always the true maximum.  The shortcut
+    is used only when ``year`` is known to be ``year(column)`` (``year_from_date``).
     """
     t = spark.table(table)
     n = t.count()
     if n == 0:
         return None, 0
-    if "year" in sinks.partition_columns(spark, table):
+    if year_from_date and "year" in sinks.partition_columns(spark, table):
         years = [int(v) for v in sinks.partition_values(spark, table, "year") if v.lstrip("-").isdigit()]
         if years:
             token, _ = _watermark_token(t.where(F.col("year") == max(years)), column)
@@ -132,7 +135,7 @@ def run_ingest(
     exists = sinks.table_exists(spark, table)
     wm_token, rows_before = (None, 0)
     if exists:
-        wm_token, rows_before = _table_watermark(spark, table)
+        wm_token, rows_before = _table_watermark(spark, table, year_from_date=add_year)
     new = car
     if wm_token is not None:
         # Strict '>': a row that ties the watermark, or is older, is skipped.
@@ -149,7 +152,7 @@ def run_ingest(
     else:
         sinks.create_table(enriched, table, partition_cols, fmt, path)
 
-    wm_after, rows_after = _table_watermark(spark, table)
+    wm_after, rows_after = _table_watermark(spark, table, year_from_date=add_year)
     rows_written = _observed(obs_out)
     if rows_written is None:
         rows_written = rows_after - rows_before
