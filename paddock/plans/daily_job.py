@@ -39,6 +39,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--full-model-refresh", action="store_true",
                    help="recompute every day of the aggregates (default: only touched days)")
     p.add_argument("--database", default=None, help="CREATE DATABASE IF NOT EXISTS first")
+    p.add_argument("--on-schema-change", default="ignore", choices=["ignore", "sync_all_columns"])
     p.add_argument("--profile", default="cluster", choices=["cluster", "local"],
                    help="session sizing (cluster: wide shuffles coalesced by AQE)")
     return p.parse_args(argv)
@@ -63,11 +64,12 @@ def main(argv: list[str] | None = None) -> dict:
             spark, car, drivers, sessions,
             ingest.DailyTables(a.fact, a.average_speed, a.avg_speed_gear, fact_path=a.fact_path),
             partition_cols=parts, incremental_models=not a.full_model_refresh,
-            add_year=not a.no_year, driver_keys=keys,
+            add_year=not a.no_year, driver_keys=keys, on_schema_change=a.on_schema_change,
         )
     else:
         report = ingest.run_ingest(spark, car, drivers, sessions, a.fact, partition_cols=parts,
-                                     add_year=not a.no_year, driver_keys=keys, path=a.fact_path)
+                                   add_year=not a.no_year, driver_keys=keys, path=a.fact_path,
+                                   on_schema_change=a.on_schema_change)
     out = {k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in report.as_dict().items()}
     print(json.dumps(out))
     return out

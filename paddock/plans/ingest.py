@@ -128,8 +128,14 @@ def run_ingest(
     driver_keys: Sequence[str] = ("driver_number",),
     fmt: str = "parquet",
     path: str | None = None,
+    on_schema_change: str = "ignore",
 ) -> RunReport:
-    """Load car rows newer than the table's watermark into ``table``."""
+    """Load car rows newer than the table's watermark into ``table``.
+
+    ``on_schema_change="sync_all_columns"`` first makes an existing table carry
+    exactly the new rows' columns (added ones NULL for old rows, removed ones
+    dropped, retyped ones cast); ``"ignore"`` appends by name as is.
+    """
     date_type = car.schema["date"].dataType
     sinks.attach_if_present(spark, table, path, fmt)
     exists = sinks.table_exists(spark, table)
@@ -148,6 +154,8 @@ def run_ingest(
     enriched = enriched.observe(obs_out, F.count(F.lit(1)).alias("n"))
 
     if exists:
+        if on_schema_change == "sync_all_columns":
+            sinks.sync_all_columns(spark, table, enriched.schema)
         sinks.append(enriched, table)
     else:
         sinks.create_table(enriched, table, partition_cols, fmt, path)
@@ -233,6 +241,7 @@ def run_daily(
     incremental_models: bool = True,
     add_year: bool = True,
     driver_keys: Sequence[str] = ("driver_number",),
+    on_schema_change: str = "ignore",
 ) -> RunReport:
     """One scheduled run: ingest new car rows, then bring both aggregates up to date.
 
@@ -243,7 +252,8 @@ def run_daily(
     recomputes every day, as the SQL models do.
     """
     report = run_ingest(spark, car, drivers, sessions, tables.fact, partition_cols=partition_cols,
-                        add_year=add_year, driver_keys=driver_keys, path=tables.fact_path)
+                        add_year=add_year, driver_keys=driver_keys, path=tables.fact_path,
+                        on_schema_change=on_schema_change)
     if report.wrote or not sinks.table_exists(spark, tables.average_speed):
         since = report.watermark_before if incremental_models else None
         refresh_daily_models(

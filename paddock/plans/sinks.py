@@ -215,9 +215,13 @@ def upsert(
     check_keys: bool = True,
     path: str | None = None,
     checkpoint_source: bool = True,
+    on_schema_change: str = "ignore",
 ) -> None:
     """Insert new keys and replace matched rows of ``name`` by ``source``.
 
+    ``on_schema_change="sync_all_columns"`` first aligns the table's columns
+    with the source's (see ``sync_all_columns``).
+
     File tables must be partitioned by ``partition_col``, which must be one of
     the keys: a key can then only match inside its own partition, and only the
     partitions that ``source`` touches are read and rewritten.
@@ -236,6 +240,8 @@ def upsert(
         raise ValueError(f"partition column {partition_col!r} must be one of the keys {list(keys)}")
     attach_if_present(spark, name, path)
     exists = table_exists(spark, name)
+    if exists and on_schema_change == "sync_all_columns":
+        sync_all_columns(spark, name, source.schema)
     if exists and not is_file_table(spark, name):
         if check_keys and not duplicate_keys(source, list(keys), include_nulls=null_safe).isEmpty():
             raise ValueError(f"upsert source has duplicate keys {list(keys)}")

@@ -298,3 +298,32 @@ def test_daily_job_command_line(raw):
     # A new process: the table is found at its location and only c8 is new.
     assert (rep["created"], rep["new_fact_rows"], rep["rows_written"], rep["table_rows"]) == (False, 1, 2, 8)
     assert rep["watermark_before"] == "2023-09-22T05:00:01"
+
+
+def test_schema_sync_on_ingest_and_upsert(spark, raw):
+    """A run whose rows gain a column syncs the table first (old rows NULL)."""
+    drivers, sessions = _dims(spark, raw)
+    name = f"sync_{uuid.uuid4().hex[:8]}"
+    ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, name, add_year=False,
+                      partition_cols=("team_name",), path=f"{raw}/tables/{name}")
+    assert "year" not in spark.table(name).columns
+    write_text(f"{raw}/car_data/2023/09/batch2.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH2)))
+    r = ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, name, add_year=True,
+                          partition_cols=("team_name",), on_schema_change="sync_all_columns")
+    assert r.rows_written == 2
+    t = spark.table(name)
+    assert "year" in t.columns and sinks.partition_columns(spark, name) == ["team_name"]
+    years = sorted((r.year is None) for r in t.collect())
+    assert years.count(True) == 6 and years.count(False) == 2
+
+    # Upsert: the source lost a column and retyped another.
+    schema = "team_name string, full_name string, location string, date date, average_speed double, n int"
+    a = f"sync_avg_{uuid.uuid4().hex[:8]}"
+    sinks.upsert(spark.createDataFrame([("T", "D", "L", dt.date(2024, 1, 1), 1.0, 5)], schema), a,
+                 AVERAGE_SPEED_KEYS, path=f"{raw}/tables/{a}")
+    new = spark.createDataFrame([("T", "D", "L", dt.date(2024, 1, 2), 2)],
+                                "team_name string, full_name string, location string, date date, average_speed int")
+    sinks.upsert(new, a, AVERAGE_SPEED_KEYS, on_schema_change="sync_all_columns")
+    t = spark.table(a)
+    assert "n" not in t.columns and dict(t.dtypes)["average_speed"] == "int"
+    assert sorted((str(r.date), r.average_speed) for r in t.collect()) == [("2024-01-01", 1), ("2024-01-02", 2)]
