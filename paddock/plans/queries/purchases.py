@@ -105,21 +105,24 @@ DECLARED_TESTS = [
 ]
 
 
-@register(
-    "data_tests",
-    f"WITH {SQL_PE} "
-    + " UNION ALL ".join(
-        "(" + check_sql(
-            f"{test}_{model}_id",
-            "SELECT id FROM {src} WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1".format(
-                src="pe" if model == "customer_purchase_enriched" else "cp")
-            if test == "unique" else
-            "SELECT id FROM {src} WHERE id IS NULL".format(
-                src="pe" if model == "customer_purchase_enriched" else "cp"),
-        ) + ")"
-        for model, test, _ in DECLARED_TESTS
-    ),
-)
+# DuckDB: the oracle's CTE holding each model, and each test's failing rows.
+_MODEL_CTE = {"customer_purchase_enriched": "pe", "customer_purchases": "cp"}
+_FAILING_SQL = {
+    "unique": "SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1",
+    "not_null": "SELECT {col} FROM {src} WHERE {col} IS NULL",
+}
+
+
+def _data_tests_sql() -> str:
+    verdicts = [
+        "(" + check_sql(f"{test}_{model}_{col}",
+                        _FAILING_SQL[test].format(col=col, src=_MODEL_CTE[model])) + ")"
+        for model, test, col in DECLARED_TESTS
+    ]
+    return f"WITH {SQL_PE} " + " UNION ALL ".join(verdicts)
+
+
+@register("data_tests", _data_tests_sql())
 def q_data_tests(spark, sf_dir):
     s = StandIns(spark, sf_dir)
     models_by_name = {
