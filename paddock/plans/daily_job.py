@@ -27,6 +27,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--layout", default="A", choices=["A", "B", "a", "b"])
     p.add_argument("--recursive", action="store_true", help="read every file below --car")
     p.add_argument("--positional", action="store_true", help="bind CSV columns by position")
+    p.add_argument("--files-modified-after", default=None,
+                   help="read only car files modified after this time (the previous run's start)")
     p.add_argument("--drivers", required=True)
     p.add_argument("--sessions", required=True)
     p.add_argument("--fact", required=True, help="fact table name")
@@ -54,7 +56,8 @@ def main(argv: list[str] | None = None) -> dict:
     spark = build_session(app_name="paddock-daily", profile=a.profile)
     if a.database:
         tables.ensure_database(spark, a.database)
-    car = files.read_car_csv(spark, a.car, a.layout, recursive=a.recursive, positional=a.positional)
+    car = files.read_car_csv(spark, a.car, a.layout, recursive=a.recursive, positional=a.positional,
+                             modified_after=a.files_modified_after)
     drivers = files.read_drivers(spark, a.drivers)
     sessions = files.read_sessions(spark, a.sessions)
     parts = tuple(c for c in a.partition_by.split(",") if c)

@@ -31,12 +31,20 @@ def read_csv(
     mode: str = "PERMISSIVE",
     timestamp_ntz_format: str | None = None,
     timestamp_format: str | None = None,
+    modified_after: str | None = None,
 ) -> DataFrame:
     """Read CSV text with a fixed schema.
 
     ``recursive=True`` lists every file below ``path`` (no partition
     discovery); otherwise ``path`` may be a file, a folder or a glob such as
     ``dir/*.csv``.
+
+    ``modified_after`` (``YYYY-MM-DDTHH:mm:ss``, session time zone) skips files
+    last modified before it, at listing time.  A daily run that passes its
+    previous run's start then parses only new files instead of the whole raw
+    history; the result equals a full read when raw files are written once and
+    never appended to later (rows newer than the watermark only arrive in new
+    files).
     """
     reader = (
         spark.read.schema(schema)
@@ -50,6 +58,8 @@ def read_csv(
         reader = reader.option("timestampNTZFormat", timestamp_ntz_format)
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
     return reader.csv(path)
 
 

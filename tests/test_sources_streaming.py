@@ -92,3 +92,16 @@ def test_csv_timestamp_forms(spark, workdir):
         (301, dt.datetime(2023, 9, 16, 13, 0, 1, 500000)),
         (302, dt.datetime(2023, 9, 16, 13, 0, 2)),
     ]
+
+
+def test_modified_after_reads_only_new_files(spark, workdir):
+    import os
+    import time
+
+    old = write_text(f"{workdir}/mod/a/old.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH1)))
+    past = time.time() - 3 * 86400
+    os.utime(old, (past, past))
+    write_text(f"{workdir}/mod/b/new.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH2)))
+    cutoff = time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime(time.time() - 86400))
+    assert files.read_car_csv(spark, f"{workdir}/mod").count() == 9
+    assert files.read_car_csv(spark, f"{workdir}/mod", modified_after=cutoff).count() == 3
