@@ -5,7 +5,15 @@ from __future__ import annotations
 import uuid
 
 from paddock.operators import checks, models
-from paddock.plans.queries.base import enriched_purchases, register
+from paddock.plans.purchase_models import (
+    DECLARED_TESTS,
+    ENRICHED_TABLE,
+    PURCHASES_VIEW,
+    REGION_COUNTS_TABLE,
+    PurchaseModelNames,
+    build_purchase_models,
+)
+from paddock.plans.queries.base import enriched_purchases, register, scratch_table
 from paddock.plans.queries.oracle import SQL_CP, SQL_PE, check_sql
 from paddock.plans.standins import StandIns
 
@@ -95,18 +103,12 @@ def q_check_not_null(spark, sf_dir):
 
 
 
-# The declared tests: unique and not_null on id, for the enriched purchases
-# model and for the purchases view.
-DECLARED_TESTS = [
-    ("customer_purchase_enriched", "unique", "id"),
-    ("customer_purchase_enriched", "not_null", "id"),
-    ("customer_purchases", "unique", "id"),
-    ("customer_purchases", "not_null", "id"),
-]
+# The declared tests (unique and not_null on id, for the enriched purchases
+# model and the purchases view) live with the model chain.
 
 
 # DuckDB: the oracle's CTE holding each model, and each test's failing rows.
-_MODEL_CTE = {"customer_purchase_enriched": "pe", "customer_purchases": "cp"}
+_MODEL_CTE = {ENRICHED_TABLE: "pe", PURCHASES_VIEW: "cp"}
 _FAILING_SQL = {
     "unique": "SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1",
     "not_null": "SELECT {col} FROM {src} WHERE {col} IS NULL",
@@ -125,8 +127,30 @@ def _data_tests_sql() -> str:
 @register("data_tests", _data_tests_sql())
 def q_data_tests(spark, sf_dir):
     s = StandIns(spark, sf_dir)
-    models_by_name = {
-        "customer_purchase_enriched": enriched_purchases(spark, sf_dir),
-        "customer_purchases": s.purchases(),
-    }
+    models_by_name = {ENRICHED_TABLE: enriched_purchases(spark, sf_dir), PURCHASES_VIEW: s.purchases()}
     return checks.run_tests(models_by_name, DECLARED_TESTS)
+
+
+def _build(spark, sf_dir):
+    s = StandIns(spark, sf_dir)
+    tag, root = scratch_table(spark, "purchase_models")
+    names = PurchaseModelNames(prefix=f"{tag}_", path_root=root)
+    verdicts = build_purchase_models(spark, s.purchases(), s.regions(), s.products(), names)
+    return names, verdicts
+
+
+@register(
+    "purchase_models_build",
+    f"WITH {SQL_PE} SELECT region, COUNT(*) AS orders FROM pe GROUP BY region",
+)
+def q_purchase_models_build(spark, sf_dir):
+    """Run the model chain; the region-count table it materialised, read back."""
+    names, _ = _build(spark, sf_dir)
+    return spark.table(names.table(REGION_COUNTS_TABLE))
+
+
+@register("purchase_models_tests", _data_tests_sql())
+def q_purchase_models_tests(spark, sf_dir):
+    """The same chain; its data-test verdicts over the materialised models."""
+    _, verdicts = _build(spark, sf_dir)
+    return verdicts
