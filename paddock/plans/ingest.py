@@ -48,7 +48,7 @@ class RunReport:
         return asdict(self)
 
 
-def _watermark_token(df: DataFrame, column: str) -> tuple[int | str | None, int]:
+def watermark_token(df: DataFrame, column: str) -> tuple[int | str | None, int]:
     """``(max(column), count)`` with the maximum in a zone-free form.
 
     TIMESTAMP (an instant) travels as epoch microseconds; TIMESTAMP_NTZ (a
@@ -62,7 +62,7 @@ def _watermark_token(df: DataFrame, column: str) -> tuple[int | str | None, int]
     return row["wm"], int(row["n"])
 
 
-def _table_watermark(
+def table_watermark(
     spark: SparkSession, table: str, column: str = "date", year_from_date: bool = True
 ) -> tuple[int | str | None, int]:
     """``(watermark token, row count)`` of a fact table.
@@ -81,14 +81,14 @@ def _table_watermark(
     if year_from_date and "year" in sinks.partition_columns(spark, table):
         years = [int(v) for v in sinks.partition_values(spark, table, "year") if v.lstrip("-").isdigit()]
         if years:
-            token, _ = _watermark_token(t.where(F.col("year") == max(years)), column)
+            token, _ = watermark_token(t.where(F.col("year") == max(years)), column)
             if token is not None:
                 return token, n
-    token, _ = _watermark_token(t, column)
+    token, _ = watermark_token(t, column)
     return token, n
 
 
-def _token_literal(token: int | str, dtype: DataType) -> Column:
+def token_literal(token: int | str, dtype: DataType) -> Column:
     if isinstance(token, str):
         return F.lit(token).cast(dtype)
     return F.timestamp_micros(F.lit(token)).cast(dtype)
@@ -106,7 +106,7 @@ def _observed(obs: Observation) -> int | None:
         return None
 
 
-def _to_datetime(spark: SparkSession, token: int | str | None, dtype: DataType) -> datetime | None:
+def token_to_datetime(spark: SparkSession, token: int | str | None, dtype: DataType) -> datetime | None:
     """The watermark as the value a collected row would hold (no Spark job):
     wall-clock text as is, an instant as local time like PySpark returns it."""
     if token is None:
@@ -141,11 +141,11 @@ def run_ingest(
     exists = sinks.table_exists(spark, table)
     wm_token, rows_before = (None, 0)
     if exists:
-        wm_token, rows_before = _table_watermark(spark, table, year_from_date=add_year)
+        wm_token, rows_before = table_watermark(spark, table, year_from_date=add_year)
     new = car
     if wm_token is not None:
         # Strict '>': a row that ties the watermark, or is older, is skipped.
-        new = car.where(F.col("date") > _token_literal(wm_token, date_type))
+        new = car.where(F.col("date") > token_literal(wm_token, date_type))
 
     obs_new = Observation("new_fact_rows")
     obs_out = Observation("rows_written")
@@ -160,7 +160,7 @@ def run_ingest(
     else:
         sinks.create_table(enriched, table, partition_cols, fmt, path)
 
-    wm_after, rows_after = _table_watermark(spark, table, year_from_date=add_year)
+    wm_after, rows_after = table_watermark(spark, table, year_from_date=add_year)
     rows_written = _observed(obs_out)
     if rows_written is None:
         rows_written = rows_after - rows_before
@@ -172,11 +172,11 @@ def run_ingest(
     return RunReport(
         table=table,
         created=not exists,
-        watermark_before=_to_datetime(spark, wm_token, date_type),
+        watermark_before=token_to_datetime(spark, wm_token, date_type),
         new_fact_rows=int(new_rows),
         rows_written=int(rows_written),
         table_rows=rows_after,
-        watermark_after=_to_datetime(spark, wm_after, date_type),
+        watermark_after=token_to_datetime(spark, wm_after, date_type),
     )
 
 

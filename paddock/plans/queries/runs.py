@@ -175,3 +175,34 @@ def q_ingest_layout_b(spark, sf_dir):
     ingest.run_ingest(spark, car, drivers, sessions, name, partition_cols=("team_name",),
                       add_year=False, path=path)
     return spark.table(name)
+
+
+def _telemetry_chain(spark: SparkSession, sf_dir: str):
+    """The ingest output grows by two loads; the model chain runs after each."""
+    from paddock.plans.telemetry_models import TelemetryModelNames, build_telemetry_models
+
+    e = enriched_fact(spark, sf_dir, add_year=True)
+    source, source_path = scratch_table(spark, "chain_source")
+    tag, root = scratch_table(spark, "chain")
+    names = TelemetryModelNames(prefix=f"{tag}_", path_root=root)
+    sinks.create_table(e.where(F.col("date") < ts_ntz(LOADED_BEFORE)), source, FACT_PARTITIONS, path=source_path)
+    # The stand-in has one "driver" per customer: partition the copy by team
+    # only (the reference adds the driver name).
+    build_telemetry_models(spark, source, names, copy_partitions=("team_name",))
+    sinks.append(e.where(F.col("date") >= ts_ntz(LOADED_BEFORE)), source)
+    build_telemetry_models(spark, source, names, copy_partitions=("team_name",))
+    return names
+
+
+@register("telemetry_models_average_speed", f"WITH {SQL_ENRICHED} {SQL_AVG.format(src='enriched')}")
+def q_telemetry_models_average_speed(spark, sf_dir):
+    from paddock.plans.telemetry_models import AVERAGE_SPEED
+
+    return spark.table(_telemetry_chain(spark, sf_dir).table(AVERAGE_SPEED))
+
+
+@register("telemetry_models_copy", SQL_ENRICHED_YEAR)
+def q_telemetry_models_copy(spark, sf_dir):
+    from paddock.plans.telemetry_models import FACT_COPY
+
+    return spark.table(_telemetry_chain(spark, sf_dir).table(FACT_COPY))

@@ -67,7 +67,7 @@ def test_watermark_literal_reaches_the_csv_scan(spark, workdir):
     write_text(f"{workdir}/car/one.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH1)))
     car = files.read_car_csv(spark, f"{workdir}/car")
     wm = 1693573200000000  # 2023-09-01 13:00:00 UTC in microseconds
-    new = car.where(F.col("date") > ingest._token_literal(wm, car.schema["date"].dataType))
+    new = car.where(F.col("date") > ingest.token_literal(wm, car.schema["date"].dataType))
     p = plan(new)
     assert re.search(r"PushedFilters: \[IsNotNull\(date\), GreaterThan\(date,2023-09-01 13:00:00", p) or \
         re.search(r"PushedFilters: \[IsNotNull\(date\), GreaterThan\(date,2023-09-01T13:00", p), p
@@ -113,10 +113,10 @@ def test_ntz_watermark_round_trip_ignores_session_zone(spark):
     try:
         # 02:30 does not exist on this day in New York; no zone may touch it.
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        token, n = ingest._watermark_token(df, "date")
+        token, n = ingest.watermark_token(df, "date")
         assert token == "2024-03-10 02:30:00.123456" and n == 1
-        assert df.where(F.col("date") > ingest._token_literal(token, df.schema["date"].dataType)).count() == 0
-        assert ingest._to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 10, 2, 30, 0, 123456)
+        assert df.where(F.col("date") > ingest.token_literal(token, df.schema["date"].dataType)).count() == 0
+        assert ingest.token_to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 10, 2, 30, 0, 123456)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
@@ -215,9 +215,9 @@ def test_table_watermark_reads_the_latest_year_and_survives_an_empty_one(spark,
     df = spark.createDataFrame(rows, "date timestamp, year int, v string")
     name = f"wm_{uuid.uuid4().hex[:8]}"
     sinks.create_table(df, name, ["year"], path=f"{workdir}/{name}")
-    token, n = ingest._table_watermark(spark, name)
+    token, n = ingest.table_watermark(spark, name)
     assert n == 3
-    assert ingest._to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 1, 8)
+    assert ingest.token_to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 1, 8)
     # The pruned read is what the watermark job runs.
     pruned = spark.table(name).where(F.col("year") == 2024).agg(F.max("date"))
     assert "PartitionFilters: [isnotnull(year" in plan(pruned)
@@ -225,5 +225,5 @@ def test_table_watermark_reads_the_latest_year_and_survives_an_empty_one(spark,
     # A registered but empty later partition must not hide the real maximum.
     spark.sql(f"ALTER TABLE {name} ADD PARTITION (year=2025)")
     assert "2025" in sinks.partition_values(spark, name, "year")
-    token, n = ingest._table_watermark(spark, name)
-    assert ingest._to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 1, 8)
+    token, n = ingest.table_watermark(spark, name)
+    assert ingest.token_to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 1, 8)
