@@ -327,3 +327,29 @@ def test_schema_sync_on_ingest_and_upsert(spark, raw):
     t = spark.table(a)
     assert "n" not in t.columns and dict(t.dtypes)["average_speed"] == "int"
     assert sorted((str(r.date), r.average_speed) for r in t.collect()) == [("2024-01-01", 1), ("2024-01-02", 2)]
+
+
+def test_telemetry_model_chain_golden(spark, raw):
+    from paddock.plans.telemetry_models import (
+        AVERAGE_SPEED, FACT_COPY, TelemetryModelNames, build_telemetry_models,
+    )
+
+    drivers, sessions = _dims(spark, raw)
+    u = uuid.uuid4().hex[:8]
+    src = f"chain_src_{u}"
+    names = TelemetryModelNames(prefix=f"chain_{u}_", path_root=f"{raw}/tables/chain_{u}")
+    ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, src, path=f"{raw}/tables/{src}")
+    assert build_telemetry_models(spark, src, names) == 6
+    assert _avg(spark.table(names.table(AVERAGE_SPEED)).collect())[-1] == \
+        ("Silver", "Lewis H", "Suzuka", "2023-09-22", 280.0)
+    assert sinks.partition_columns(spark, names.table(FACT_COPY)) == ["team_name", "full_name"]
+
+    write_text(f"{raw}/car_data/2023/09/batch2.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH2)))
+    ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, src)
+    assert build_telemetry_models(spark, src, names) == 2
+    assert build_telemetry_models(spark, src, names) == 0  # nothing new, nothing changes
+    assert _avg(spark.table(names.table(AVERAGE_SPEED)).collect()) == [
+        ("Red", "Max V", "Monza", "2023-09-01", 305.0),
+        ("Silver", "Lewis H", "Monza", "2023-09-01", 290.0),
+        ("Silver", "Lewis H", "Suzuka", "2023-09-22", 275.0),
+    ]
