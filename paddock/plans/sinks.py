@@ -374,7 +374,9 @@ def sync_all_columns(
 
     Existing rows get NULL in added columns; removed columns are dropped;
     retyped columns are cast (a value that does not convert fails the job
-    rather than being lost).  Partition columns stay partition columns.
+    rather than being lost).  Partition columns stay partition columns.  On a
+    file table, added columns alone are a metadata change (no data is read or
+    written); a drop or a retype rewrites the table from a checkpointed copy.
     """
     target = spark.table(name)
     change = schema_change(target.schema, new_schema)
@@ -388,6 +390,11 @@ def sync_all_columns(
         for c in change.retyped:
             spark.sql(f"ALTER TABLE {name} ALTER COLUMN {c} TYPE {new_schema[c].dataType.simpleString()}")
         return change
+    if not change.removed and not change.retyped:
+        # Additions only: a metadata change; old files read the new columns as NULL.
+        cols = ", ".join(f"`{c}` {new_schema[c].dataType.simpleString()}" for c in change.added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
+        return change
     parts = [c for c in partition_columns(spark, name) if c in new_schema.fieldNames()]
     staged = detach(align_to_schema(target, new_schema))
     refresh(staged, name, parts, path=path)

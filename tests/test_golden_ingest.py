@@ -353,3 +353,26 @@ def test_telemetry_model_chain_golden(spark, raw):
         ("Silver", "Lewis H", "Monza", "2023-09-01", 290.0),
         ("Silver", "Lewis H", "Suzuka", "2023-09-22", 275.0),
     ]
+
+
+def test_added_columns_only_change_metadata(spark, workdir):
+    """Adding a column keeps every existing data file untouched."""
+    import os
+
+    from pyspark.sql.types import StructType
+
+    name = f"addcol_{uuid.uuid4().hex[:8]}"
+    path = f"{workdir}/{name}"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, p string")
+    sinks.create_table(df, name, ["p"], path=path)
+    files_before = {os.path.join(r, f): os.path.getmtime(os.path.join(r, f))
+                    for r, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    new = StructType.fromDDL("id bigint, extra string, p string")
+    change = sinks.sync_all_columns(spark, name, new)
+    assert change.added == ["extra"] and not change.removed and not change.retyped
+    files_after = {os.path.join(r, f): os.path.getmtime(os.path.join(r, f))
+                   for r, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    assert files_after == files_before
+    sinks.append(spark.createDataFrame([(3, "x", "c")], "id bigint, extra string, p string"), name)
+    got = sorted((r.id, r.extra, r.p) for r in spark.table(name).collect())
+    assert got == [(1, None, "a"), (2, None, "b"), (3, "x", "c")]
