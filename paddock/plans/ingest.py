@@ -230,10 +230,12 @@ def refresh_daily_models(
     # One pass over the fact feeds both models.
     partials = sinks.detach(models.speed_partials(fact))
     # Each model is a small step over the checkpointed partials.
+    # Each model is a small step over the checkpointed partials, grouped by
+    # exactly its keys, so its keys are unique by construction.
     sinks.upsert(models.average_speed_from_partials(partials), average_speed_table, AVERAGE_SPEED_KEYS,
-                 path=path_average_speed, checkpoint_source=False)
+                 path=path_average_speed, checkpoint_source=False, check_keys=False)
     sinks.upsert(models.avg_speed_gear_from_partials(partials), avg_speed_gear_table, AVG_SPEED_GEAR_KEYS,
-                 path=path_avg_speed_gear, checkpoint_source=False)
+                 path=path_avg_speed_gear, checkpoint_source=False, check_keys=False)
 
 
 @dataclass

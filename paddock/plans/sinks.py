@@ -271,9 +271,9 @@ def upsert(
         # Skipped only by callers whose source is a cheap step over data that
         # is already materialised in the checkpoint folder.
         src = detach(src)
-    dup, touched, null_part = _profile_source(src, list(keys), partition_col, null_safe)
-    if check_keys and dup:
+    if check_keys and not duplicate_keys(src, list(keys), include_nulls=null_safe).isEmpty():
         raise ValueError(f"upsert source has duplicate keys {list(keys)}")
+    touched, null_part = _touched_partitions(src, partition_col) if exists else (None, False)
     if not exists:
         create_table(src, name, [partition_col], path=path)
         return
@@ -295,32 +295,20 @@ def upsert(
         writer.insertInto(name)
 
 
-def _profile_source(src: DataFrame, keys: list[str], partition_col: str, null_safe: bool):
-    """(duplicate keys?, touched partition values or None, NULL partition touched?).
+def _touched_partitions(src: DataFrame, partition_col: str) -> tuple[list | None, bool]:
+    """(touched non-NULL partition values, or None if more than
+    MAX_PRUNING_VALUES; whether the NULL partition is touched).
 
-    One distributed pass gives the largest key multiplicity and the number of
-    distinct partition values (keys are grouped first, partial counts per
-    task).  Only when that number is within MAX_PRUNING_VALUES are the values
-    themselves fetched; otherwise None tells the caller to use a semi-join.
+    A distributed ``distinct`` with a bounded fetch: at most
+    ``MAX_PRUNING_VALUES + 1`` values ever reach the driver, and when there
+    are more the caller switches to an exact semi-join instead.
     """
-    per_key = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    counted = F.col("_n")
-    if not null_safe:
-        present = F.lit(True)
-        for k in keys:
-            present = present & F.col(k).isNotNull()
-        counted = F.when(present, counted)
-    row = per_key.agg(
-        F.max(counted).alias("max_n"),
-        F.count_distinct(partition_col).alias("n_parts"),
-        F.max(F.col(partition_col).isNull()).alias("null_part"),
-    ).first()
-    dup = (row["max_n"] or 0) > 1
-    touched = None
-    if row["n_parts"] <= MAX_PRUNING_VALUES:
-        values = src.where(F.col(partition_col).isNotNull()).select(partition_col).distinct()
-        touched = [r[0] for r in values.collect()]
-    return dup, touched, bool(row["null_part"])
+    values = [r[0] for r in src.select(partition_col).distinct().limit(MAX_PRUNING_VALUES + 2).collect()]
+    present = [v for v in values if v is not None]
+    null_part = len(present) < len(values)
+    if len(present) > MAX_PRUNING_VALUES:
+        return None, null_part
+    return present, null_part
 
 
 class _dynamic_overwrite:
