@@ -13,7 +13,6 @@ from paddock.plans.standins import StandIns
 # --- scalar helpers over whole tables ---------------------------------------------------------------
 
 
-
 @register(
     "json_map_sum",
     f"SELECT event_id, CASE WHEN props IS NULL THEN NULL "

@@ -86,7 +86,6 @@ def q_scan_dim_sessions(spark, sf_dir):
 # --- sinks: tables written under the scratch root and read back ---------------------------------
 
 
-
 @register("table_roundtrip", SQL_ENRICHED_YEAR)
 def q_table_roundtrip(spark, sf_dir):
     name, path = scratch_table(spark, "fact_roundtrip")

@@ -94,7 +94,6 @@ def days_values_sql() -> str:
     return f"days(day_name, is_weekday, activity) AS (VALUES {rows})"
 
 
-
 SQL_JSON_MAP = "CAST(CAST(props AS JSON) AS MAP(VARCHAR, DOUBLE))"
 
 SQL_ENRICHED_YEAR = f'WITH {SQL_ENRICHED} SELECT *, CAST(year("date") AS INTEGER) AS year FROM enriched'

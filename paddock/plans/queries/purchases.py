@@ -101,8 +101,6 @@ def q_check_not_null(spark, sf_dir):
     )
 
 
-
-
 # The declared tests (unique and not_null on id, for the enriched purchases
 # model and the purchases view) live with the model chain.
 

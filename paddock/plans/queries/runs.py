@@ -99,7 +99,6 @@ def q_stream_ingest(spark, sf_dir):
 # --- run report and catalog namespaces ---------------------------------------------------------
 
 
-
 @register("ingest_report", SQL_INGEST_REPORT)
 def q_ingest_report(spark, sf_dir):
     """Two runs of the ingest over the stand-in car frame; one report row each."""
@@ -158,8 +157,6 @@ def q_daily_avg_speed_gear(spark, sf_dir):
     return spark.table(_daily_scenario(spark, sf_dir, "daily").avg_speed_gear)
 
 
-
-
 @register("ingest_layout_b", f"WITH {SQL_ENRICHED} SELECT * FROM enriched")
 def q_ingest_layout_b(spark, sf_dir):
     """The second job's flavour: alphabetical (B) car files read through a
