@@ -146,3 +146,34 @@ def test_every_registered_query_has_an_oracle_and_a_unique_name():
     assert set(names) == set(ent.oracle_sql())
     for m in pkgutil.walk_packages(importlib.import_module("paddock").__path__, "paddock."):
         importlib.import_module(m.name)
+
+
+def test_hot_partition_value_is_written_by_several_tasks(spark, workdir):
+    """A partition value holding a third of the rows is split across tasks."""
+    import os
+    import uuid
+
+    from paddock.plans import sinks
+
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "true"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 60_000
+        df = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("p"),
+            F.col("id"), (F.col("id") * 7).alias("v"),
+        )
+        name = f"hotpart_{uuid.uuid4().hex[:8]}"
+        sinks.create_table(df, name, ["p"], path=f"{workdir}/{name}")
+        hot_files = [f for f in os.listdir(f"{workdir}/{name}/p=hot") if f.endswith(".parquet")]
+        assert len(hot_files) > 1
+        assert spark.table(name).count() == n
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
