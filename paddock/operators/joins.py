@@ -71,7 +71,7 @@ MEASURE_TTL_SECONDS = 15 * 60
 
 def _cache_key(df: DataFrame, max_rows: int) -> tuple | None:
     try:
-        return (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+        return (df.sparkSession.conf.get("spark.app.id", ""), df.semanticHash(),
                 tuple(sorted(df.inputFiles())), max_rows)
     except Exception:  # noqa: BLE001 - e.g. streaming frames: no cache
         return None

@@ -70,10 +70,20 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None under Spark Connect (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
@@ -82,10 +92,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     temporary folder is created and registered; on a cluster an unset value is
     an error, so staged data never lands in a machine-local folder.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    sc = _context(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        # Spark Connect: the server's own setting is used by checkpoint().
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must be set on the Spark Connect server")
+        return configured.rstrip("/")
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if configured:
         if not current:
