@@ -15,7 +15,10 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import time
+from datetime import datetime
 from pathlib import Path
+from zoneinfo import ZoneInfo
 
 if __package__ in (None, ""):
     sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
@@ -28,7 +31,11 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--recursive", action="store_true", help="read every file below --car")
     p.add_argument("--positional", action="store_true", help="bind CSV columns by position")
     p.add_argument("--files-modified-after", default=None,
-                   help="read only car files modified after this time (the previous run's start)")
+                   help="read only car files modified after this time (YYYY-MM-DDTHH:mm:ss, session "
+                        "zone), or 'auto': the previous logged run's start minus --modified-margin")
+    p.add_argument("--modified-margin", type=int, default=3600,
+                   help="seconds subtracted from the previous run's start for 'auto' (clock skew)")
+    p.add_argument("--run-log", default=None, help="run-log table (default: <fact>_runs)")
     p.add_argument("--drivers", required=True)
     p.add_argument("--sessions", required=True)
     p.add_argument("--fact", required=True, help="fact table name")
@@ -53,11 +60,24 @@ def main(argv: list[str] | None = None) -> dict:
     from paddock.sources import files, tables
 
     a = parse_args(argv)
+    started = int(time.time())
     spark = build_session(app_name="paddock-daily", profile=a.profile)
     if a.database:
         tables.ensure_database(spark, a.database)
+    log_table = a.run_log or f"{a.fact}_runs"
+    log_path = f"{a.fact_path.rstrip('/')}_runs" if a.fact_path else None
+    modified_after = a.files_modified_after
+    if modified_after == "auto":
+        # Raw files are written once: files older than the previous run's start
+        # (less a margin for clock skew) were all read by an earlier run.
+        previous = ingest.last_run_started(spark, log_table, log_path)
+        zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone", "UTC"))
+        modified_after = (
+            datetime.fromtimestamp(previous - a.modified_margin, zone).strftime("%Y-%m-%dT%H:%M:%S")
+            if previous is not None else None
+        )
     car = files.read_car_csv(spark, a.car, a.layout, recursive=a.recursive, positional=a.positional,
-                             modified_after=a.files_modified_after)
+                             modified_after=modified_after)
     drivers = files.read_drivers(spark, a.drivers)
     sessions = files.read_sessions(spark, a.sessions)
     parts = tuple(c for c in a.partition_by.split(",") if c)
@@ -73,7 +93,9 @@ def main(argv: list[str] | None = None) -> dict:
         report = ingest.run_ingest(spark, car, drivers, sessions, a.fact, partition_cols=parts,
                                    add_year=not a.no_year, driver_keys=keys, path=a.fact_path,
                                    on_schema_change=a.on_schema_change)
+    ingest.log_run(spark, log_table, report, started, log_path)
     out = {k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in report.as_dict().items()}
+    out["files_modified_after"] = modified_after
     print(json.dumps(out))
     return out
 

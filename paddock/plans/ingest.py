@@ -279,3 +279,31 @@ def run_daily(
             path_average_speed=tables.average_speed_path, path_avg_speed_gear=tables.avg_speed_gear_path,
         )
     return report
+
+
+# --- run log ---------------------------------------------------------------------
+
+RUN_LOG_SCHEMA = (
+    "run_started_epoch BIGINT, fact STRING, created BOOLEAN, watermark_before STRING, "
+    "new_fact_rows BIGINT, rows_written BIGINT, table_rows BIGINT, watermark_after STRING"
+)
+
+
+def log_run(spark: SparkSession, log_table: str, report: RunReport, started_epoch: int,
+            path: str | None = None) -> None:
+    """Append one row describing a finished run to a small run-log table."""
+    def iso(v):
+        return v.isoformat(sep=" ") if v is not None else None
+
+    row = [(started_epoch, report.table, report.created, iso(report.watermark_before),
+            report.new_fact_rows, report.rows_written, report.table_rows, iso(report.watermark_after))]
+    sinks.attach_if_present(spark, log_table, path)
+    sinks.create_or_append(spark.createDataFrame(row, RUN_LOG_SCHEMA), log_table, path=path)
+
+
+def last_run_started(spark: SparkSession, log_table: str, path: str | None = None) -> int | None:
+    """Start time (epoch seconds) of the latest logged run, or None."""
+    sinks.attach_if_present(spark, log_table, path)
+    if not sinks.table_exists(spark, log_table):
+        return None
+    return spark.table(log_table).agg(F.max("run_started_epoch")).first()[0]
