@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as ent
 from conftest import SF_SMALL
+from paddock.plans import registry
 from scripts.oracle_check import TABLES, _rows
 
 ORACLE = ent.oracle_sql()
@@ -26,11 +27,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(ent.queries()) - set(ORACLE))
+    missing = sorted(set(registry.QUERIES) - set(ORACLE))
     assert missing == []
 
 
-@pytest.mark.parametrize("name", sorted(ent.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = ent.queries()[name](spark, SF_SMALL)
     cols = df.columns
