@@ -92,3 +92,25 @@ def add_tables(rows: DataFrame, size: int, dtype: str) -> np.ndarray:
         got = np.frombuffer(row["body"], dtype)
         total[row["part"] * CHUNK : row["part"] * CHUNK + len(got)] = got
     return total
+
+
+# -- rows told apart ---------------------------------------------------------
+
+
+def row_ids(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The frame staged with ``rid``, a number of each row that no re-run changes."""
+    return stage(spark, df.withColumn("rid", F.monotonically_increasing_id()), "rows")
+
+
+def tracked(spark: SparkSession, df: DataFrame, doc_id: str, text: str):
+    """(rows, restore): staged rows c0, c1, .. with rid, doc_id and text; restore() gives any part of them its columns back."""
+    names = df.columns
+    rows = numbered(df).select(
+        "*", F.col(f"c{names.index(doc_id)}").alias("doc_id"), F.col(f"c{names.index(text)}").alias("text")
+    )
+    kept = row_ids(spark, rows.drop("text")).withColumn("text", F.col(f"c{names.index(text)}"))
+
+    def restore(part: DataFrame) -> DataFrame:
+        return part.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
+
+    return kept, restore
