@@ -98,19 +98,24 @@ def add_tables(rows: DataFrame, size: int, dtype: str) -> np.ndarray:
 
 
 def row_ids(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """The frame staged with ``rid``, a number of each row that no re-run changes."""
+    """The frame (with a column doc_id) and ``rid``, a number of each row that no re-run changes.
+
+    Where the ids are integers, never null and never repeated they serve themselves; otherwise the
+    rows are numbered and written, so that a lost task can't number them anew.
+    """
+    if df.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        if not df.groupBy("doc_id").count().where("count > 1 or doc_id is null").take(1):
+            return df.withColumn("rid", F.col("doc_id").cast("long"))
     return stage(spark, df.withColumn("rid", F.monotonically_increasing_id()), "rows")
 
 
 def tracked(spark: SparkSession, df: DataFrame, doc_id: str, text: str):
-    """(rows, restore): staged rows c0, c1, .. with rid, doc_id and text; restore() gives any part of them its columns back."""
+    """(rows, restore): columns c0, c1, .. with rid, doc_id and text; restore() gives any part of them its columns back."""
     names = df.columns
-    rows = numbered(df).select(
-        "*", F.col(f"c{names.index(doc_id)}").alias("doc_id"), F.col(f"c{names.index(text)}").alias("text")
-    )
-    kept = row_ids(spark, rows.drop("text")).withColumn("text", F.col(f"c{names.index(text)}"))
+    rows = numbered(df).withColumn("doc_id", F.col(f"c{names.index(doc_id)}"))
+    rows = row_ids(spark, rows).withColumn("text", F.col(f"c{names.index(text)}"))
 
     def restore(part: DataFrame) -> DataFrame:
         return part.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
 
-    return kept, restore
+    return rows, restore

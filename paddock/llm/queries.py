@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton
+from . import block_naming, bpe_automaton, jaccard_join
 from .common import table
 
 #: Folder of the public tokenizers' files.
@@ -19,11 +19,34 @@ def op1_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.bpe_round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(spark, table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+def op7_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_naming.exact_dedup(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe_automaton,
+        op4_jaccard_join,
+        op7_block_naming,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_block_naming": r"""
+        WITH t AS (
+            SELECT doc_id, length(coalesce(text, '')) AS points,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS body
+            FROM documents)
+        SELECT doc_id,
+               first_value(doc_id) OVER (PARTITION BY body ORDER BY points DESC, doc_id) AS keep_id,
+               count(*) OVER (PARTITION BY body) AS group_size,
+               doc_id = first_value(doc_id) OVER (PARTITION BY body ORDER BY points DESC, doc_id) AS kept,
+               sha256(body) AS text_sha256
+        FROM t
+    """,
+}
