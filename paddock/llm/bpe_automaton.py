@@ -35,8 +35,10 @@ from pyspark.sql import DataFrame
 from . import common
 
 NEVER = 1 << 60
-#: Entries of each per-process memo; a full one becomes the old generation, and the oldest goes.
-MEMO = 200_000
+#: Lengths of labels that are tried whatever follows.
+SHORT = (3, 2, 1)
+#: Entries of each generation of a per-process memo.
+MEMO = 300_000
 #: White space for ``str.split`` but not for the tokenizer's pattern.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 BLANK = regex.compile(r"\s+")
@@ -78,14 +80,12 @@ class Automaton:
             into = self.final if s.endswith(suffix) else self.inner
             into[bytes(letters[c] for c in word)] = vocab[s]
         self.longest = max(map(len, self.final), default=0)
-        # the labels of inner arcs as a tree: (node << 8 | byte) -> node, and the nodes where one ends
-        self._step: dict[int, int] = {}
-        self._ends: dict[int, int] = {}
-        for label, token in self.inner.items():
-            node = 0
-            for byte in label:
-                node = self._step.setdefault(node << 8 | byte, len(self._step) + 1)
-            self._ends[node] = token
+        # by its first four bytes, the lengths that an inner label can have, longest first
+        found: dict[bytes, set[int]] = {}
+        for label in self.inner:
+            if len(label) >= 4:
+                found.setdefault(label[:4], set()).add(len(label))
+        self._lengths = {head: (*sorted(sizes, reverse=True), *SHORT) for head, sizes in found.items()}
 
     def _gadget(self, u: int, v: int, w: int, rank: int) -> None:
         self.blocked.setdefault(u, {})[v] = rank
@@ -122,42 +122,34 @@ class Automaton:
                 return True
             left, until = self.suffix[left]
 
-    def _labels(self, word: bytes, at: int) -> list[tuple[int, int]]:
-        """(end, token) of every arc label that the word has at a place, shortest first."""
-        node, out, n, step, ends = 0, [], len(word), self._step, self._ends
-        for end in range(at, n - 1):
-            node = step.get(node << 8 | word[end])
-            if node is None:
-                break
-            if node in ends:
-                out.append((end + 1, ends[node]))
-        if n - at <= self.longest and (token := self.final.get(word[at:])) is not None:
-            out.append((n, token))
-        return out
-
     def encode(self, word: bytes) -> list[int]:
         """Tokens of one pre-split word (not empty): the last one carries the word end.
 
         A prefix of the word has one accepted token sequence, so a place from which no arc
         leads to the end is given up for good: every place is left at most once.
         """
-        n, at, after, dead = len(word), 0, -1, set()
+        inner, final, lengths, arcs = self.inner, self.final, self._lengths, self._arc
+        n, at, after, top = len(word), 0, -1, NEVER
+        dead: set[int] = set()
         out: list[int] = []
-        stack: list[tuple[int, int, list[tuple[int, int]]]] = []
-        choices = self._labels(word, 0)
+        stack: list[tuple[int, int, int]] = []
         while at < n:
-            while choices:
-                end, token = choices.pop()
-                if end not in dead and (after < 0 or self.arc(after, token)):
-                    stack.append((at, after, choices))
-                    out.append(token)
-                    at, after = end, token
-                    if at < n:
-                        choices = self._labels(word, at)
-                    break
+            rest = n - at
+            token = final.get(word[at:]) if rest < top and rest <= self.longest else None
+            if token is not None and (after < 0 or self.arc(after, token)):
+                out.append(token)
+                return out
+            for size in lengths.get(word[at : at + 4], SHORT):
+                if size < rest and size < top and (token := inner.get(word[at : at + size])) is not None and at + size not in dead:
+                    known = after < 0 or arcs.get(after << 32 | token)
+                    if known or (known is None and self.arc(after, token)):
+                        stack.append((at, after, size))
+                        out.append(token)
+                        at, after, top = at + size, token, NEVER
+                        break
             else:
                 dead.add(at)
-                at, after, choices = stack.pop()
+                at, after, top = stack.pop()
                 out.pop()
         return out
 
@@ -165,6 +157,25 @@ class Automaton:
         return " ".join(self.label[i] for i in ids)
 
 
+class Memo(dict):
+    """Results by text; a full memo becomes the old generation, and the oldest goes."""
+
+    def __init__(self, make) -> None:
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, text: str):
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        found = self.old.get(text)
+        if found is None:
+            found = self.make(text)
+        if len(text) < 100:
+            self[text] = found
+        return found
+
+
 class Tokenizer:
     """Pre-splitting, memo and automaton of one tokenizer file (NFC, lower case, byte-level word BPE)."""
 
@@ -178,45 +189,38 @@ class Tokenizer:
         self.marks = re.compile("(" + "|".join(map(re.escape, self.added)) + ")")
         self.automaton = Automaton(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"])
         self.automaton.label = {i: s for s, i in vocab.items()}
-        self.words: dict[str, list[int]] = {}
-        self.chunks: dict[str, tuple[bytes, str]] = {}
-        self.old_words, self.old_chunks = {}, {}
-
-    def _word(self, word: str) -> list[int]:
-        if (ids := self.words.get(word)) is None:
-            if len(self.words) >= MEMO:
-                self.words, self.old_words = {}, self.words
-            ids = self.old_words.get(word) or self.automaton.encode(word.encode())
-            if len(word) < 100:
-                self.words[word] = ids
-        return ids
-
-    def chunk(self, chunk: str) -> tuple[bytes, str]:
-        """(ids as little-endian 32-bit integers, decoded text) of a run without white space."""
-        if (known := self.chunks.get(chunk)) is None:
-            if len(self.chunks) >= MEMO:
-                self.chunks, self.old_chunks = {}, self.chunks
-            if (known := self.old_chunks.get(chunk)) is None:
-                text = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-                text = text.lower()
-                words = (text,) if text.isalpha() else self.pattern.findall(text)
-                ids = [i for word in words for i in self._word(word)]
-                known = struct.pack(f"<{len(ids)}I", *ids), self.automaton.decode(ids)
-            if len(chunk) < 100:
-                self.chunks[chunk] = known
-        return known
-
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """(ids as little-endian 32-bit integers, decoded text) of a whole text."""
-        parts: list[tuple[bytes, str]] = []
-        for piece in self.marks.split(text) if "<|" in text else (text,):
-            if piece in self.added:
-                parts.append((struct.pack("<I", self.added[piece]), self.automaton.decode([self.added[piece]])))
-                continue
-            runs = BLANK.split(piece) if NOT_SPACE.search(piece) else piece.split()
-            known, chunk = self.chunks.get, self.chunk
-            parts += [known(run) or chunk(run) for run in runs if run]
-        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
+        self.words = Memo(lambda word: self.automaton.encode(word.encode()))
+        self.ids = Memo(self._ids)
+        self.labels = Memo(lambda run: self.decode(self.ids[run]))
+
+    def _ids(self, run: str) -> bytes:
+        """Ids of a run without white space, or of a special token, as little-endian 32-bit integers."""
+        if run in self.added:
+            return struct.pack("<I", self.added[run])
+        text = run if run.isascii() else unicodedata.normalize("NFC", run).replace("Σ", "σ")
+        text = text.lower()
+        words = (text,) if text.isalpha() else self.pattern.findall(text)
+        ids = [i for word in words for i in self.words[word]]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def runs(self, text: str) -> list[str]:
+        """A text's runs without white space; the special tokens in it are runs of their own."""
+        if "<|" in text or NOT_SPACE.search(text):
+            pieces = self.marks.split(text)
+            return [run for piece in pieces for run in BLANK.split(piece) if run]
+        return text.split()
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a whole text as little-endian 32-bit integers."""
+        return b"".join(map(self.ids.__getitem__, self.runs(text)))
+
+    def decode(self, ids: bytes) -> str:
+        return self.automaton.decode(struct.unpack(f"<{len(ids) // 4}I", ids))
+
+    def round_trip(self, text: str) -> tuple[bytes, str]:
+        """(ids, the text that they decode to)."""
+        runs = self.runs(text)
+        return b"".join(map(self.ids.__getitem__, runs)), " ".join(map(self.labels.__getitem__, runs))
 
 
 _LOADED: dict[str, Tokenizer] = {}
@@ -245,7 +249,7 @@ def bpe_round_trip(df: DataFrame, path: str, doc_id: str = "doc_id", text: str =
             for part in common.slices(batch):
                 n, ids_sum, text_sum = [], [], []
                 for value in common.texts(part):
-                    ids, decoded = tok.encode(value)
+                    ids, decoded = tok.round_trip(value)
                     n.append(len(ids) // 4)
                     ids_sum.append(hashlib.sha256(ids).hexdigest())
                     text_sum.append(hashlib.sha256(decoded.encode()).hexdigest())
@@ -268,7 +272,7 @@ def bpe_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "te
         tok = tokenizer(path)
         for batch in batches:
             for part in common.slices(batch):
-                got = [tok.encode(value) for value in common.texts(part)]
+                got = [tok.round_trip(value) for value in common.texts(part)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
