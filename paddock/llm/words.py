@@ -49,20 +49,28 @@ def _powers(n: int) -> np.ndarray:
 _POWERS = _powers(1 << 12)
 
 
-def _hash_bytes(data: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length, hash) of each word of the bytes; ``cut`` says which bytes separate."""
+def _hash_bytes(data: np.ndarray, cut: np.ndarray, prefix: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, hash) of each word of the bytes; ``cut`` says which bytes separate.
+
+    ``prefix``: only so many bytes of a word count (0: all).
+    """
     global _POWERS
     edge = np.flatnonzero(np.diff(np.concatenate(([True], cut, [True])).view(np.int8)))
     start, end = edge[::2], edge[1::2]
     if not len(start):
         return start, start, np.empty(0, U)
-    # Horner over the distance to the word's end: offset k of a word gets BASE**k.
+    # byte k of a word is multiplied by BASE**k
     size = end - start
     if size.max() > len(_POWERS):
         _POWERS = _powers(int(size.max()))
     inside = ~cut
     offset = np.flatnonzero(inside) - np.repeat(start, size)
     body = (data[inside].astype(U) + U(1)) * _POWERS[offset]
+    if prefix:
+        body[offset >= prefix] = 0
+        size = np.minimum(size, prefix)
+        first = np.concatenate(([0], np.cumsum(end - start)[:-1]))
+        return start, size, mix(np.add.reduceat(body, first) + size.astype(U) * BASE)
     first = np.concatenate(([0], np.cumsum(size)[:-1]))
     return start, size, mix(np.add.reduceat(body, first) + size.astype(U) * BASE)
 
@@ -75,8 +83,11 @@ def _lower(data: np.ndarray, rule: np.ndarray) -> np.ndarray:
     return data
 
 
-def documents(column: pa.Array, rule: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, hashes of its words in order) for every row; null is a text without words."""
+def documents(column: pa.Array, rule: np.ndarray, prefix: int = 0) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, hashes of its words in order) for every row; null is a text without words.
+
+    With ``prefix``, words that share their first so many bytes share a hash.
+    """
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
     n = len(column)
     if not n:
@@ -88,14 +99,14 @@ def documents(column: pa.Array, rule: np.ndarray) -> Iterator[tuple[int, np.ndar
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + BYTES_AT_ONCE, "right")) - 1)
         hi = min(hi, n)
-        yield from _some(data, ends, lo, hi, rule)
+        yield from _some(data, ends, lo, hi, rule, prefix)
         lo = hi
 
 
-def _some(data: np.ndarray, ends: np.ndarray, lo: int, hi: int, rule: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _some(data: np.ndarray, ends: np.ndarray, lo: int, hi: int, rule: np.ndarray, prefix: int) -> Iterator[tuple[int, np.ndarray]]:
     first, last = int(ends[lo]), int(ends[hi])
     if hi == lo + 1 and last - first > 4 * BYTES_AT_ONCE:
-        yield lo, _long(data[first:last], rule)
+        yield lo, _long(data[first:last], rule, prefix)
         return
     # one separator between documents, so that no word spans two of them
     sizes = np.diff(ends[lo : hi + 1])
@@ -105,13 +116,13 @@ def _some(data: np.ndarray, ends: np.ndarray, lo: int, hi: int, rule: np.ndarray
     body[keep] = _lower(data[first:last], rule)
     cut = rule[body]
     cut[~keep] = True
-    start, _, hashes = _hash_bytes(body, cut)
+    start, _, hashes = _hash_bytes(body, cut, prefix)
     bounds = np.searchsorted(start, np.concatenate(([0], np.cumsum(sizes + 1))))
     for k in range(hi - lo):
         yield lo + k, hashes[bounds[k] : bounds[k + 1]]
 
 
-def _long(data: np.ndarray, rule: np.ndarray) -> np.ndarray:
+def _long(data: np.ndarray, rule: np.ndarray, prefix: int) -> np.ndarray:
     """The words of one very long text, piece by piece; pieces end at separators."""
     out, at = [], 0
     while at < len(data):
@@ -123,7 +134,7 @@ def _long(data: np.ndarray, rule: np.ndarray) -> np.ndarray:
                 break
             to = min(len(data), to + BYTES_AT_ONCE)
         low = _lower(data[at:to], rule)
-        out.append(_hash_bytes(low, rule[low])[2])
+        out.append(_hash_bytes(low, rule[low], prefix)[2])
         at = to
     return np.concatenate(out) if out else np.empty(0, U)
 
