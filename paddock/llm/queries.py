@@ -7,7 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_naming, bpe_automaton, jaccard_join
+from paddock.session import scratch_path
+
+from . import (
+    block_naming,
+    bpe_automaton,
+    decontamination,
+    jaccard_join,
+    language_id,
+    quality,
+    sharding,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from .common import table
 
 #: Folder of the public tokenizers' files.
@@ -19,24 +32,90 @@ def op1_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.bpe_round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op2_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(spark, table(spark, sf_dir, "documents"), shards=8)
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(spark, table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(spark, table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"), WORD_BPE)
+
+
+#: The rules that op 6 judges by.
+URL_RULES = [
+    url_filter.rule("org/", "allow"),
+    url_filter.rule("example.org/es/", "block"),
+    url_filter.rule("example.org/en/1", "block"),
+    url_filter.rule("com/fr/", "allow"),
+    url_filter.rule("com/de/", "block"),
+]
+
+
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(spark, table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe_automaton,
+        op2_segment_toxicity,
+        op3_minimax_sharding,
         op4_jaccard_join,
+        op5_token_files,
+        op6_url_rules,
         op7_block_naming,
+        op8_decontamination,
+        op9_ordinal_quality,
+        op10_language_id,
     )
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_url_rules": r"""
+        WITH rules(host, path, verdict) AS (
+            VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                   ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        cut AS (
+            SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+            FROM pages),
+        parts AS (
+            SELECT page_id,
+                   translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path
+            FROM cut)
+        SELECT p.page_id, p.host, p.path,
+               (SELECT r.host || r.path FROM rules r
+                WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+                ORDER BY length(r.host || r.path) DESC LIMIT 1) AS rule,
+               coalesce((SELECT r.verdict FROM rules r
+                WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+                ORDER BY length(r.host || r.path) DESC LIMIT 1), 'allow') AS verdict
+        FROM parts p
+    """,
     "op7_block_naming": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,
