@@ -32,7 +32,7 @@ STEM = 6
 #: Weight of the prior, in words.
 PRIOR = 5000.0
 #: Standard errors that a word's log-odds are shrunk by.
-SHRINK = 3.0
+SHRINK = 2.0
 #: Taken off every word's score.
 DRIFT = 0.2
 #: The least log-odds that count.
