@@ -5,8 +5,8 @@ words in (word) edit distance.
 
 * Windows: a text is looked at where it can hold an item at all.  A run within k edits of an item
   of L words shares at least L - q + 1 - k q of its q-word runs (q <= 3, chosen so that this is
-  positive), so only windows that begin at most an item's length before a shared run count;
-  this loses nothing.
+  positive), so only windows of L + k words with so many runs of items in them count; this loses
+  nothing.
 * CGK embedding: a random walk over a window puts out the word it stands on and moves on by a
   random bit of that word and step, so that windows with a small edit distance get sequences
   with a small Hamming distance.
@@ -46,6 +46,12 @@ def run_length(size: int, percent: int) -> int:
     return max(q for q in (1, 2, 3) if q == 1 or size - q + 1 - edits * q >= 1)
 
 
+def least_runs(size: int, percent: int) -> int:
+    """Runs that a leak shares with the item, at least."""
+    q = run_length(size, percent)
+    return max(1, size - q + 1 - most_edits(size, percent) * q)
+
+
 def embed(text: np.ndarray, starts: np.ndarray, steps: int, walk: int) -> np.ndarray:
     """The first places of the CGK sequence of the windows that begin there (0 past the text's end)."""
     at, out = starts.copy(), np.zeros((len(starts), steps), U)
@@ -112,38 +118,57 @@ class Items:
                 for sample, key in enumerate(found.tolist()):
                     table.setdefault(key ^ (walk * SAMPLES + sample), []).append(i)
         self.runs = {q: np.unique(np.concatenate(r)) for q, r in runs.items()}
+        self.sampled = {size: places(size) for size in self.tables}
         self.known = {size: np.array(sorted(t), U) for size, t in self.tables.items()}
         self.longest = max(self.tables, default=0)
 
-    def starts(self, text: np.ndarray) -> np.ndarray:
-        """Where windows begin that can hold a leak."""
-        reach = self.longest + most_edits(self.longest, self.percent)
-        change = np.zeros(len(text) + 1, np.int64)
-        for q, known in self.runs.items():
+        self.groups = [
+            (q, known, sizes, min(least_runs(s, self.percent) for s in sizes), max(sizes))
+            for q, known in self.runs.items()
+            if (sizes := [s for s in self.tables if run_length(s, self.percent) == q])
+        ]
+
+    def starts(self, text: np.ndarray) -> dict[int, np.ndarray]:
+        """By item size, where windows begin that can hold a leak."""
+        out = {}
+        for q, known, sizes, least, longest in self.groups:
             own = words.runs(text, q)
-            hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own)
-            np.add.at(change, np.maximum(hit - reach, 0), 1)
-            np.add.at(change, hit + 1, -1)
-        return np.flatnonzero(np.cumsum(change[:-1]) > 0)
+            hit = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
+            if hit.sum() < least:
+                continue
+            total = np.concatenate(([0], np.cumsum(hit)))
+
+            def within(at: np.ndarray, size: int) -> np.ndarray:
+                reach = size + most_edits(size, self.percent) - q + 1
+                return total[np.minimum(at + reach, len(hit))] - total[at]
+
+            some = np.arange(len(hit))
+            some = some[within(some, longest) >= least]
+            for size in sizes if len(some) else ():
+                got = some[within(some, size) >= least_runs(size, self.percent)]
+                if len(got):
+                    out[size] = got
+        return out
 
     def search(self, text: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item's place, edits, first word searched, word after the end) of every leaked item, its best run."""
-        starts = self.starts(text) if self.longest else np.empty(0, np.int64)
-        if not len(starts):
-            return []
         found: set[tuple[int, int]] = set()
-        for lo in range(0, len(starts), 4096):
-            some = starts[lo : lo + 4096]
+        by_size = self.starts(text)
+        every = np.unique(np.concatenate([*by_size.values(), np.empty(0, np.int64)]))
+        for lo in range(0, len(every), 4096):
+            some = every[lo : lo + 4096]
+            mine = {size: own for size, starts in by_size.items() if len(own := np.flatnonzero(np.isin(some, starts)))}
             for walk in range(WALKS):
-                sequence = embed(text, some, self.longest, walk)
-                for size, table in self.tables.items():
-                    known = self.known[size]
-                    own = keys(sequence, places(size)[walk]) ^ (U(walk * SAMPLES) + np.arange(SAMPLES, dtype=U))
+                # a sequence's first places do not depend on where the window ends: one walk serves all sizes
+                sequence = embed(text, some, max(mine), walk)
+                for size, rows in mine.items():
+                    table, known = self.tables[size], self.known[size]
+                    own = keys(sequence[rows], self.sampled[size][walk]) ^ (U(walk * SAMPLES) + np.arange(SAMPLES, dtype=U))
                     hit = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
                     for row, sample in zip(*np.nonzero(hit)):
                         for i in table[int(own[row, sample])]:
                             # windows that begin within the same few words are verified together
-                            found.add((i, int(some[row]) // max(1, most_edits(size, self.percent))))
+                            found.add((i, int(some[rows[row]]) // max(1, most_edits(size, self.percent))))
         best: dict[int, tuple[int, int, int]] = {}
         for i, group in sorted(found):
             item = self.texts[i]
