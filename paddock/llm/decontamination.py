@@ -12,7 +12,7 @@ words in (word) edit distance.
   with a small Hamming distance.
 * Bit sampling: each of ``SAMPLES`` tables per walk takes ``BITS`` places of the sequence (within
   the item's length); equal words there make window and item a candidate pair.  With ``WALKS``
-  independent walks a window with half of its places equal is found with 1 - (1 - 1/4)**48.
+  independent walks a window with half of its places equal is found with 1 - (1 - 1/8)**64.
 * Candidates are verified by the exact edit distance (bit-parallel, over the words).
 """
 
@@ -31,7 +31,7 @@ U = np.uint64
 PERCENT = 20
 #: Items with fewer words prove nothing and are left out.
 LEAST_WORDS = 8
-WALKS, SAMPLES, BITS = 4, 12, 2
+WALKS, SAMPLES, BITS = 4, 16, 3
 #: Bytes of items that one pass over the documents takes; more items take more passes.
 ITEM_BYTES = 32 << 20
 
@@ -52,6 +52,14 @@ def least_runs(size: int, percent: int) -> int:
     return max(1, size - q + 1 - most_edits(size, percent) * q)
 
 
+def floor_size(size: int) -> int:
+    """The least size of the class of sizes (each a quarter wider than the last) that shares its sampled places."""
+    least = 1
+    while (following := least + max(1, least // 4)) <= size:
+        least = following
+    return least
+
+
 def embed(text: np.ndarray, starts: np.ndarray, steps: int, walk: int) -> np.ndarray:
     """The first places of the CGK sequence of the windows that begin there (0 past the text's end)."""
     at, out = starts.copy(), np.zeros((len(starts), steps), U)
@@ -64,7 +72,7 @@ def embed(text: np.ndarray, starts: np.ndarray, steps: int, walk: int) -> np.nda
 
 
 def places(size: int) -> np.ndarray:
-    """(WALKS, SAMPLES, BITS) sampled places for items of this many words."""
+    """(WALKS, SAMPLES, BITS) sampled places for items of at least this many words."""
     return np.random.default_rng(size).integers(0, size, (WALKS, SAMPLES, BITS))
 
 
@@ -105,49 +113,42 @@ class Items:
     percent: int
     runs: dict[int, np.ndarray] = field(default_factory=dict)
     tables: dict[int, dict[int, list[int]]] = field(default_factory=dict)
+    #: by run length and class of sizes: runs that a leak shares at least, words of the longest item
+    shapes: dict[tuple[int, int], list[int]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         runs: dict[int, list[np.ndarray]] = {}
         for i, t in enumerate(self.texts):
             q = run_length(len(t), self.percent)
             runs.setdefault(q, []).append(words.runs(t, q))
-            table = self.tables.setdefault(len(t), {})
-            at = places(len(t))
+            least = floor_size(len(t))
+            table, at = self.tables.setdefault(least, {}), places(least)
+            shape = self.shapes.setdefault((q, least), [len(text_runs := words.runs(t, q)), 0])
+            shape[0], shape[1] = min(shape[0], least_runs(len(t), self.percent), len(text_runs)), max(shape[1], len(t))
             for walk in range(WALKS):
-                found = keys(embed(t, np.zeros(1, np.int64), len(t), walk), at[walk])[0]
+                found = keys(embed(t, np.zeros(1, np.int64), least, walk), at[walk])[0]
                 for sample, key in enumerate(found.tolist()):
                     table.setdefault(key ^ (walk * SAMPLES + sample), []).append(i)
         self.runs = {q: np.unique(np.concatenate(r)) for q, r in runs.items()}
         self.sampled = {size: places(size) for size in self.tables}
         self.known = {size: np.array(sorted(t), U) for size, t in self.tables.items()}
-        self.longest = max(self.tables, default=0)
-
-        self.groups = [
-            (q, known, sizes, min(least_runs(s, self.percent) for s in sizes), max(sizes))
-            for q, known in self.runs.items()
-            if (sizes := [s for s in self.tables if run_length(s, self.percent) == q])
-        ]
 
     def starts(self, text: np.ndarray) -> dict[int, np.ndarray]:
-        """By item size, where windows begin that can hold a leak."""
-        out = {}
-        for q, known, sizes, least, longest in self.groups:
+        """By class of sizes, where windows begin that can hold a leak."""
+        out: dict[int, np.ndarray] = {}
+        for q, known in self.runs.items():
             own = words.runs(text, q)
             hit = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
-            if hit.sum() < least:
-                continue
             total = np.concatenate(([0], np.cumsum(hit)))
-
-            def within(at: np.ndarray, size: int) -> np.ndarray:
-                reach = size + most_edits(size, self.percent) - q + 1
-                return total[np.minimum(at + reach, len(hit))] - total[at]
-
-            some = np.arange(len(hit))
-            some = some[within(some, longest) >= least]
-            for size in sizes if len(some) else ():
-                got = some[within(some, size) >= least_runs(size, self.percent)]
-                if len(got):
-                    out[size] = got
+            if not total[-1]:
+                continue
+            at = np.arange(len(hit))
+            for (of, size), (least, longest) in self.shapes.items():
+                if of == q and total[-1] >= least:
+                    reach = longest + most_edits(longest, self.percent) - q + 1
+                    got = at[total[np.minimum(at + reach, len(hit))] - total[at] >= least]
+                    if len(got):
+                        out[size] = np.union1d(out[size], got) if size in out else got
         return out
 
     def search(self, text: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -168,12 +169,13 @@ class Items:
                     for row, sample in zip(*np.nonzero(hit)):
                         for i in table[int(own[row, sample])]:
                             # windows that begin within the same few words are verified together
-                            found.add((i, int(some[rows[row]]) // max(1, most_edits(size, self.percent))))
+                            start = int(some[rows[row]])
+                            found.add((i, start - start % max(1, most_edits(size, self.percent))))
         best: dict[int, tuple[int, int, int]] = {}
-        for i, group in sorted(found):
+        for i, start in sorted(found):
             item = self.texts[i]
             most = most_edits(len(item), self.percent)
-            first = max(0, group * max(1, most) - most)
+            first = max(0, start - most)
             got = edit_search(item, text[first : first + len(item) + 4 * most + 1], most)
             if got and (i not in best or got[0] < best[i][0]):
                 best[i] = (got[0], first, first + got[1])
