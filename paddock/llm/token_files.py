@@ -115,7 +115,8 @@ def write(spark: SparkSession, df: DataFrame, path: str, tokens: str, doc_id: st
         if ids:
             yield block()
 
-    out = rows.mapInArrow(packed, "doc_id bigint, n bigint, body binary")
+    # written once: the range partitioning reads its input twice
+    out = common.stage(spark, rows.mapInArrow(packed, "doc_id bigint, n bigint, body binary"), "packed")
     out = out.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "body")
     out.mapInArrow(blocks, BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
