@@ -42,13 +42,13 @@ def is_weekend(ts: Column | str) -> Column:
 
 
 def weekday_route(df: DataFrame, ts: str) -> DataFrame:
-    """Tag each row with its day name and the branch it takes."""
+    """Tag each row with its day name and the branch it takes (NULL without a time)."""
     weekend = is_weekend(ts)
     return df.select(
         "*",
         day_name(ts).alias("day_name"),
         weekend.alias("is_weekend"),
-        F.when(weekend, F.lit("weekend")).otherwise(F.lit("weekday")).alias("route"),
+        F.when(weekend, F.lit("weekend")).when(~weekend, F.lit("weekday")).alias("route"),
     )
 
 
@@ -100,10 +100,12 @@ def json_number_map(text: Column | str) -> Column:
 
 
 def map_values_sum(m: Column) -> Column:
-    """Sum of a map's values (0.0 for an empty map, NULL for a NULL map)."""
-    return F.aggregate(F.map_values(m), F.lit(0.0), lambda acc, x: acc + x)
+    """Sum of a map's values (0.0 for an empty map, NULL for a NULL map); NULL values count 0."""
+    return F.aggregate(F.map_values(m), F.lit(0.0), lambda acc, x: acc + F.coalesce(x, F.lit(0.0)))
 
 
 def total_report(total: Column | str) -> Column:
     """``Total order value is: <x with two decimals>``."""
-    return F.format_string(TOTAL_REPORT, _c(total))
+    # half-even on the exact value of the double, unlike the formatter's "%.2f"
+    two = F.call_function("format_number", _c(total).cast("double"), F.lit("0.00"))
+    return F.format_string(TOTAL_REPORT.replace("%.2f", "%s"), two)

@@ -12,7 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, TimestampNTZType
+from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 
 
 def high_watermark(target: DataFrame, column: str = "date") -> DataFrame:
@@ -37,13 +37,21 @@ def newer_than(
 ) -> DataFrame:
     """Rows of ``source`` strictly newer than ``max(target.column)``.
 
-    Expressed as a scalar subquery so the whole filter stays one lazy plan.
+    The maximum, one value, is read first, in a form that no time zone touches; the
+    literal is then pushed into the source's scan.  An empty target means a full load
+    (NULL keys included), or no rows.
     """
-    wm = watermark_subquery(target, column)
-    cond = F.col(column) > wm
-    if full_load_when_empty:
-        cond = wm.isNull() | cond
-    return source.where(cond)
+    dtype = target.schema[column].dataType
+    top = F.max(column)
+    if isinstance(dtype, TimestampType):
+        top = F.unix_micros(top)
+    elif isinstance(dtype, TimestampNTZType):
+        top = top.cast("string")
+    value = target.agg(top).first()[0]
+    if value is None:
+        return source if full_load_when_empty else source.where(F.lit(False))
+    literal = F.timestamp_micros(F.lit(value)) if isinstance(dtype, TimestampType) else F.lit(value)
+    return source.where(F.col(column) > literal.cast(dtype))
 
 
 def typed_literal(value, dtype: DataType) -> Column:

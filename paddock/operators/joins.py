@@ -1,17 +1,14 @@
 """Dimension joins with a measured broadcast.
 
 A dimension is broadcast only after it has been shown to hold at most
-``max_rows`` rows and ``max_bytes`` bytes.  The row bound is checked first by
-an incremental take that stops as soon as row ``max_rows + 1`` exists, so a
-"dimension" that turns out to be a large table costs a few partitions, not a
-scan; in that case the plain frame is returned and Spark plans a shuffle join
-(sort-merge, with AQE skew splitting for hot keys) instead.  Only a frame
-proven to be under the row cap is then aggregated for its exact byte size.
+``max_rows`` rows and ``max_bytes`` bytes, by one aggregate over it (a count and a
+byte sum).  A larger frame is returned as it is and Spark plans a shuffle join
+(sort-merge, with AQE skew splitting for hot keys) instead.  Every call measures
+anew, so a dimension that has grown since is never broadcast on an old figure.
 """
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -60,53 +57,13 @@ def _width(name: str, dtype: DataType) -> Column:
     return F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + F.lit(8)
 
 
-# Size checks already made, keyed by the frame's semantic plan hash and its
-# exact input files.  Table writes add files with new names, so new data
-# yields a new key; a frame without input files (local data) is keyed by its
-# plan alone.  Entries expire, so a file replaced in place under the same name
-# (a daily dimension export) is measured again in a long-lived session.
-_MEASURED: dict[tuple, tuple[float, SizeCheck]] = {}
-MEASURE_TTL_SECONDS = 15 * 60
-
-
-def _cache_key(df: DataFrame, max_rows: int) -> tuple | None:
-    try:
-        return (df.sparkSession.conf.get("spark.app.id", ""), df.semanticHash(),
-                tuple(sorted(df.inputFiles())), max_rows)
-    except Exception:  # noqa: BLE001 - e.g. streaming frames: no cache
-        return None
-
-
 def measure(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> SizeCheck:
-    """Count rows and payload bytes, reading at most ``max_rows + 1`` rows."""
-    key = _cache_key(df, max_rows)
-    now = time.monotonic()
-    if key is not None and key in _MEASURED:
-        at, check = _MEASURED[key]
-        if now - at < MEASURE_TTL_SECONDS:
-            return check
-    check = _measure(df, max_rows)
-    if key is not None:
-        _MEASURED[key] = (now, check)
-    return check
-
-
-def _measure(df: DataFrame, max_rows: int) -> SizeCheck:
-    # Step 1: is there a row beyond the cap?  ``offset + limit`` at the end of
-    # a plan runs as an incremental take: Spark scans one partition, then
-    # more (x4 each round) only while it still lacks rows, and reads no
-    # columns it does not need.  A large frame is rejected after a few
-    # partitions instead of a full scan.
-    over = df.select(F.lit(1).alias("_one")).offset(max_rows).limit(1).collect()
-    if over:
-        return SizeCheck(rows=max_rows + 1, bytes=0, capped=True)
-    # Step 2: the frame has at most ``max_rows`` rows; add up its payload.
+    """Count rows and payload bytes in one aggregate, partial in every task: one row reaches the driver."""
     cols = [_width(f.name, f.dataType) for f in df.schema.fields]
     row_bytes = sum(cols[1:], cols[0]) if cols else F.lit(0)
-    row = df.select(row_bytes.alias("_b")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b")
-    ).first()
-    return SizeCheck(rows=int(row["n"] or 0), bytes=int(row["b"] or 0), capped=False)
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
+    rows = int(row["n"])
+    return SizeCheck(rows=rows, bytes=int(row["b"] or 0), capped=rows > max_rows)
 
 
 MAX_ROWS_CONF = "paddock.broadcast.maxRows"

@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None) -> dict:
     if modified_after == "auto":
         # Raw files are written once: files older than the previous run's start
         # (less a margin for clock skew) were all read by an earlier run.
-        previous = ingest.last_run_started(spark, log_table, log_path)
+        previous = ingest.last_run_started(spark, log_table, a.fact, log_path, a.fact_path)
         zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone", "UTC"))
         modified_after = (
             datetime.fromtimestamp(previous - a.modified_margin, zone).strftime("%Y-%m-%dT%H:%M:%S")

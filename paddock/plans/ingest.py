@@ -22,7 +22,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
-from datetime import datetime
+from datetime import date, datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,13 +42,15 @@ class RunReport:
     rows_written: int
     table_rows: int
     watermark_after: datetime | None
+    # The fact's watermark after the run in its zone-free form (``watermark_token``).
+    token_after: int | str | None = None
 
     @property
     def wrote(self) -> bool:
         return self.created or self.rows_written > 0
 
     def as_dict(self) -> dict:
-        return asdict(self)
+        return {k: v for k, v in asdict(self).items() if k != "token_after"}
 
 
 def watermark_token(df: DataFrame, column: str) -> tuple[int | str | None, int]:
@@ -113,13 +116,14 @@ def _max_token(column: str, dtype: DataType) -> Column:
 
 
 def token_to_datetime(spark: SparkSession, token: int | str | None, dtype: DataType) -> datetime | None:
-    """The watermark as the value a collected row would hold (no Spark job):
-    wall-clock text as is, an instant as local time like PySpark returns it."""
+    """The watermark for display (no Spark job): wall-clock text as is, an
+    instant as wall-clock time in the session's zone, wherever the driver is."""
     if token is None:
         return None
     if isinstance(token, str):
         return datetime.fromisoformat(token)
-    return datetime.fromtimestamp(token // 1_000_000).replace(microsecond=token % 1_000_000)
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone", "UTC"))
+    return datetime.fromtimestamp(token // 1_000_000, zone).replace(tzinfo=None, microsecond=token % 1_000_000)
 
 
 def run_ingest(
@@ -134,13 +138,14 @@ def run_ingest(
     driver_keys: Sequence[str] = ("driver_number",),
     fmt: str = "parquet",
     path: str | None = None,
-    on_schema_change: str = "ignore",
+    on_schema_change: str = "fail",
 ) -> RunReport:
     """Load car rows newer than the table's watermark into ``table``.
 
     ``on_schema_change="sync_all_columns"`` first makes an existing table carry
     exactly the new rows' columns (added ones NULL for old rows, removed ones
-    dropped, retyped ones cast); ``"ignore"`` appends by name as is.
+    dropped, retyped ones cast); ``"fail"`` refuses columns that the table lacks,
+    ``"ignore"`` leaves them out.
     """
     date_type = car.schema["date"].dataType
     sinks.attach_if_present(spark, table, path, fmt)
@@ -164,23 +169,22 @@ def run_ingest(
     if exists:
         if on_schema_change == "sync_all_columns":
             sinks.sync_all_columns(spark, table, enriched.schema)
-        sinks.append(enriched, table)
+        sinks.append(enriched, table, ignore_extra=on_schema_change == "ignore")
     else:
         sinks.create_table(enriched, table, partition_cols, fmt, path)
 
     watermark_before = token_to_datetime(spark, wm_token, date_type)
     written = _observed(obs_out)
     if written is not None:
-        # The written rows' own maximum moves the watermark: no re-read of the
-        # table's date column; the row total is a count that reads no column.
+        # The written rows' own count and maximum move total and watermark: the
+        # table is not read again.
         rows_written = int(written["n"])
-        rows_after = spark.table(table).count()
-        candidates = [watermark_before, token_to_datetime(spark, written["wm"], date_type)]
-        watermark_after = max((c for c in candidates if c is not None), default=None)
+        rows_after = rows_before + rows_written
+        token_after = max((t for t in (wm_token, written["wm"]) if t is not None), default=None)
     else:
-        wm_after, rows_after = table_watermark(spark, table, year_from_date=add_year)
+        token_after, rows_after = table_watermark(spark, table, year_from_date=add_year)
         rows_written = rows_after - rows_before
-        watermark_after = token_to_datetime(spark, wm_after, date_type)
+    watermark_after = token_to_datetime(spark, token_after, date_type)
     new_obs = _observed(obs_new)
     # Missing only when AQE dropped the observed node (an empty side made the
     # whole join empty); then the filtered input is counted directly.
@@ -193,6 +197,7 @@ def run_ingest(
         rows_written=rows_written,
         table_rows=rows_after,
         watermark_after=watermark_after,
+        token_after=token_after,
     )
 
 
@@ -202,14 +207,14 @@ def refresh_daily_models(
     average_speed_table: str,
     avg_speed_gear_table: str,
     *,
-    since: datetime | None = None,
+    since: datetime | date | int | str | None = None,
     path_average_speed: str | None = None,
     path_avg_speed_gear: str | None = None,
 ) -> None:
     """Upsert both daily aggregates from the fact table.
 
     By default every day is recomputed (each run re-reads the whole fact).
-    With ``since`` only days at or after ``since``'s day are recomputed and
+    With ``since`` (a watermark token, or a day) only days at or after ``since``'s day are recomputed and
     upserted; that is exact because a day's aggregate depends only on that
     day's rows.  The day bound is pushed into the fact scan, and when the fact
     is partitioned by ``year`` it also prunes older year partitions.  The fact
@@ -221,21 +226,81 @@ def refresh_daily_models(
 
     fact = spark.table(fact_table)
     if since is not None:
-        day = since.date() if isinstance(since, datetime) else since
+        # The day is cut off inside Spark, in the session's zone like the models' own.
         date_type = fact.schema["date"].dataType
-        cond = F.col("date") >= F.lit(day.isoformat()).cast(date_type)
+        day = F.lit(since.date() if isinstance(since, datetime) else since) if isinstance(since, date) else \
+            F.to_date(token_literal(since, date_type))
+        cond = F.col("date") >= day.cast(date_type)
         if "year" in sinks.partition_columns(spark, fact_table):
-            cond = cond & (F.col("year") >= F.lit(day.year))
+            cond = cond & (F.col("year") >= F.year(day))
         fact = fact.where(cond)
     # One pass over the fact feeds both models.
     partials = sinks.detach(models.speed_partials(fact))
-    # Each model is a small step over the checkpointed partials.
     # Each model is a small step over the checkpointed partials, grouped by
     # exactly its keys, so its keys are unique by construction.
     sinks.upsert(models.average_speed_from_partials(partials), average_speed_table, AVERAGE_SPEED_KEYS,
-                 path=path_average_speed, checkpoint_source=False, check_keys=False)
+                 path=path_average_speed, checkpoint_source=False, check_keys=False,
+                 on_schema_change="sync_all_columns")
     sinks.upsert(models.avg_speed_gear_from_partials(partials), avg_speed_gear_table, AVG_SPEED_GEAR_KEYS,
-                 path=path_avg_speed_gear, checkpoint_source=False, check_keys=False)
+                 path=path_avg_speed_gear, checkpoint_source=False, check_keys=False,
+                 on_schema_change="sync_all_columns")
+
+
+COVERED = "paddock.covered"
+
+
+def covered(spark: SparkSession, model: str, fact_table: str) -> int | str | None:
+    """The fact's watermark up to which an aggregate table was last brought up to date, or None.
+
+    It is a table property that is set after the upsert committed, together with the
+    fact's name.  None (no table, another fact, a table made or attached without it)
+    means that nothing is known about the table.
+    """
+    if not sinks.table_exists(spark, model):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {model}").collect()
+    kind, _, rest = next((r["value"] for r in rows if r["key"] == COVERED), "").partition("|")
+    token, _, fact = rest.partition("|")
+    if fact != fact_table:
+        return None
+    return int(token) if kind == "us" else token
+
+
+def refresh_stale_models(
+    spark: SparkSession,
+    fact_table: str,
+    average_speed_table: str,
+    avg_speed_gear_table: str,
+    token: int | str | None,
+    *,
+    incremental: bool = True,
+    path_average_speed: str | None = None,
+    path_avg_speed_gear: str | None = None,
+) -> bool:
+    """Bring both aggregates up to the fact's watermark ``token``; True if anything was to do.
+
+    What has to be recomputed follows from the aggregates' own recorded state, not
+    from the run's: an earlier run that died between fact and aggregates, or a
+    model added later, is made good.  No record means a full recompute, else the days
+    from the older record on.
+    """
+    for name, path in ((average_speed_table, path_average_speed), (avg_speed_gear_table, path_avg_speed_gear)):
+        sinks.attach_if_present(spark, name, path)
+    models = (average_speed_table, avg_speed_gear_table)
+    known = [covered(spark, m, fact_table) for m in models]
+    if all(sinks.table_exists(spark, m) for m in models) and all(k == token for k in known):
+        return False
+    # a record beyond the fact's watermark belongs to rows that are gone
+    usable = incremental and token is not None and all(type(k) is type(token) and k <= token for k in known)
+    refresh_daily_models(
+        spark, fact_table, average_speed_table, avg_speed_gear_table, since=min(known) if usable else None,
+        path_average_speed=path_average_speed, path_avg_speed_gear=path_avg_speed_gear,
+    )
+    if token is not None:
+        value = f"{'us' if isinstance(token, int) else 'text'}|{token}|{fact_table}"
+        for m in models:
+            spark.sql(f"ALTER TABLE {m} SET TBLPROPERTIES ('{COVERED}' = '{value}')")
+    return True
 
 
 @dataclass
@@ -259,25 +324,21 @@ def run_daily(
     incremental_models: bool = True,
     add_year: bool = True,
     driver_keys: Sequence[str] = ("driver_number",),
-    on_schema_change: str = "ignore",
+    on_schema_change: str = "fail",
 ) -> RunReport:
     """One scheduled run: ingest new car rows, then bring both aggregates up to date.
 
-    New rows are strictly newer than the watermark the run started from, so
-    only days from that watermark's day onward can change; with
-    ``incremental_models`` just those days are recomputed (a first run, with
-    no watermark, recomputes everything).  ``incremental_models=False``
-    recomputes every day, as the SQL models do.
+    With ``incremental_models`` the days from the watermark on that the aggregates
+    were last brought up to are recomputed (``refresh_stale_models``); without a
+    record of it, or with ``incremental_models=False``, every day is.
     """
     report = run_ingest(spark, car, drivers, sessions, tables.fact, partition_cols=partition_cols,
                         add_year=add_year, driver_keys=driver_keys, path=tables.fact_path,
                         on_schema_change=on_schema_change)
-    if report.wrote or not sinks.table_exists(spark, tables.average_speed):
-        since = report.watermark_before if incremental_models else None
-        refresh_daily_models(
-            spark, tables.fact, tables.average_speed, tables.avg_speed_gear, since=since,
-            path_average_speed=tables.average_speed_path, path_avg_speed_gear=tables.avg_speed_gear_path,
-        )
+    refresh_stale_models(
+        spark, tables.fact, tables.average_speed, tables.avg_speed_gear, report.token_after, incremental=incremental_models,
+        path_average_speed=tables.average_speed_path, path_avg_speed_gear=tables.avg_speed_gear_path,
+    )
     return report
 
 
@@ -301,9 +362,18 @@ def log_run(spark: SparkSession, log_table: str, report: RunReport, started_epoc
     sinks.create_or_append(spark.createDataFrame(row, RUN_LOG_SCHEMA), log_table, path=path)
 
 
-def last_run_started(spark: SparkSession, log_table: str, path: str | None = None) -> int | None:
-    """Start time (epoch seconds) of the latest logged run, or None."""
+def last_run_started(
+    spark: SparkSession, log_table: str, fact: str, path: str | None = None, fact_path: str | None = None
+) -> int | None:
+    """Start time (epoch seconds) of the latest logged run into ``fact``, or None.
+
+    None as well when the fact does not exist or has no watermark (dropped,
+    emptied): its next run has to read every file again.
+    """
     sinks.attach_if_present(spark, log_table, path)
-    if not sinks.table_exists(spark, log_table):
+    sinks.attach_if_present(spark, fact, fact_path)
+    if not sinks.table_exists(spark, log_table) or not sinks.table_exists(spark, fact):
+        return None
+    if not spark.table(fact).where(F.col("date").isNotNull()).take(1):
         return None
-    return spark.table(log_table).agg(F.max("run_started_epoch")).first()[0]
+    return spark.table(log_table).where(F.col("fact") == fact).agg(F.max("run_started_epoch")).first()[0]

@@ -145,16 +145,27 @@ def create_table(
         w2.create()
 
 
-def append(df: DataFrame, name: str) -> None:
+def _refuse_extra(source: DataFrame, table_cols: Sequence[str], name: str) -> None:
+    """Columns that a table lacks are an error: leaving them out would lose data silently."""
+    known = {c.lower() for c in table_cols}
+    extra = [c for c in source.columns if c.lower() not in known]
+    if extra:
+        raise ValueError(f"table {name} has no columns {extra}; sync its schema first, or ignore them explicitly")
+
+
+def append(df: DataFrame, name: str, ignore_extra: bool = False) -> None:
     """Append ``df`` to an existing table; columns are matched by name.
 
-    The table's own partitioning applies; it is read from the catalog.
+    Columns that the table lacks are refused unless ``ignore_extra``.  The table's
+    own partitioning applies; it is read from the catalog.
     """
     spark = df.sparkSession
     provider = table_provider(spark, name) or "parquet"
     if provider in FILE_PROVIDERS:
         parts = partition_columns(spark, name)
         table_cols = spark.table(name).columns
+        if not ignore_extra:
+            _refuse_extra(df, table_cols, name)
         ordered = df.select(*table_cols)
         w = cluster_for_write(ordered, parts).write.mode("append").format(provider)
         if parts:
@@ -204,7 +215,9 @@ def refresh(
         w = w.partitionBy(*partition_cols)
     if path:
         w = w.option("path", path)
-    w.saveAsTable(name)
+    # All rows go, whatever the session says about partitions that get no new ones.
+    with _overwrite_mode(spark, "STATIC"):
+        w.saveAsTable(name)
 
 
 # --- K9 / K10: incremental merge (upsert) ---------------------------------------------------------
@@ -225,12 +238,13 @@ def upsert(
     check_keys: bool = True,
     path: str | None = None,
     checkpoint_source: bool = True,
-    on_schema_change: str = "ignore",
+    on_schema_change: str = "fail",
 ) -> None:
     """Insert new keys and replace matched rows of ``name`` by ``source``.
 
     ``on_schema_change="sync_all_columns"`` first aligns the table's columns
-    with the source's (see ``sync_all_columns``).
+    with the source's (see ``sync_all_columns``); ``"fail"`` refuses columns that
+    the table lacks, ``"ignore"`` leaves them out.
 
     File tables must be partitioned by ``partition_col``, which must be one of
     the keys: a key can then only match inside its own partition, and only the
@@ -266,6 +280,8 @@ def upsert(
         return
 
     table_cols = spark.table(name).columns if exists else source.columns
+    if on_schema_change != "ignore":
+        _refuse_extra(source, table_cols, name)
     src = source.select(*table_cols)
     if checkpoint_source:
         # Skipped only by callers whose source is a cheap step over data that
@@ -291,7 +307,7 @@ def upsert(
         )
     staged = detach(upsert_rows(affected, src, keys, null_safe))
     writer = cluster_for_write(staged, [partition_col]).write.mode("overwrite")
-    with _dynamic_overwrite(spark):
+    with _overwrite_mode(spark, "DYNAMIC"):
         writer.insertInto(name)
 
 
@@ -311,17 +327,21 @@ def _touched_partitions(src: DataFrame, partition_col: str) -> tuple[list | None
     return present, null_part
 
 
-class _dynamic_overwrite:
-    """Overwrite only the partitions present in the written data."""
+class _overwrite_mode:
+    """The session's partition overwrite mode for one write.
+
+    Not a writer option: ``saveAsTable`` would keep it with the table, where it
+    overrides the mode of every later write.
+    """
 
     key = "spark.sql.sources.partitionOverwriteMode"
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, mode: str):
+        self.spark, self.mode = spark, mode
 
     def __enter__(self):
         self.old = self.spark.conf.get(self.key, "STATIC")
-        self.spark.conf.set(self.key, "DYNAMIC")
+        self.spark.conf.set(self.key, self.mode)
 
     def __exit__(self, *exc):
         self.spark.conf.set(self.key, self.old)
@@ -395,5 +415,5 @@ def sync_all_columns(
         return change
     parts = [c for c in partition_columns(spark, name) if c in new_schema.fieldNames()]
     staged = stage_parquet(align_to_schema(target, new_schema), "schema-sync")
-    refresh(staged, name, parts, path=path)
+    refresh(staged, name, parts, table_provider(spark, name) or "parquet", path=path)
     return change

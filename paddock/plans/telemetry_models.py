@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from paddock.operators import incremental
 from paddock.plans import sinks
-from paddock.plans.ingest import refresh_daily_models, table_watermark, token_literal, token_to_datetime
+from paddock.plans.ingest import refresh_stale_models, table_watermark, token_literal
 
 # --- fixed values: model names and the copy's partitioning ---------------------------
 FACT_COPY = "car_telemetry_copy"
@@ -47,6 +47,7 @@ def build_telemetry_models(
     *,
     copy_partitions: Sequence[str] = COPY_PARTITIONS,
     full_refresh_models: bool = False,
+    on_schema_change: str = "sync_all_columns",
 ) -> int:
     """Run the chain once; returns the number of rows appended to the copy."""
     n = names or TelemetryModelNames()
@@ -58,20 +59,18 @@ def build_telemetry_models(
     if sinks.table_exists(spark, copy):
         token, before = table_watermark(spark, copy, year_from_date=False)
         new = source if token is None else source.where(F.col("date") > token_literal(token, date_type))
-        sinks.append(new, copy)
-        appended = spark.table(copy).count() - before
+        if on_schema_change == "sync_all_columns":
+            sinks.sync_all_columns(spark, copy, source.schema)
+        sinks.append(new, copy, ignore_extra=on_schema_change == "ignore")
     else:
+        before = 0
         sinks.create_table(source, copy, copy_partitions, path=n.path(FACT_COPY))
-        appended = spark.table(copy).count()
+    token, after = table_watermark(spark, copy, year_from_date=False)
+    appended = after - before
 
-    since = None if full_refresh_models else token_to_datetime(spark, token, date_type)
-    refresh_daily_models(
-        spark, copy, n.table(AVERAGE_SPEED), n.table(AVG_SPEED_GEAR), since=since,
+    refresh_stale_models(
+        spark, copy, n.table(AVERAGE_SPEED), n.table(AVG_SPEED_GEAR), token, incremental=not full_refresh_models,
         path_average_speed=n.path(AVERAGE_SPEED), path_avg_speed_gear=n.path(AVG_SPEED_GEAR),
     )
     return appended
 
-
-def newer_source_rows_sql(spark: SparkSession, source_table: str, copy_table: str) -> DataFrame:
-    """The SQL model's own filter, for comparison: an empty copy selects nothing."""
-    return incremental.newer_than_sql(spark, source_table, copy_table, "date")

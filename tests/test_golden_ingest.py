@@ -415,3 +415,88 @@ def test_daily_job_auto_reads_only_files_since_the_last_run(raw):
     assert rep["files_modified_after"] is not None
     # Only the new file was parsed: c8 loads (2 rows), the back-dated row does not.
     assert (rep["new_fact_rows"], rep["rows_written"], rep["table_rows"]) == (1, 2, 8)
+
+
+def _daily(spark, raw, tag, **models):
+    """A run of the daily job's steps over the raw files; returns (report, tables)."""
+    drivers, sessions = _dims(spark, raw)
+    root = f"{raw}/tables"
+    tables = ingest.DailyTables(f"{tag}_fact", f"{tag}_avg", f"{tag}_gear", f"{root}/{tag}_fact", f"{root}/{tag}_avg", f"{root}/{tag}_gear")
+    return ingest.run_daily(spark, _car(spark, raw), drivers, sessions, tables, **models), tables
+
+
+def _equals_full_recompute(spark, tables):
+    from paddock.operators import models
+
+    fact = spark.table(tables.fact)
+    for table, model in ((tables.average_speed, models.average_speed), (tables.avg_speed_gear, models.avg_speed_gear)):
+        want = model(fact)
+        got = spark.table(table).select(*want.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_daily_models_after_a_crash_between_fact_and_models(spark, raw):
+    tag = f"crash_{uuid.uuid4().hex[:8]}"
+    _, tables = _daily(spark, raw, tag)
+    _equals_full_recompute(spark, tables)
+    write_text(f"{raw}/car_data/2023/09/batch2.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH2)))
+    drivers, sessions = _dims(spark, raw)
+    ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, tables.fact, path=tables.fact_path)  # and dies here
+    report, _ = _daily(spark, raw, tag)
+    assert not report.wrote
+    _equals_full_recompute(spark, tables)
+    assert not ingest.refresh_stale_models(spark, tables.fact, tables.average_speed, tables.avg_speed_gear, report.token_after)
+
+
+def test_daily_models_added_after_the_fact(spark, raw):
+    tag = f"later_{uuid.uuid4().hex[:8]}"
+    drivers, sessions = _dims(spark, raw)
+    ingest.run_ingest(spark, _car(spark, raw), drivers, sessions, f"{tag}_fact", path=f"{raw}/tables/{tag}_fact")
+    write_text(f"{raw}/car_data/2023/09/batch2.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH2)))
+    _, tables = _daily(spark, raw, tag)
+    _equals_full_recompute(spark, tables)
+
+
+def test_columns_that_a_table_lacks_are_refused(spark, raw):
+    name = f"extra_{uuid.uuid4().hex[:8]}"
+    sinks.create_table(spark.createDataFrame([(1,)], "a int"), name, path=f"{raw}/tables/{name}")
+    more = spark.createDataFrame([(2, 3)], "a int, b int")
+    with pytest.raises(ValueError, match="no columns"):
+        sinks.append(more, name)
+    sinks.append(more, name, ignore_extra=True)
+    assert spark.table(name).count() == 2
+
+
+def test_refresh_under_dynamic_overwrite_leaves_no_old_rows(spark, raw):
+    name = f"full_{uuid.uuid4().hex[:8]}"
+    both = spark.createDataFrame([("x", 1), ("y", 2)], "p string, v int")
+    sinks.create_table(both, name, ["p"], path=f"{raw}/tables/{name}")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "dynamic")
+    try:
+        sinks.refresh(both.where("p = 'x'"), name, ["p"])
+        assert spark.conf.get(key) == "dynamic"
+    finally:
+        spark.conf.unset(key)
+    assert [tuple(r) for r in spark.table(name).select("p", "v").collect()] == [("x", 1)]
+
+
+def test_the_run_log_of_another_fact_skips_no_file(spark, raw):
+    tag = f"log_{uuid.uuid4().hex[:8]}"
+    report, tables = _daily(spark, raw, tag)
+    log = f"{tag}_runs"
+    ingest.log_run(spark, log, report, 1_700_000_000, f"{raw}/tables/{log}")
+    assert ingest.last_run_started(spark, log, tables.fact) == 1_700_000_000
+    assert ingest.last_run_started(spark, log, f"{tag}_other") is None
+
+
+def test_two_decimals_nulls_in_maps_and_routes(spark):
+    from paddock.functions import scalars
+
+    values = [1.005, 2.675, 0.125, 1236.7, 1234567.891, 0.0]
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r.t for r in got.orderBy("i").select(scalars.total_report("v").alias("t")).collect()]
+    assert got == [f"Total order value is: {v:.2f}" for v in values]
+    one = spark.createDataFrame([('{"a": 1, "b": null}', None)], "j string, ts timestamp")
+    assert one.select(scalars.map_values_sum(scalars.json_number_map("j")).alias("s")).first().s == 1.0
+    assert scalars.weekday_route(one, "ts").first().route is None

