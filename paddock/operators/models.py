@@ -2,31 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paddock.operators.joins import dimension
 
 
+@dataclass(frozen=True)
+class Aggregate:
+    """A model as data: what is grouped by and what is measured, as SQL expressions by output name.
+
+    The DataFrame form (``of``) and the SQL form (``sql``) are both made from it.
+    """
+
+    keys: dict[str, str]
+    measure: dict[str, str]
+
+    def _columns(self, part: dict[str, str]) -> list[Column]:
+        return [F.expr(e).alias(name) for name, e in part.items()]
+
+    def of(self, df: DataFrame) -> DataFrame:
+        return df.groupBy(*self._columns(self.keys)).agg(*self._columns(self.measure))
+
+    def sql(self, view: str) -> str:
+        columns = ", ".join(e if e == name else f"{e} AS {name}" for name, e in (self.keys | self.measure).items())
+        return f"SELECT {columns} FROM {view} GROUP BY ALL"
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """``column`` is replaced by ``name`` of the dimension row whose id it holds; rows without one go."""
+
+    column: str
+    name: str
+
+
 # --- telemetry aggregates ----------------------------------------------------
 
+# ``date`` is the day of the timestamp in the session time zone (pinned to UTC by
+# ``paddock.session``).
+_DAY = {"team_name": "team_name", "full_name": "full_name", "location": "location", "date": "to_date(date)"}
+_MEAN = {"average_speed": "avg(speed)"}
+AVERAGE_SPEED = Aggregate(_DAY, _MEAN)
+AVG_SPEED_GEAR = Aggregate(_DAY | {"n_gear": "n_gear"}, _MEAN)
+
+
 def average_speed(enriched: DataFrame) -> DataFrame:
     """Mean speed per team, driver, location and calendar day.
 
-    ``date`` is the day of the timestamp in the session time zone (pinned to
-    UTC by ``paddock.session``).  Spark plans a partial aggregate in each scan
-    task, so a hot group costs one row per task in the shuffle.
+    Spark plans a partial aggregate in each scan task, so a hot group costs one
+    row per task in the shuffle.
     """
-    return enriched.groupBy(
-        "team_name", "full_name", "location", F.to_date("date").alias("date")
-    ).agg(F.avg("speed").alias("average_speed"))
+    return AVERAGE_SPEED.of(enriched)
 
 
 def avg_speed_gear(enriched: DataFrame) -> DataFrame:
     """Mean speed per team, driver, location, day and gear."""
-    return enriched.groupBy(
-        "team_name", "full_name", "location", F.to_date("date").alias("date"), "n_gear"
-    ).agg(F.avg("speed").alias("average_speed"))
+    return AVG_SPEED_GEAR.of(enriched)
 
 
 # --- both aggregates from one pass ---------------------------------------------
@@ -72,6 +106,15 @@ def sort_model(df: DataFrame) -> DataFrame:
 
 # --- purchase star -------------------------------------------------------------
 
+# The columns of the enriched purchases, in order, and those that are looked up.
+PURCHASE_COLUMNS = ("id", "name", "region", "product", "qty")
+PURCHASE_LOOKUPS = (Lookup("region", "name"), Lookup("product", "product"))
+
+
+def orders_by(key: str) -> Aggregate:
+    return Aggregate({key: key}, {"orders": "count(*)"})
+
+
 def purchase_enriched(
     purchases: DataFrame,
     regions: DataFrame,
@@ -101,7 +144,7 @@ def purchase_enriched(
 
 def count_by(enriched: DataFrame, key: str) -> DataFrame:
     """``count(*) AS orders`` per ``key`` (map-side partial counts)."""
-    return enriched.groupBy(key).agg(F.count(F.lit(1)).alias("orders"))
+    return orders_by(key).of(enriched)
 
 
 def products_purchase_count(enriched: DataFrame) -> DataFrame:

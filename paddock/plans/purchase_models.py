@@ -63,7 +63,7 @@ def build_purchase_models(
     dimension(products).createOrReplaceTempView(n.view(PRODUCTS_VIEW))
 
     enriched = sql_models.purchase_enriched(
-        spark, n.view(PURCHASES_VIEW), n.view(REGIONS_VIEW), n.view(PRODUCTS_VIEW)
+        spark, n.view(PURCHASES_VIEW), {"region": n.view(REGIONS_VIEW), "product": n.view(PRODUCTS_VIEW)}
     )
     sinks.refresh(enriched, n.table(ENRICHED_TABLE), path=n.path(ENRICHED_TABLE))
     enriched_table = spark.table(n.table(ENRICHED_TABLE))

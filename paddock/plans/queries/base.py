@@ -24,7 +24,7 @@ LOADED_BEFORE = "2024-01-21 00:00:00"
 TARGET_UNTIL = "2024-01-20 12:00:00"
 SOURCE_FROM = "2024-01-15 00:00:00"
 # Integer-key watermark: the earlier load holds order keys below this value.
-LOADED_KEYS_BELOW = 9000
+HALF_LOADED = "o_orderkey * 2 < (SELECT MAX(o_orderkey) FROM orders)"
 
 
 def register(name: str, sql: str | None = None):

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paddock.operators import models
 from paddock.plans import sql_models
 from paddock.plans.queries.base import ORACLE_SQL, enriched_fact, register
 from paddock.plans.standins import StandIns
@@ -25,19 +26,19 @@ def _views(spark: SparkSession, stem: str, **frames: DataFrame) -> dict[str, str
 @register("average_speed_sql", ORACLE_SQL["average_speed"])
 def q_average_speed_sql(spark, sf_dir):
     v = _views(spark, "sqlm", fact=enriched_fact(spark, sf_dir))
-    return sql_models.average_speed(spark, v["fact"])
+    return sql_models.aggregate(spark, models.AVERAGE_SPEED, v["fact"])
 
 
 @register("average_speed_sorted_sql", ORACLE_SQL["average_speed_sorted"])
 def q_average_speed_sorted_sql(spark, sf_dir):
     v = _views(spark, "sqlm", fact=enriched_fact(spark, sf_dir))
-    return sql_models.average_speed(spark, v["fact"], ordered=True)
+    return models.sort_model(sql_models.aggregate(spark, models.AVERAGE_SPEED, v["fact"]))
 
 
 @register("avg_speed_gear_sql", ORACLE_SQL["avg_speed_gear"])
 def q_avg_speed_gear_sql(spark, sf_dir):
     v = _views(spark, "sqlm", fact=enriched_fact(spark, sf_dir))
-    return sql_models.avg_speed_gear(spark, v["fact"], ordered=True)
+    return models.sort_model(sql_models.aggregate(spark, models.AVG_SPEED_GEAR, v["fact"]))
 
 
 def _purchase_views(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -45,26 +46,24 @@ def _purchase_views(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
     s = StandIns(spark, sf_dir)
     return _views(spark, "sqlp", purchases=s.purchases(),
-                  regions=dimension(s.regions()), products=dimension(s.products()))
+                  region=dimension(s.regions()), product=dimension(s.products()))
 
 
 @register("purchase_enriched_sql", ORACLE_SQL["purchase_enriched"])
 def q_purchase_enriched_sql(spark, sf_dir):
     v = _purchase_views(spark, sf_dir)
-    return sql_models.purchase_enriched(spark, v["purchases"], v["regions"], v["products"])
+    return sql_models.purchase_enriched(spark, v["purchases"], v)
 
 
 @register("products_purchase_count_sql", ORACLE_SQL["products_purchase_count"])
 def q_products_purchase_count_sql(spark, sf_dir):
     v = _purchase_views(spark, sf_dir)
-    pe = _views(spark, "sqlp", enriched=sql_models.purchase_enriched(
-        spark, v["purchases"], v["regions"], v["products"]))
-    return sql_models.count_by(spark, pe["enriched"], "product")
+    pe = _views(spark, "sqlp", enriched=sql_models.purchase_enriched(spark, v["purchases"], v))
+    return sql_models.aggregate(spark, models.orders_by("product"), pe["enriched"])
 
 
 @register("region_purchase_count_sql", ORACLE_SQL["region_purchase_count"])
 def q_region_purchase_count_sql(spark, sf_dir):
     v = _purchase_views(spark, sf_dir)
-    pe = _views(spark, "sqlp", enriched=sql_models.purchase_enriched(
-        spark, v["purchases"], v["regions"], v["products"]))
-    return sql_models.count_by(spark, pe["enriched"], "region")
+    pe = _views(spark, "sqlp", enriched=sql_models.purchase_enriched(spark, v["purchases"], v))
+    return sql_models.aggregate(spark, models.orders_by("region"), pe["enriched"])

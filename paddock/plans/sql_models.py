@@ -1,57 +1,29 @@
 """The derived models as Spark SQL over temp views.
 
-For users who keep their models as SQL: each function runs one ``spark.sql``
-statement against named views and returns the lazy result, planned by
-Catalyst exactly like the DataFrame forms in ``paddock.operators.models``.
-Register dimension views from ``operators.joins.dimension(df)`` so that the
-measured broadcast hint travels with the view.
+For users who keep their models as SQL: every statement is made from the same model
+definitions (``paddock.operators.models``) as the DataFrame forms, so the two can't drift
+apart.  Ordering is left to whoever reads (``models.sort_model``).  Register dimension
+views from ``operators.joins.dimension(df)`` so that the measured broadcast hint
+travels with the view.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paddock.operators import models
 
-def average_speed(spark: SparkSession, fact_view: str, ordered: bool = False) -> DataFrame:
-    """Mean speed per team, driver, location and day (one CTE).
-
-    ``ordered`` adds the model's ordering: three ordinals and the day
-    expression, which resolves to the output column of the same name.
-    """
-    order = "\nORDER BY 1, 2, 3, to_date(date)" if ordered else ""
-    return spark.sql(f"""
-WITH fact AS (SELECT * FROM {fact_view})
-SELECT team_name, full_name, location, to_date(date) AS date, avg(speed) AS average_speed
-FROM fact
-GROUP BY team_name, full_name, location, to_date(date){order}""")
-
-
-def avg_speed_gear(spark: SparkSession, fact_view: str, ordered: bool = False) -> DataFrame:
-    """Mean speed per team, driver, location, day and gear (chained CTEs)."""
-    order = "\n  ORDER BY 1, 2, 3, 4, 5" if ordered else ""
-    return spark.sql(f"""
-WITH fact AS (SELECT * FROM {fact_view}),
-per_gear AS (
-  SELECT team_name, full_name, location, to_date(date) AS date, n_gear,
-         avg(speed) AS average_speed
-  FROM fact
-  GROUP BY team_name, full_name, location, to_date(date), n_gear{order}
-)
-SELECT * FROM per_gear""")
-
-
-def purchase_enriched(spark: SparkSession, purchases_view: str, regions_view: str, products_view: str) -> DataFrame:
-    """Purchases with region and product names (inner joins on ids)."""
-    return spark.sql(f"""
-SELECT pu.id, pu.name, rg.name AS region, pr.product, pu.qty
-FROM {purchases_view} pu
-JOIN {regions_view} rg ON rg.id = pu.region
-JOIN {products_view} pr ON pr.id = pu.product""")
-
-
-def count_by(spark: SparkSession, enriched_view: str, key: str) -> DataFrame:
-    return spark.sql(f"""
-WITH counted AS (
-  SELECT {key}, count(*) AS orders FROM {enriched_view} GROUP BY {key}
-)
-SELECT * FROM counted""")
+
+def aggregate(spark: SparkSession, model: models.Aggregate, view: str) -> DataFrame:
+    """One aggregate model over a view."""
+    return spark.sql(model.sql(view))
+
+
+def purchase_enriched(spark: SparkSession, purchases_view: str, lookup_views: dict[str, str]) -> DataFrame:
+    """Purchases with looked-up names; ``lookup_views`` has a view for each looked-up column."""
+    columns = {c: f"base.{c}" for c in models.PURCHASE_COLUMNS}
+    source = f"{purchases_view} AS base"
+    for at in models.PURCHASE_LOOKUPS:
+        columns[at.column] = f"by_{at.column}.{at.name}"
+        source += f" JOIN {lookup_views[at.column]} AS by_{at.column} ON base.{at.column} = by_{at.column}.id"
+    return spark.sql("SELECT " + ", ".join(f"{e} AS {c}" for c, e in columns.items()) + f" FROM {source}")
