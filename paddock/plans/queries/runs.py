@@ -154,6 +154,38 @@ def q_daily_avg_speed_gear(spark, sf_dir):
     return spark.table(_daily_scenario(spark, sf_dir, "daily").avg_speed_gear)
 
 
+def _new_tables(spark: SparkSession, stem: str) -> ingest.DailyTables:
+    names = {k: scratch_table(spark, f"{stem}_{k}") for k in ("fact", "avg", "gear")}
+    return ingest.DailyTables(
+        fact=names["fact"][0], average_speed=names["avg"][0], avg_speed_gear=names["gear"][0],
+        fact_path=names["fact"][1], average_speed_path=names["avg"][1], avg_speed_gear_path=names["gear"][1],
+    )
+
+
+@register("daily_after_crash", f"WITH {SQL_ENRICHED} {SQL_AVG.format(src='enriched')}")
+def q_daily_after_crash(spark, sf_dir):
+    """A run that commits the fact over several days and dies before its aggregates; the next one makes it good."""
+    s = StandIns(spark, sf_dir)
+    car, drivers, sessions = s.car(), s.drivers(), s.sessions()
+    t = _new_tables(spark, "crash")
+    ingest.run_daily(spark, car.where(F.col("date") < ts_ntz(LOADED_BEFORE)), drivers, sessions, t, partition_cols=FACT_PARTITIONS)
+    ingest.run_ingest(spark, car, drivers, sessions, t.fact, partition_cols=FACT_PARTITIONS, path=t.fact_path)
+    ingest.run_daily(spark, car, drivers, sessions, t, partition_cols=FACT_PARTITIONS)
+    return spark.table(t.average_speed)
+
+
+@register("daily_models_added_later", f"WITH {SQL_ENRICHED} {SQL_AVG_GEAR.format(src='enriched')}")
+def q_daily_models_added_later(spark, sf_dir):
+    """A fact that was loaded before its aggregates existed."""
+    s = StandIns(spark, sf_dir)
+    car, drivers, sessions = s.car(), s.drivers(), s.sessions()
+    t = _new_tables(spark, "later")
+    ingest.run_ingest(spark, car.where(F.col("date") < ts_ntz(LOADED_BEFORE)), drivers, sessions, t.fact,
+                      partition_cols=FACT_PARTITIONS, path=t.fact_path)
+    ingest.run_daily(spark, car, drivers, sessions, t, partition_cols=FACT_PARTITIONS)
+    return spark.table(t.avg_speed_gear)
+
+
 @register("ingest_layout_b", f"WITH {SQL_ENRICHED} SELECT * FROM enriched")
 def q_ingest_layout_b(spark, sf_dir):
     """The second job's flavour: alphabetical (B) car files read through a
@@ -195,6 +227,13 @@ def q_telemetry_models_average_speed(spark, sf_dir):
     return spark.table(_telemetry_chain(spark, sf_dir).table(AVERAGE_SPEED))
 
 
+@register("telemetry_models_avg_speed_gear", f"WITH {SQL_ENRICHED} {SQL_AVG_GEAR.format(src='enriched')}")
+def q_telemetry_models_avg_speed_gear(spark, sf_dir):
+    from paddock.plans.telemetry_models import AVG_SPEED_GEAR
+
+    return spark.table(_telemetry_chain(spark, sf_dir).table(AVG_SPEED_GEAR))
+
+
 @register("telemetry_models_copy", SQL_ENRICHED_YEAR)
 def q_telemetry_models_copy(spark, sf_dir):
     from paddock.plans.telemetry_models import FACT_COPY
