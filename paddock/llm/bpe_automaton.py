@@ -26,7 +26,7 @@ import json
 import re
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
@@ -182,26 +182,33 @@ class Tokenizer:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model, split = spec["model"], spec["pre_tokenizer"]["pretokenizers"][0]
-        self.pattern = regex.compile(split["pattern"]["Regex"])
-        vocab = model["vocab"] | {a["content"]: a["id"] for a in spec["added_tokens"]}
+        self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.marks = re.compile("(" + "|".join(map(re.escape, self.added)) + ")")
-        self.automaton = Automaton(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"])
-        self.automaton.label = {i: s for s, i in vocab.items()}
-        self.words = Memo(lambda word: self.automaton.encode(word.encode()))
+        self.label = {i: s for s, i in (spec["model"]["vocab"] | self.added).items()}
+        self.words = Memo(self.word_encoder(path, spec["model"]))
         self.ids = Memo(self._ids)
         self.labels = Memo(lambda run: self.decode(self.ids[run]))
 
+    def word_encoder(self, path: str, model: dict) -> Callable[[str], bytes]:
+        """The function that gives the ids of a pre-split word, as little-endian 32-bit integers."""
+        automaton = Automaton(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"])
+
+        def encode(word: str) -> bytes:
+            ids = automaton.encode(word.encode())
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        return encode
+
     def _ids(self, run: str) -> bytes:
         """Ids of a run without white space, or of a special token, as little-endian 32-bit integers."""
         if run in self.added:
             return struct.pack("<I", self.added[run])
         text = run if run.isascii() else unicodedata.normalize("NFC", run).replace("Σ", "σ")
         text = text.lower()
-        words = (text,) if text.isalpha() else self.pattern.findall(text)
-        ids = [i for word in words for i in self.words[word]]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        if text.isalpha():
+            return self.words[text]
+        return b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
 
     def runs(self, text: str) -> list[str]:
         """A text's runs without white space; the special tokens in it are runs of their own."""
@@ -215,7 +222,7 @@ class Tokenizer:
         return b"".join(map(self.ids.__getitem__, self.runs(text)))
 
     def decode(self, ids: bytes) -> str:
-        return self.automaton.decode(struct.unpack(f"<{len(ids) // 4}I", ids))
+        return " ".join(map(self.label.__getitem__, struct.unpack(f"<{len(ids) // 4}I", ids)))
 
     def round_trip(self, text: str) -> tuple[bytes, str]:
         """(ids, the text that they decode to)."""

@@ -12,17 +12,19 @@ Spark's Parquet writer and reader carry the blocks, so any store that Spark reac
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import tokenizers
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import common
-from .bpe_automaton import tokenizer
+from .bpe_automaton import Tokenizer, byte_letters
 
 END_ID = 1
 #: The dictionary: its size, and the sample it is trained on (expected documents, and bytes of each).
@@ -35,9 +37,35 @@ BLOCK_BYTES, BLOCK_DOCUMENTS = 1 << 20, 4096
 BLOCK = "part int, block int, dictionary string, width int, first_id bigint, last_id bigint, doc_ids array<bigint>, n_tokens array<bigint>, offsets array<bigint>, body binary"
 
 
+class LibraryTokenizer(Tokenizer):
+    """The tokenizers library's model, asked once for each word that the memos do not hold."""
+
+    def word_encoder(self, path: str, model: dict) -> Callable[[str], bytes]:
+        tokenize = tokenizers.Tokenizer.from_file(path).model.tokenize
+        letters = {byte: letter for letter, byte in byte_letters().items()}
+
+        def encode(word: str) -> bytes:
+            if not (word.isascii() and word.isprintable()):
+                word = word.encode().decode("latin-1").translate(letters)
+            ids = [token.id for token in tokenize(word)]
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        return encode
+
+
+_LOADED: dict[str, LibraryTokenizer] = {}
+
+
+def tokenizer(path: str) -> LibraryTokenizer:
+    """The tokenizer of this process, loaded once per worker."""
+    if path not in _LOADED:
+        _LOADED[path] = LibraryTokenizer(path)
+    return _LOADED[path]
+
+
 def width_of(path: str) -> int:
     """Bytes of an id."""
-    return 2 if max(tokenizer(path).automaton.label) < 1 << 16 else 4
+    return 2 if max(tokenizer(path).label) < 1 << 16 else 4
 
 
 def serialised(path: str, text: str, width: int) -> bytes:

@@ -40,7 +40,7 @@ def odd_texts():
     letters = "aab bc's 'll 12 %%$# éÉñŉΣσİ\u0301 \x1c\x1f ﬁ中文字 don't I'VE \x85 aaaaaa <|endoftext|>x<|startoftext|>hahaha"
     made = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 60))) for _ in range(300)]
     made += ["".join(rnd.choice("inthead") for _ in range(rnd.randint(1, 60))) for _ in range(300)]
-    return [*made, None, "", " \n", "x" * 20_000, "ab " * 20_000]
+    return [*made, None, "", " \n", "x" * 20_000, "ab " * 20_000, "".join(map(chr, range(256))), "a".join(map(chr, range(256)))]
 
 
 def test_bpe_equals_the_library(spark, reference):
