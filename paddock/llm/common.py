@@ -29,10 +29,24 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return numbered(df).select(*[F.col(f"c{i}").alias(new) for new, i in at.items()])
 
 
+#: Spark then removes a query's shuffle files when the query is over, not when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared scratch folder and read back: cuts lineage, survives lost executors."""
-    path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    """Write to the shared scratch folder and read back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write go once it has committed; the frame itself must not be run again.
+    """
+    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -276,6 +276,8 @@ def classes_joined(spark: SparkSession, rows: DataFrame, width: int, percent: in
     index = common.stage(spark, _index(spark, rows, counts, width, percent), "index")
     entries = index.select("cls", "n", F.explode("sigs").alias("sig"), F.octet_length("bm").alias("len"))
     often = entries.groupBy("sig").agg(F.count("*").alias("members")).where("members > 1")
+    # staged alone, so that its shuffle is gone before the entries themselves are shuffled
+    often = common.stage(spark, often.select("sig"), "shared-signatures")
     # members of shared signatures; copies of one set count once
     met = entries.join(often, "sig").select("sig", "cls", "n", "len").distinct()
     sizes = met.groupBy("sig").agg(F.count("*").alias("members")).where("members > 1")
