@@ -144,13 +144,65 @@ def _index(spark: SparkSession, rows: DataFrame, counts: np.ndarray, width: int,
     return rows.mapInArrow(run, "cls bigint, n bigint, sigs array<bigint>, bm binary")
 
 
-def _near(batches: Iterator[pa.RecordBatch], percent: int, star: bool) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of rows sorted by gid: (gid, side, rank, cls, comp, n, bm); links of each batch once.
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by gid, cut between groups."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        gid = batch.column("gid").to_numpy()
+        cut = int(np.searchsorted(gid, gid[-1], "left"))  # the last group may go on in the next batch
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _stars(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of rows (gid, cls, n, len) sorted by gid: the pairs (a, b, len) of each group's first row and another
+    that their sizes allow to link."""
+    for table in _groups(batches):
+        gid, cls, n, length = (table.column(c).to_numpy() for c in ("gid", "cls", "n", "len"))
+        first = np.searchsorted(gid, gid, "left")
+        ok = (cls != cls[first]) & (length == length[first])
+        ok &= 100 * np.minimum(n, n[first]) >= percent * np.maximum(n, n[first])
+        x, y = cls[first[ok]], cls[ok]
+        got = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y), length[ok].astype(np.int64)], 1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1]), pa.array(got[:, 2], pa.int32())], ["a", "b", "len"])
 
-    side 2: all pairs of the group; otherwise pairs of different sides.  star: only pairs with
-    the group's first row.  Pairs in one component, or whose bitmaps or sizes rule a link out, are left out.
+
+def _alike(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b, len), those (a, b) whose bitmaps allow a link."""
+    both = pairs
+    for side in ("a", "b"):
+        of = maps.select(F.col("cls").alias(side), "len", F.col("n").alias(f"n_{side}"), F.col("bm").alias(f"bm_{side}"))
+        both = both.join(of, [side, "len"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in common.slices(batch, 4096):
+                n = part.column("n_a").to_numpy() + part.column("n_b").to_numpy()
+                length = part.column("len").to_numpy()
+                left, right = (part.column(c).to_pylist() for c in ("bm_a", "bm_b"))
+                apart = np.zeros(len(n), np.int64)
+                for size in np.unique(length).tolist():
+                    at = np.flatnonzero(length == size)
+                    x, y = (np.frombuffer(b"".join([m[i] for i in at]), U).reshape(len(at), -1) for m in (left, right))
+                    apart[at] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+                most = (n - apart) // 2  # of the overlap
+                yield part.select(["a", "b"]).filter(pa.array(100 * most >= percent * (n - most)))
+
+    return both.select("a", "b", "len", "n_a", "n_b", "bm_a", "bm_b").mapInArrow(run, "a bigint, b bigint")
+
+
+def _near(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of rows sorted by gid: (gid, side, cls, comp, n, bm); links of each batch once.
+
+    side 2: all pairs of the group; otherwise pairs of different sides.  Pairs in one component,
+    or whose bitmaps or sizes rule a link out, are left out.
     """
-    held: list[pa.RecordBatch] = []
 
     def pairs(table: pa.Table) -> pa.RecordBatch:
         gid, side, cls, comp, n = (table.column(c).to_numpy() for c in ("gid", "side", "cls", "comp", "n"))
@@ -179,28 +231,15 @@ def _near(batches: Iterator[pa.RecordBatch], percent: int, star: bool) -> Iterat
                     fit = 100 * most >= percent * (n[x] + n[y] - most)
                     out.append(np.stack([np.minimum(cls[x[fit]], cls[y[fit]]), np.maximum(cls[x[fit]], cls[y[fit]])], 1))
 
-        if star:
-            first = np.searchsorted(gid, gid, "left")
-            test(first, np.arange(len(gid)))
-        else:
-            at, d = np.arange(len(gid)), 1
-            while len(at := at[at + d < len(gid)]) and len(at := at[gid[at] == gid[at + d]]):
-                test(at, at + d)
-                d += 1
+        at, d = np.arange(len(gid)), 1
+        while len(at := at[at + d < len(gid)]) and len(at := at[gid[at] == gid[at + d]]):
+            test(at, at + d)
+            d += 1
         got = np.unique(np.concatenate([np.empty((0, 2), np.int64), *out]), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["a", "b"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        gid = batch.column("gid").to_numpy()
-        cut = int(np.searchsorted(gid, gid[-1], "left"))  # the last group may go on in the next batch
-        if cut:
-            yield pairs(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield pairs(pa.Table.from_batches(held))
+    for table in _groups(batches):
+        yield pairs(table)
 
 
 def _marked(spark: SparkSession, wanted: DataFrame) -> np.ndarray:
@@ -284,33 +323,35 @@ def classes_joined(spark: SparkSession, rows: DataFrame, width: int, percent: in
     met = common.stage(spark, met.join(sizes, "sig"), "met")
     # the centre of a signature: the class with the most shared signatures for its size, thus the fewest own words
     weight = met.groupBy("cls").agg((F.count("*") / F.max("n")).alias("weight"))
-    maps = index.groupBy("cls", F.octet_length("bm").alias("len")).agg(F.first("bm").alias("bm"))
-    met = common.stage(spark, met.join(weight, "cls").join(maps, ["cls", "len"]).drop("len"), "met-maps")
+    met = common.stage(spark, met.join(weight, "cls"), "met-weights")
+    # the bitmaps, once for each class: stars are shuffled without them
+    maps = index.groupBy("cls", F.octet_length("bm").alias("len")).agg(F.first("n").alias("n"), F.first("bm").alias("bm"))
+    maps = common.stage(spark, maps, "maps")
 
     links, comp = None, None
+    parts = F.ceil(F.col("members") / PART).cast("int")
     for star in (True, False):
-        known = met if comp is None else met.join(comp.select(F.col("node").alias("cls"), "root"), "cls", "left")
-        known = known.withColumn("comp", F.coalesce("root", "cls") if comp is not None else F.col("cls"))
-        if not star:  # signatures whose members are not all in one component yet
-            open_ = known.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-            known = known.join(open_.select("sig"), "sig")
-        parts = F.ceil(F.col("members") / PART).cast("int")
-        known = known.withColumn("mine", F.pmod(F.xxhash64("cls"), parts).cast("int"))
         if star:
-            known = known.withColumn("gid", F.xxhash64("sig", "mine")).withColumn("side", F.lit(2))
+            known = met.withColumn("gid", F.xxhash64("sig", F.pmod(F.xxhash64("cls"), parts).cast("int")))
+            known = known.select("gid", "weight", "cls", "n", "len").repartition("gid").sortWithinPartitions("gid", F.desc("weight"), "cls")
+            stars = known.mapInArrow(lambda batches: _stars(batches, percent), "a bigint, b bigint, len int")
+            near = _alike(stars.distinct(), maps, percent)
         else:
+            known = met.join(comp.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("comp", F.coalesce("root", "cls"))
+            # signatures whose members are not all in one component yet
+            open_ = known.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+            known = known.join(open_.select("sig"), "sig").join(maps.select("cls", "len", "bm"), ["cls", "len"])
+            known = known.withColumn("mine", F.pmod(F.xxhash64("cls"), parts).cast("int"))
             known = known.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).select(
                 "*",
                 F.xxhash64("sig", F.least("mine", "other"), F.greatest("mine", "other")).alias("gid"),
                 F.when(F.col("mine") == F.col("other"), 2).otherwise((F.col("mine") > F.col("other")).cast("int")).alias("side"),
             )
-        sorted_ = known.select("gid", F.col("side").cast("int").alias("side"), "weight", "cls", "comp", "n", "bm").repartition("gid")
-        sorted_ = sorted_.sortWithinPartitions("gid", F.desc("weight"), "cls")
-
-        def near(batches, star=star):
-            return _near(batches, percent, star)
+            known = known.select("gid", F.col("side").cast("int").alias("side"), "cls", "comp", "n", "bm").repartition("gid")
+            known = known.sortWithinPartitions("gid", "cls")
+            near = known.mapInArrow(lambda batches: _near(batches, percent), "a bigint, b bigint")
 
-        found = _verified(spark, rows, classes, sorted_.mapInArrow(near, "a bigint, b bigint"), width, percent)
+        found = _verified(spark, rows, classes, near, width, percent)
         links = found if links is None else links.unionByName(found)
         links = common.stage(spark, links, "linked")
         comp = components(spark, links)
