@@ -1,19 +1,14 @@
-"""Op 8: benchmark decontamination by CGK embedding, bit-sampling LSH and exact edit distance.
+"""Op 8: benchmark decontamination by shared word runs and exact edit distance.
 
 A document leaks an item when some run of its words is within ``percent`` % of the item's
 words in (word) edit distance.
 
-* Windows: a text is looked at where it can hold an item at all.  A run within k edits of an item
-  of L words shares at least L - q + 1 - k q of its q-word runs (q <= 3, chosen so that this is
-  positive), so only windows of L + k words with so many runs of items in them count; this loses
-  nothing.
-* CGK embedding: a random walk over a window puts out the word it stands on and moves on by a
-  random bit of that word and step, so that windows with a small edit distance get sequences
-  with a small Hamming distance.
-* Bit sampling: each of ``SAMPLES`` tables per walk takes ``BITS`` places of the sequence (within
-  the item's length); equal words there make window and item a candidate pair.  With ``WALKS``
-  independent walks a window with half of its places equal is found with 1 - (1 - 1/8)**64.
-* Candidates are verified by the exact edit distance (bit-parallel, over the words).
+* A run within k edits of an item of L words shares at least L - q + 1 - k q of its q-word runs
+  (q <= 3, chosen so that this is positive) and has at most L + k words.  So for each item only the
+  stretches of a text count where so many of the item's own runs begin that close together.  A first
+  count, over the runs of all items at once, leaves most texts out; neither count loses a leak.
+* Every such stretch, with all words that a leak around it can have, is verified by the exact edit
+  distance (bit-parallel, over the words).  All leaks are found, each with its fewest edits.
 """
 
 from __future__ import annotations
@@ -27,11 +22,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import common, words
 
-U = np.uint64
 PERCENT = 20
 #: Items with fewer words prove nothing and are left out.
 LEAST_WORDS = 8
-WALKS, SAMPLES, BITS = 4, 16, 3
+#: Places of items' runs in a text that are laid out at once; more are taken by fewer items at a time.
+PLACES_AT_ONCE = 1 << 20
 #: Bytes of items that one pass over the documents takes; more items take more passes.
 ITEM_BYTES = 32 << 20
 
@@ -53,37 +48,13 @@ def least_runs(size: int, percent: int) -> int:
 
 
 def floor_size(size: int) -> int:
-    """The least size of the class of sizes (each a quarter wider than the last) that shares its sampled places."""
+    """The least size of the class of sizes (each a quarter wider than the last) that share a first count."""
     least = 1
     while (following := least + max(1, least // 4)) <= size:
         least = following
     return least
 
 
-def embed(text: np.ndarray, starts: np.ndarray, steps: int, walk: int) -> np.ndarray:
-    """The first places of the CGK sequence of the windows that begin there (0 past the text's end)."""
-    at, out = starts.copy(), np.zeros((len(starts), steps), U)
-    padded = np.append(text, U(0))
-    for j in range(steps):
-        word = padded[np.minimum(at, len(text))]
-        out[:, j] = word
-        at += (words.mix(word + U((j * 64 + walk + 1) * 0x9E3779B9)) >> U(63)).astype(np.int64)
-    return out
-
-
-def places(size: int) -> np.ndarray:
-    """(WALKS, SAMPLES, BITS) sampled places for items of at least this many words."""
-    return np.random.default_rng(size).integers(0, size, (WALKS, SAMPLES, BITS))
-
-
-def keys(sequence: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """(windows, SAMPLES) keys of one walk's sequences."""
-    total = np.full((len(sequence), at.shape[0]), U(1), U)
-    for b in range(at.shape[1]):
-        total = words.mix(total * words.BASE + sequence[:, at[:, b]])
-    return total
-
-
 def edit_search(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int] | None:
     """(edits, word after the end) of the best run of the text, by bit-parallel dynamic programming; None beyond ``most``."""
     size = len(item)
@@ -111,74 +82,73 @@ class Items:
     ids: list
     texts: list[np.ndarray]
     percent: int
+    #: by run length: the runs of all items, sorted, and (run's place in them) * items + item, sorted
     runs: dict[int, np.ndarray] = field(default_factory=dict)
-    tables: dict[int, dict[int, list[int]]] = field(default_factory=dict)
-    #: by run length and class of sizes: runs that a leak shares at least, words of the longest item
+    owners: dict[int, np.ndarray] = field(default_factory=dict)
+    #: by run length and class of sizes: runs that a leak shares at least, words that it has at most
     shapes: dict[tuple[int, int], list[int]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        runs: dict[int, list[np.ndarray]] = {}
-        for i, t in enumerate(self.texts):
-            q = run_length(len(t), self.percent)
-            runs.setdefault(q, []).append(words.runs(t, q))
-            least = floor_size(len(t))
-            table, at = self.tables.setdefault(least, {}), places(least)
-            shape = self.shapes.setdefault((q, least), [len(text_runs := words.runs(t, q)), 0])
-            shape[0], shape[1] = min(shape[0], least_runs(len(t), self.percent), len(text_runs)), max(shape[1], len(t))
-            for walk in range(WALKS):
-                found = keys(embed(t, np.zeros(1, np.int64), least, walk), at[walk])[0]
-                for sample, key in enumerate(found.tolist()):
-                    table.setdefault(key ^ (walk * SAMPLES + sample), []).append(i)
-        self.runs = {q: np.unique(np.concatenate(r)) for q, r in runs.items()}
-        self.sampled = {size: places(size) for size in self.tables}
-        self.known = {size: np.array(sorted(t), U) for size, t in self.tables.items()}
-
-    def starts(self, text: np.ndarray) -> dict[int, np.ndarray]:
-        """By class of sizes, where windows begin that can hold a leak."""
-        out: dict[int, np.ndarray] = {}
-        for q, known in self.runs.items():
-            own = words.runs(text, q)
-            hit = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
-            total = np.concatenate(([0], np.cumsum(hit)))
-            if not total[-1]:
-                continue
-            at = np.arange(len(hit))
-            for (of, size), (least, longest) in self.shapes.items():
-                if of == q and total[-1] >= least:
-                    reach = longest + most_edits(longest, self.percent) - q + 1
-                    got = at[total[np.minimum(at + reach, len(hit))] - total[at] >= least]
-                    if len(got):
-                        out[size] = np.union1d(out[size], got) if size in out else got
-        return out
+        sizes = [len(t) for t in self.texts]
+        self.most = np.array([most_edits(n, self.percent) for n in sizes], np.int64)
+        self.least = np.array([least_runs(n, self.percent) for n in sizes], np.int64)
+        self.longest = np.array(sizes, np.int64) + self.most
+        of: dict[int, list[int]] = {}
+        for i, n in enumerate(sizes):
+            q = run_length(n, self.percent)
+            of.setdefault(q, []).append(i)
+            shape = self.shapes.setdefault((q, floor_size(n)), [n, 0])
+            shape[0], shape[1] = min(shape[0], int(self.least[i])), max(shape[1], int(self.longest[i]))
+        for q, mine in of.items():
+            own = [words.runs(self.texts[i], q) for i in mine]
+            self.runs[q], at = np.unique(np.concatenate(own), return_inverse=True)
+            self.owners[q] = np.unique(at * len(sizes) + np.repeat(mine, [len(r) for r in own]))
+
+    def near(self, q: int, hit: np.ndarray) -> np.ndarray:
+        """Of the places where some item's run begins, those in a window with enough of them for a leak."""
+        total = np.concatenate(([0], np.cumsum(hit)))
+        inside = np.zeros(len(hit) + 1, np.int64)
+        for (of, _), (least, longest) in self.shapes.items():
+            if of == q and total[-1] >= least:
+                end = np.minimum(np.arange(len(hit)) + longest - q + 1, len(hit))
+                got = np.flatnonzero(total[end] - total[:-1] >= least)
+                inside[got] += 1
+                np.add.at(inside, end[got], -1)
+        return np.flatnonzero(hit & (np.cumsum(inside)[:-1] > 0))
+
+    def stretches(self, q: int, at: np.ndarray, run: np.ndarray, lo: int, hi: int) -> Iterator[tuple[int, int, int]]:
+        """(item, first word, word after the last) where items lo..hi - 1 can leak; ``run`` begins at word ``at``."""
+        n, owners = len(self.texts), self.owners[q]
+        first, last = (np.searchsorted(owners, run * n + edge) for edge in (lo, hi))
+        count = last - first
+        if (places := int(count.sum())) > PLACES_AT_ONCE and hi - lo > 1:
+            yield from self.stretches(q, at, run, lo, (lo + hi) // 2)
+            yield from self.stretches(q, at, run, (lo + hi) // 2, hi)
+            return
+        item = owners[np.repeat(first - (np.cumsum(count) - count), count) + np.arange(places)] % n
+        order = np.argsort(item, kind="stable")
+        item, at = item[order], np.repeat(at, count)[order]
+        # the place where enough of the item's runs have begun, counted from each
+        enough = np.arange(places) + self.least[item] - 1
+        inside = np.minimum(enough, places - 1)
+        ok = (enough < places) & (item[inside] == item) & (at[inside] - at + q <= self.longest[item])
+        item, begin, end = item[ok], at[inside][ok] + q - self.longest[item[ok]], at[ok] + self.longest[item[ok]]
+        if len(item):
+            # stretches of an item that overlap are one; both of their ends grow
+            new = np.flatnonzero(np.concatenate(([True], (item[1:] != item[:-1]) | (begin[1:] > end[:-1]))))
+            yield from zip(item[new].tolist(), np.maximum(begin[new], 0).tolist(), end[np.append(new[1:], len(item)) - 1].tolist())
 
     def search(self, text: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item's place, edits, first word searched, word after the end) of every leaked item, its best run."""
-        found: set[tuple[int, int]] = set()
-        by_size = self.starts(text)
-        every = np.unique(np.concatenate([*by_size.values(), np.empty(0, np.int64)]))
-        for lo in range(0, len(every), 4096):
-            some = every[lo : lo + 4096]
-            mine = {size: own for size, starts in by_size.items() if len(own := np.flatnonzero(np.isin(some, starts)))}
-            for walk in range(WALKS):
-                # a sequence's first places do not depend on where the window ends: one walk serves all sizes
-                sequence = embed(text, some, max(mine), walk)
-                for size, rows in mine.items():
-                    table, known = self.tables[size], self.known[size]
-                    own = keys(sequence[rows], self.sampled[size][walk]) ^ (U(walk * SAMPLES) + np.arange(SAMPLES, dtype=U))
-                    hit = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
-                    for row, sample in zip(*np.nonzero(hit)):
-                        for i in table[int(own[row, sample])]:
-                            # windows that begin within the same few words are verified together
-                            start = int(some[rows[row]])
-                            found.add((i, start - start % max(1, most_edits(size, self.percent))))
         best: dict[int, tuple[int, int, int]] = {}
-        for i, start in sorted(found):
-            item = self.texts[i]
-            most = most_edits(len(item), self.percent)
-            first = max(0, start - most)
-            got = edit_search(item, text[first : first + len(item) + 4 * most + 1], most)
-            if got and (i not in best or got[0] < best[i][0]):
-                best[i] = (got[0], first, first + got[1])
+        for q, known in self.runs.items():
+            own = words.runs(text, q)
+            run = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            at = self.near(q, known[run] == own)
+            for i, first, last in self.stretches(q, at, run[at], 0, len(self.texts)) if len(at) else ():
+                got = edit_search(self.texts[i], text[first:last], int(self.most[i]))
+                if got and (i not in best or got[0] < best[i][0]):
+                    best[i] = (got[0], first, first + got[1])
         return [(i, *b) for i, b in sorted(best.items())]
 
 

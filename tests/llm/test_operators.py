@@ -242,6 +242,47 @@ def test_leaks_reach_the_recall_of_brute_force(spark):
     assert decontamination.leaks(spark, frame(spark, docs), frame(spark, [], "item_id bigint, text string")).count() == 0
 
 
+def test_leaks_with_clustered_head_and_tail_edits_are_all_found(spark):
+    rnd = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(rnd.choice(vocabulary) for _ in range(n))) for i, n in enumerate([8, 11, 15, 40, 40, 60, 150])]
+    docs = []
+    for _, item in items:
+        w = item.split()
+        k, half = len(w) // 5, len(w) // 2
+        body = [rnd.choice(vocabulary) for _ in range(30)]
+        places = set(rnd.sample(range(half), k))
+        new = [rnd.choice(vocabulary) for _ in range(k)]
+        docs += [
+            w[k:] + body, body + w[:-k], w[k:], w[:-k], body + w[k:] + body,
+            body + [v for j, v in enumerate(w) if j not in places] + body,
+            body + w[:3] + new + w[3:] + body, new + w + body, body + w[:half] + w[half + k :],
+            body + new + w[k:] + body, body + w[:-k] + new + body, body + w[k + 1 :], w[: -k - 1] + ["zz"] + body,
+        ]
+    docs = [(d, " ".join(t)) for d, t in enumerate(docs)]
+    got = decontamination.leaks(spark, frame(spark, docs), frame(spark, items, "item_id bigint, text string")).collect()
+    want = {}
+    for d, t in docs:
+        for i, item in items:
+            e = edit_distance_to_best_run(item.split(), t.split())
+            if e <= len(item.split()) // 5:
+                want[(d, i)] = e
+    assert len(want) > 75 and {(r.doc_id, r.item_id): r.edits for r in got} == want
+
+
+def test_stretches_by_few_items_at_a_time_are_the_same(monkeypatch):
+    rng = np.random.default_rng(4)
+    items = [rng.integers(0, 5, n).astype(np.uint64) for n in rng.integers(8, 60, 40)]
+    block = decontamination.Items(list(range(40)), items, 20)
+    texts = [rng.integers(0, 5, 400).astype(np.uint64) for _ in range(10)]
+    whole = [block.search(t) for t in texts]
+    monkeypatch.setattr(decontamination, "PLACES_AT_ONCE", 1)
+    assert [block.search(t) for t in texts] == whole and any(whole)
+    for t, found in zip(texts, whole):
+        exact = {i: e for i, item in enumerate(items) if (e := edit_distance_to_best_run(item.tolist(), t.tolist())) <= len(item) // 5}
+        assert {i: e for i, e, _, _ in found} == exact
+
+
 def test_maximal_segments_equal_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(300):
