@@ -18,13 +18,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import common, words
 
 PERCENT = 20
-#: Items with fewer words prove nothing and are left out.
+#: Items with fewer words are matched exactly, on their whole word run.
 LEAST_WORDS = 8
+#: Scripts without blanks (Thai to Myanmar, Khmer, Kana, Han, ..), each character of which is a word, their marks, and the first UTF-8 bytes of both.
+ALONE = r"([\x{E00}-\x{109F}\x{1780}-\x{17FF}\x{1950}-\x{1AAF}\x{3005}-\x{3007}\x{3021}-\x{312F}\x{31A0}-\x{9FFF}\x{A980}-\x{A9FF}\x{AA60}-\x{AADF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{1AFF0}-\x{1B16F}\x{20000}-\x{3FFFF}])"
+MARKS = r"[\x{E2F}\x{E5A}\x{E5B}\x{F0B}-\x{F0D}\x{104A}\x{104B}\x{17D4}-\x{17D6}\x{3000}-\x{3003}\x{3008}-\x{301F}\x{30FB}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}]"
+LEADS = np.zeros(256, bool)
+LEADS[[0xE0, 0xE1, *range(0xE3, 0xEB), 0xEF, 0xF0]] = True
 #: Places of items' runs in a text that are laid out at once; more are taken by fewer items at a time.
 PLACES_AT_ONCE = 1 << 20
 #: Bytes of items that one pass over the documents takes; more items take more passes.
@@ -32,7 +38,7 @@ ITEM_BYTES = 32 << 20
 
 
 def most_edits(size: int, percent: int = PERCENT) -> int:
-    return size * percent // 100
+    return size * percent // 100 if size >= LEAST_WORDS else 0
 
 
 def run_length(size: int, percent: int) -> int:
@@ -75,6 +81,17 @@ def edit_search(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int
     return best
 
 
+def word_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, hashes of its words in order); characters of scripts without blanks are words of their own."""
+    for lo in range(0, len(column), common.ROWS_AT_ONCE):
+        part = column.slice(lo, common.ROWS_AT_ONCE).cast(pa.large_string())
+        first, *_, last = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + len(part) + 1]
+        if last > first and LEADS[np.frombuffer(part.buffers()[2], np.uint8)[first:last]].any():
+            part = pc.replace_substring_regex(pc.replace_substring_regex(part, MARKS, " "), ALONE, r" \1 ")
+        for i, text in words.documents(part, words.LETTERS):
+            yield lo + i, text
+
+
 @dataclass
 class Items:
     """A block of items, ready to be searched for."""
@@ -146,6 +163,8 @@ class Items:
             run = np.minimum(np.searchsorted(known, own), len(known) - 1)
             at = self.near(q, known[run] == own)
             for i, first, last in self.stretches(q, at, run[at], 0, len(self.texts)) if len(at) else ():
+                if i in best and not best[i][0]:
+                    continue
                 got = edit_search(self.texts[i], text[first:last], int(self.most[i]))
                 if got and (i not in best or got[0] < best[i][0]):
                     best[i] = (got[0], first, first + got[1])
@@ -156,7 +175,8 @@ def leaks(spark: SparkSession, df: DataFrame, items: DataFrame, percent: int = P
     """``doc_id, item_id, edits, end_word, n_words``: one row for each document (row) and item that it leaks.
 
     ``end_word`` is the word after the best run's end, ``n_words`` the item's words.  Null and empty texts
-    leak nothing; items that are null or have fewer than ``LEAST_WORDS`` words are left out.  Repeated rows
+    leak nothing; items that are null or have no words are left out, those with fewer than
+    ``LEAST_WORDS`` words leak only where all of them stand in a row.  Repeated rows
     give repeated results; empty tables an empty one; other columns are ignored.
     """
     rows = common.pick(df, doc_id=doc_id, text=text)
@@ -173,8 +193,8 @@ def leaks(spark: SparkSession, df: DataFrame, items: DataFrame, percent: int = P
 
 def _block(spark: SparkSession, rows: DataFrame, items: DataFrame, percent: int, item_type: str) -> DataFrame:
     got = items.orderBy("item_id").toArrow()
-    texts = dict(words.documents(got.column("text").combine_chunks(), words.LETTERS)) if got.num_rows else {}
-    use = [i for i in range(got.num_rows) if len(texts[i]) >= LEAST_WORDS]
+    texts = dict(word_hashes(got.column("text").combine_chunks())) if got.num_rows else {}
+    use = [i for i in range(got.num_rows) if len(texts[i])]
     ids = got.column("item_id").to_pylist()
     shared = spark.sparkContext.broadcast(([ids[i] for i in use], [texts[i] for i in use]))
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, item_id {item_type}, edits int, end_word bigint, n_words int"
@@ -184,7 +204,7 @@ def _block(spark: SparkSession, rows: DataFrame, items: DataFrame, percent: int,
         block = Items(*shared.value, percent)
         for batch in batches:
             at, out = [], []
-            for i, text in words.documents(batch.column("text"), words.LETTERS):
+            for i, text in word_hashes(batch.column("text")):
                 for item, edits, _, end in block.search(text):
                     at.append(i)
                     out.append((block.ids[item], edits, end, len(block.texts[item])))

@@ -270,6 +270,23 @@ def test_leaks_with_clustered_head_and_tail_edits_are_all_found(spark):
     assert len(want) > 75 and {(r.doc_id, r.item_id): r.edits for r in got} == want
 
 
+def test_short_items_and_scripts_without_blanks_leak(spark):
+    items = [
+        (0, "Who wrote Hamlet?"), (1, "seven"), (2, "one two three four five six seven"), (3, "..."),
+        (4, "长城是中国古代的军事防御工程，全长超过两万公里。"), (5, "日本の首都はどこですか"), (6, "เมืองหลวงของประเทศไทยคืออะไร"),
+    ]
+    docs = [
+        (0, "He asked: who wrote HAMLET, and why"), (1, "who wrote about hamlet"), (2, "one two three four six seven"),
+        (3, "one two three four five six seven"), (4, "大家知道,长城是中国古代的军事防御工程全长超过三万公里吧"), (5, "长城在中国"),
+        (6, "質問:日本の首都はどこですか?はい"), (7, "คำถามเมืองหลวงของประเทศไทยคืออะไรครับ"), (8, None), (9, "..."), (10, "日本の首都"),
+    ]
+    got = decontamination.leaks(spark, frame(spark, docs), frame(spark, items, "item_id bigint, text string")).collect()
+    # by the scripts' characters, item 4 has 22 words
+    assert {(r.doc_id, r.item_id): (r.edits, r.n_words) for r in got} == {
+        (0, 0): (0, 3), (2, 1): (0, 1), (3, 1): (0, 1), (3, 2): (0, 7), (4, 4): (1, 22), (6, 5): (0, 11), (7, 6): (0, 28),
+    }
+
+
 def test_stretches_by_few_items_at_a_time_are_the_same(monkeypatch):
     rng = np.random.default_rng(4)
     items = [rng.integers(0, 5, n).astype(np.uint64) for n in rng.integers(8, 60, 40)]
