@@ -33,7 +33,7 @@ LEADS = np.zeros(256, bool)
 LEADS[[0xE0, 0xE1, *range(0xE3, 0xEB), 0xEF, 0xF0]] = True
 #: Places of items' runs in a text that are laid out at once; more are taken by fewer items at a time.
 PLACES_AT_ONCE = 1 << 20
-#: Bytes of items that one pass over the documents takes; more items take more passes.
+#: Bytes of distinct item texts that one pass over the documents takes; more items take more passes.
 ITEM_BYTES = 32 << 20
 
 
@@ -179,26 +179,36 @@ def leaks(spark: SparkSession, df: DataFrame, items: DataFrame, percent: int = P
     ``LEAST_WORDS`` words leak only where all of them stand in a row.  Repeated rows
     give repeated results; empty tables an empty one; other columns are ignored.
     """
-    rows = common.pick(df, doc_id=doc_id, text=text)
-    wanted = common.pick(items, item_id=item_id, text=item_text).where("text is not null")
+    wanted = _keyed(items, item_id, item_text)
+    found = _found(spark, common.pick(df, doc_id=doc_id, text=text), wanted, percent)
+    return found.join(wanted.select("item_id", "key"), "key").select("doc_id", "item_id", "edits", "end_word", "n_words")
+
+
+def _keyed(items: DataFrame, item_id: str, item_text: str) -> DataFrame:
+    """The items with a text, and ``key``, which equal texts share."""
+    return common.pick(items, item_id=item_id, text=item_text).where("text is not null").withColumn("key", F.sha2("text", 256))
+
+
+def _found(spark: SparkSession, rows: DataFrame, wanted: DataFrame, percent: int) -> DataFrame:
+    """``doc_id, key, edits, end_word, n_words`` of each document and item text that it leaks."""
+    wanted = wanted.select("key", "text").dropDuplicates(["key"])
     size = wanted.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = -(-size // ITEM_BYTES) or 1
     out = None
     for block in range(blocks):
-        part = wanted.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        found = _block(spark, rows, part, percent, items.schema[item_id].dataType.simpleString())
+        part = wanted.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block)
+        found = _block(spark, rows, part, percent)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _block(spark: SparkSession, rows: DataFrame, items: DataFrame, percent: int, item_type: str) -> DataFrame:
-    got = items.orderBy("item_id").toArrow()
+def _block(spark: SparkSession, rows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    got = items.orderBy("key").toArrow()
     texts = dict(word_hashes(got.column("text").combine_chunks())) if got.num_rows else {}
     use = [i for i in range(got.num_rows) if len(texts[i])]
-    ids = got.column("item_id").to_pylist()
+    ids = got.column("key").to_pylist()
     shared = spark.sparkContext.broadcast(([ids[i] for i in use], [texts[i] for i in use]))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, item_id {item_type}, edits int, end_word bigint, n_words int"
-    item_kind = got.schema.field("item_id").type
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, key string, edits int, end_word bigint, n_words int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Items(*shared.value, percent)
@@ -208,8 +218,8 @@ def _block(spark: SparkSession, rows: DataFrame, items: DataFrame, percent: int,
                 for item, edits, _, end in block.search(text):
                     at.append(i)
                     out.append((block.ids[item], edits, end, len(block.texts[item])))
-            columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((item_kind, pa.int32(), pa.int64(), pa.int32()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), *columns], ["doc_id", "item_id", "edits", "end_word", "n_words"])
+            columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), *columns], ["doc_id", "key", "edits", "end_word", "n_words"])
 
     return rows.mapInArrow(run, schema)
 
@@ -217,5 +227,6 @@ def _block(spark: SparkSession, rows: DataFrame, items: DataFrame, percent: int,
 def drop_leaks(spark: SparkSession, df: DataFrame, items: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that leak no item, with all their columns."""
     rows, restore = common.tracked(spark, df, doc_id, text)
-    found = common.stage(spark, leaks(spark, rows.select("rid", "text"), items, percent, doc_id="rid").select(F.col("doc_id").alias("rid")).distinct(), "leaks")
+    found = _found(spark, rows.select(F.col("rid").alias("doc_id"), "text"), _keyed(items, "item_id", "text"), percent)
+    found = common.stage(spark, found.select(F.col("doc_id").alias("rid")).distinct(), "leaks")
     return restore(rows.join(found, "rid", "left_anti"))

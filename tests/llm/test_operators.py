@@ -287,6 +287,25 @@ def test_short_items_and_scripts_without_blanks_leak(spark):
     }
 
 
+def test_copies_of_an_item_text_reach_the_driver_once(spark, monkeypatch):
+    kept = []
+    block = decontamination._block
+
+    def counted(spark, rows, items, percent):
+        kept.append(items.count())
+        return block(spark, rows, items, percent)
+
+    monkeypatch.setattr(decontamination, "_block", counted)
+    monkeypatch.setattr(decontamination, "ITEM_BYTES", 100)
+    texts = [" ".join(f"{c}{i}" for i in range(12)) for c in "abcdefgh"]
+    items = [(i, texts[0]) for i in range(500)] + [(500 + i, t) for i, t in enumerate(texts)]
+    docs = [(0, f"x {texts[0]} y"), (1, f"x {texts[3]} y"), (2, "x y")]
+    got = decontamination.leaks(spark, frame(spark, docs), frame(spark, items, "item_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(0, i) for i in range(501)] + [(1, 503)]
+    assert sum(kept) == len(texts) and len(kept) > 1
+    assert [r.doc_id for r in decontamination.drop_leaks(spark, frame(spark, docs), frame(spark, items, "item_id bigint, text string")).collect()] == [2]
+
+
 def test_stretches_by_few_items_at_a_time_are_the_same(monkeypatch):
     rng = np.random.default_rng(4)
     items = [rng.integers(0, 5, n).astype(np.uint64) for n in rng.integers(8, 60, 40)]
