@@ -27,7 +27,7 @@ from . import common
 from .bpe_automaton import Tokenizer, byte_letters
 
 END_ID = 1
-#: The dictionary: its size, and the sample it is trained on (expected documents, and bytes of each).
+#: The dictionary: its size, and the sample it is trained on (expected documents, and bytes of each, from a hashed place).
 DICTIONARY_BYTES = 64 << 10
 SAMPLE, SAMPLE_BYTES = 2000, 8 << 10
 LEVEL = 3
@@ -73,6 +73,13 @@ def serialised(path: str, text: str, width: int) -> bytes:
     return np.append(ids, np.uint32(END_ID)).astype(f"<u{width}").tobytes()
 
 
+def piece(ids: bytes, width: int) -> bytes:
+    """SAMPLE_BYTES of a serialised document, from a place that its hash gives."""
+    places = max(0, len(ids) - SAMPLE_BYTES) // width + 1
+    at = zlib.crc32(ids) % places * width
+    return ids[at : at + SAMPLE_BYTES]
+
+
 def train(samples: list[bytes]) -> bytes:
     """The dictionary's bytes; too few samples give their joined bytes as plain content, none an empty one."""
     joined = b"".join(samples)
@@ -97,7 +104,7 @@ def write(spark: SparkSession, df: DataFrame, path: str, tokens: str, doc_id: st
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch):
-                yield pa.RecordBatch.from_arrays([pa.array([serialised(tokens, t, width)[:SAMPLE_BYTES] for t in common.texts(part)], pa.binary())], ["body"])
+                yield pa.RecordBatch.from_arrays([pa.array([piece(serialised(tokens, t, width), width) for t in common.texts(part)], pa.binary())], ["body"])
 
     sample = rows.where(draw < share).select("text").mapInArrow(sampled, "body binary").collect()
     dictionary = train(sorted(bytes(r["body"]) for r in sample))

@@ -319,6 +319,19 @@ def test_stretches_by_few_items_at_a_time_are_the_same(monkeypatch):
         assert {i: e for i, e, _, _ in found} == exact
 
 
+def test_dictionary_is_trained_on_all_parts_of_long_documents(spark, monkeypatch):
+    seen = []
+    train = token_files.train
+    monkeypatch.setattr(token_files, "train", lambda samples: seen.extend(samples) or train(samples))
+    docs = [(d, " ".join(f"{part}{i % 97} {d}" for part in ("head", "middle", "tail") for i in range(4000))) for d in range(24)]
+    token_files.write(spark, frame(spark, docs), scratch_path(spark, "pieces"), queries.WORD_BPE)
+    whole = [token_files.serialised(queries.WORD_BPE, t, 2) for _, t in docs]
+    at = [next(w.index(s) / len(w) for w in whole if s in w) for s in seen]
+    assert len(seen) == 24 and all(len(s) == token_files.SAMPLE_BYTES for s in seen)
+    assert min(at) < 0.33 and any(0.33 < a < 0.67 for a in at) and max(at) > 0.67
+    assert token_files.piece(b"ab" * 9, 2) == b"ab" * 9 and token_files.piece(b"", 4) == b""
+
+
 def test_maximal_segments_equal_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(300):
