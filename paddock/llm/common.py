@@ -108,6 +108,16 @@ def add_tables(rows: DataFrame, size: int, dtype: str) -> np.ndarray:
     return total
 
 
+# -- bounded samples ---------------------------------------------------------
+
+
+def drawn(rows: DataFrame, keys: list[str], share: Column) -> DataFrame:
+    """About 1.25 times this share of the rows, by ``draw``, a hash of their keys; rows with equal keys count once."""
+    draw = F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit("sample"))
+    some = rows.withColumn("draw", draw).where(F.pmod("draw", F.lit(1_000_000)) / 1_000_000 < 1.25 * share)
+    return some.dropDuplicates(["draw"])
+
+
 # -- rows told apart ---------------------------------------------------------
 
 

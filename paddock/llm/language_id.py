@@ -14,8 +14,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from . import common, ngrams
 
@@ -92,11 +93,9 @@ def fit(rows: DataFrame) -> Model:
     learn = rows.where(~common.held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     df, n = _frequencies(learn)
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
-    sizes = {r["lang"]: r["count"] for r in learn.groupBy("lang").count().collect()}
-    share = F.lit(0.0)
-    for lang, count in sizes.items():
-        share = F.when(F.col("lang") == lang, min(1.0, SAMPLE / count)).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1_000_000)) / 1_000_000
+    sizes = learn.groupBy("lang").agg((SAMPLE / F.count("*")).alias("share"))
+    some = common.drawn(learn.join(F.broadcast(sizes), "lang"), ["lang", "doc_id", "text"], F.col("share"))
+    some = some.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).where(F.col("place") <= SAMPLE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,23 +103,22 @@ def fit(rows: DataFrame) -> Model:
                 got = vectors(common.texts(part), idf)
                 yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([v.astype(np.float16).tobytes() for v in got], pa.binary())], ["lang", "vector"])
 
-    sample = learn.where(draw < share).select("lang", "text").mapInArrow(run, "lang string, vector binary").collect()
-    by: dict[str, list[bytes]] = {}
-    for r in sorted(sample, key=lambda r: (r["lang"], r["vector"])):
-        by.setdefault(r["lang"], []).append(bytes(r["vector"]))
-    centroids, languages, usual = [np.zeros((0, 1 << BITS), np.float32)], [], []
-    for lang, bodies in by.items():
-        points = np.stack([np.frombuffer(b, np.float16) for b in bodies]).astype(np.float32)
+    def centres(keys, frame):
+        points = np.stack([np.frombuffer(b, np.float16) for b in sorted(map(bytes, frame["vector"]))]).astype(np.float32)
         points = points[(points != 0).any(1)]
         if not len(points):
-            continue
+            return pd.DataFrame({"lang": [], "centre": [], "usual": []})
         found = _k_means(points, CENTROIDS)
         cosine = points @ found.T
         best = cosine.argmax(1)
-        centroids.append(found)
-        languages += [lang] * len(found)
-        usual += [cosine[best == j, j].mean() if (best == j).any() else cosine.max(1).mean() for j in range(len(found))]
-    return Model(idf, np.concatenate(centroids), languages, np.array(usual))
+        usual = [float(cosine[best == j, j].mean() if (best == j).any() else cosine.max(1).mean()) for j in range(len(found))]
+        return pd.DataFrame({"lang": [keys[0]] * len(found), "centre": [c.tobytes() for c in found], "usual": usual})
+
+    sample = some.select("lang", "text").mapInArrow(run, "lang string, vector binary")
+    got = sample.groupBy("lang").applyInPandas(centres, "lang string, centre binary, usual double").collect()
+    got = sorted(got, key=lambda r: (r["lang"], bytes(r["centre"])))
+    centroids = [np.zeros((0, 1 << BITS), np.float32), *[np.frombuffer(r["centre"], np.float32)[None] for r in got]]
+    return Model(idf, np.concatenate(centroids), [r["lang"] for r in got], np.array([r["usual"] for r in got]))
 
 
 def identify(spark: SparkSession, rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:

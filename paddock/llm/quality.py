@@ -100,9 +100,10 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def fit(rows: DataFrame, graded: DataFrame, top: int = 2) -> Model:
     """rows: doc_id, text; graded: doc_id, grade (null grades teach nothing)."""
     graded = graded.where(F.col("grade").isNotNull() & ~common.held_out(F.col("doc_id")))
-    share = min(1.0, SAMPLE / max(1, graded.count()))
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1_000_000)) / 1_000_000
-    sample = labelled(rows, graded.where(draw < share)).select("doc_id", "grade", "text")
+    share = F.lit(min(1.0, SAMPLE / max(1, graded.count())))
+    chosen = common.drawn(graded, ["doc_id"], share).orderBy("draw").limit(SAMPLE).select("doc_id", "grade")
+    # of rows that share an id, one teaches
+    sample = labelled(rows, chosen).groupBy("doc_id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

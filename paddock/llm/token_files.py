@@ -27,7 +27,7 @@ from . import common
 from .bpe_automaton import Tokenizer, byte_letters
 
 END_ID = 1
-#: The dictionary: its size, and the sample it is trained on (expected documents, and bytes of each, from a hashed place).
+#: The dictionary: its size, and the sample it is trained on (documents at most, and bytes of each, from a hashed place).
 DICTIONARY_BYTES = 64 << 10
 SAMPLE, SAMPLE_BYTES = 2000, 8 << 10
 LEVEL = 3
@@ -98,15 +98,13 @@ def write(spark: SparkSession, df: DataFrame, path: str, tokens: str, doc_id: st
     rows = common.pick(df, doc_id=doc_id, text=text)
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     width = width_of(tokens)
-    share = min(1.0, SAMPLE / max(1, rows.count()))
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1_000_000)) / 1_000_000
-
+    share = F.lit(min(1.0, SAMPLE / max(1, rows.count())))
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch):
                 yield pa.RecordBatch.from_arrays([pa.array([piece(serialised(tokens, t, width), width) for t in common.texts(part)], pa.binary())], ["body"])
 
-    sample = rows.where(draw < share).select("text").mapInArrow(sampled, "body binary").collect()
+    sample = common.drawn(rows, ["doc_id", "text"], share).orderBy("draw").limit(SAMPLE).select("text").mapInArrow(sampled, "body binary").collect()
     dictionary = train(sorted(bytes(r["body"]) for r in sample))
     name = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(name, bytearray(dictionary))], "dictionary string, body binary").coalesce(1).write.parquet(f"{path}/dictionary")

@@ -332,6 +332,40 @@ def test_dictionary_is_trained_on_all_parts_of_long_documents(spark, monkeypatch
     assert token_files.piece(b"ab" * 9, 2) == b"ab" * 9 and token_files.piece(b"", 4) == b""
 
 
+def test_samples_are_bounded_where_ids_are_null_or_repeated(spark, monkeypatch):
+    texts = [f"some words of text number {i} and {i * i}" for i in range(300)]
+    for ids in ([None] * 300, [7] * 300, [2] * 200 + list(range(100, 200))):
+        docs = frame(spark, list(zip(ids, texts)) + [(None, "the same")] * 200)
+        seen = []
+        train = token_files.train
+        monkeypatch.setattr(token_files, "SAMPLE", 40)
+        monkeypatch.setattr(token_files, "train", lambda samples: seen.append(len(samples)) or train(samples))
+        token_files.write(spark, docs, scratch_path(spark, "bounded"), queries.WORD_BPE)
+        assert 10 <= seen[0] <= 40
+        monkeypatch.undo()
+    for ids in ([None] * 300, [7] * 300):
+        monkeypatch.setattr(language_id, "SAMPLE", 20)
+        means = language_id._k_means
+        sizes = scratch_path(spark, "sizes")
+
+        def counted(points, k, means=means, sizes=sizes):
+            with open(sizes, "a") as f:
+                f.write(f"{len(points)}\n")
+            return means(points, k)
+
+        monkeypatch.setattr(language_id, "_k_means", counted)
+        got = language_id.fit(frame(spark, [(i, t, "en") for i, t in zip(ids, texts)], "doc_id bigint, text string, lang string"))
+        assert got.languages and 5 <= int(open(sizes).read()) <= 20
+        monkeypatch.undo()
+    monkeypatch.setattr(quality, "SAMPLE", 20)
+    seen = []
+    train_quality = quality.train
+    monkeypatch.setattr(quality, "train", lambda places, *rest: seen.append(len(places)) or train_quality(places, *rest))
+    graded = frame(spark, [(2 * i, i % 3) for i in range(50)], "doc_id bigint, grade int")
+    quality.fit(frame(spark, [(2 * (i % 5), t) for i, t in enumerate(texts)]), graded)
+    assert seen[0] <= 5
+
+
 def test_maximal_segments_equal_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(300):
