@@ -469,3 +469,61 @@ def test_pipeline(spark):
     rows = [(r.doc_id, r.text) for r in corpus_pipeline.table(spark, SF, "documents").select("doc_id", "text").collect()]
     parts = components_of([(d, t) for d, t in rows], 5, 80)
     assert counts[0] == 200 and counts[2] <= len({c for _, c in parts.values()})
+
+
+def test_pipeline_stages_equal_brute_force(spark):
+    from brute import components_of
+
+    def cut(text):
+        lower = "".join(c.lower() if c.isascii() or "À" <= c <= "Þ" and c != "×" else c for c in text or "")
+        return "".join(c if not c.isascii() or c.isalnum() else " " for c in lower).split(" ")
+
+    table = corpus_pipeline.table(spark, SF, "documents")
+    rows = {r.doc_id: r for r in table.collect()}
+    items = [[w for w in cut(r.text) if w] for r in corpus_pipeline.table(spark, SF, "benchmark").collect()]
+    some, planted = sorted(rows)[:60], []
+
+    def plant(row, text):
+        planted.append((10_000 + len(planted), text, row.lang, row.source, len(text)))
+
+    for n, d in enumerate(some):
+        row, w = rows[d], rows[d].text.split(" ")
+        if n % 3 == 0:
+            plant(row, row.text.replace(" ", "  "))  # a copy by its normalised text
+        elif n % 3 == 1:
+            plant(row, " ".join([*w, "Ending"]))  # a near copy, where the text is long
+        else:
+            item = items[n % len(items)]
+            plant(row, " ".join(w[:9] + item[len(item) // 6 :] + w[9:]))  # a leak with its head cut off
+    docs = table.unionByName(spark.createDataFrame(planted, table.schema))
+
+    word_of = {}
+
+    def leaks(text):
+        hashed = np.array([word_of.setdefault(w, len(word_of)) for w in cut(text) if w], np.uint64)
+        return any(
+            decontamination.edit_search(np.array([word_of.setdefault(w, len(word_of)) for w in item], np.uint64), hashed, len(item) // 5)
+            for item in items
+        )
+
+    def brute(name, before):
+        if name == "exact_dedup":
+            best = {}
+            for r in before:
+                key = "".join((r.text or "").split())
+                best[key] = min(best.get(key, (1, 0)), (-len(r.text or ""), r.doc_id))
+            return {d for _, d in best.values()}
+        if name == "jaccard_join":
+            return {root for _, root in components_of([(r.doc_id, r.text) for r in before], 5, 80).values()}
+        return {r.doc_id for r in before if not leaks(r.text)}
+
+    dropped = {}
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        before = docs.collect()
+        docs = corpus_pipeline.stage(spark, step(spark, docs, SF), f"brute-{name}")
+        after = {r.doc_id for r in docs.select("doc_id").collect()}
+        dropped[name] = len(before) - len(after)
+        if name != "language_id":
+            assert after == brute(name, before), name
+    # every stage has something to drop and something to keep; every text here is one of a known language
+    assert dropped["language_id"] == 0 and all(5 <= dropped[n] < 100 for n in ("exact_dedup", "jaccard_join", "decontamination")), dropped
