@@ -13,6 +13,7 @@ from . import (
     block_naming,
     bpe_automaton,
     decontamination,
+    fill_in_middle,
     jaccard_join,
     language_id,
     quality,
@@ -78,6 +79,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_rank_index_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_ordinal_quality,
         op10_language_id,
+        op11_rank_index_fim,
     )
 }
 
@@ -128,4 +134,30 @@ ORACLE_SQL: dict[str, str] = {
                sha256(body) AS text_sha256
         FROM t
     """,
+    "op11_rank_index_fim": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents),
+        d AS (
+            SELECT doc_id, text, n,
+                   CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS c1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS c2,
+                   CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS h4
+            FROM t),
+        f AS (
+            SELECT doc_id, text, n, least(c1, c2) AS a, greatest(c1, c2) AS b,
+                   CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+                        WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM d),
+        o AS (
+            SELECT doc_id, text, n, form, a, b, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle,
+                   substr(text, b + 1) AS suffix
+            FROM f)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                                WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM o
+    """,
 }
