@@ -19,6 +19,7 @@ from . import (
     quality,
     sharding,
     token_files,
+    topk_search,
     toxicity,
     url_filter,
 )
@@ -83,6 +84,10 @@ def op11_rank_index_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_sorted_list_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(spark, table(spark, sf_dir, "embeddings"), modulus=100, k=10, factor=1024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_ordinal_quality,
         op10_language_id,
         op11_rank_index_fim,
+        op12_sorted_list_topk,
     )
 }
 
@@ -160,4 +166,17 @@ ORACLE_SQL: dict[str, str] = {
                sha256(text) AS restored_sha256
         FROM o
     """,
+    "op12_sorted_list_topk": r"""
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.r <> q.r),
+        k AS (
+            SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM s)
+        SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 10
+    """,
 }
