@@ -22,6 +22,7 @@ from . import (
     topk_search,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from .common import table
 
@@ -88,6 +89,10 @@ def op12_sorted_list_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.search(spark, table(spark, sf_dir, "embeddings"), modulus=100, k=10, factor=1024)
 
 
+def op13_dual_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(spark, table(spark, sf_dir, "embeddings"), positions=16, entries=64, rounds=2, factor=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -103,9 +108,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_language_id,
         op11_rank_index_fim,
         op12_sorted_list_topk,
+        op13_dual_tree_codes,
     )
 }
 
+#: Op 13: each part's nearest entry, as distance * 64 + index, and the codebook that follows from it.
+_NEAREST = """
+            SELECT p.r, p.pos, min(((x[1] - y[1]) * (x[1] - y[1]) + (x[2] - y[2]) * (x[2] - y[2])
+                                    + (x[3] - y[3]) * (x[3] - y[3]) + (x[4] - y[4]) * (x[4] - y[4])) * 64 + c) AS m
+            FROM p JOIN {book} b ON b.pos = p.pos GROUP BY p.r, p.pos"""
+_UPDATED = """
+            SELECT b.pos, b.c, coalesce(u.y, b.y) AS y FROM {book} b LEFT JOIN (
+                SELECT a.pos, a.m % 64 AS c, [CAST(floor(sum(x[1]) / count(*)) AS BIGINT), CAST(floor(sum(x[2]) / count(*)) AS BIGINT),
+                       CAST(floor(sum(x[3]) / count(*)) AS BIGINT), CAST(floor(sum(x[4]) / count(*)) AS BIGINT)] AS y
+                FROM {near} a JOIN p ON p.r = a.r AND p.pos = a.pos GROUP BY a.pos, a.m % 64) u ON u.pos = b.pos AND u.c = b.c"""
+
 ORACLE_SQL: dict[str, str] = {
     "op6_url_rules": r"""
         WITH rules(host, path, verdict) AS (
@@ -179,4 +196,24 @@ ORACLE_SQL: dict[str, str] = {
             FROM s)
         SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 10
     """,
+    "op13_dual_tree_codes": f"""
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS MATERIALIZED (SELECT r, pos, e[pos * 4 + 1 : pos * 4 + 4] AS x FROM v, range(16) t(pos)),
+        b0 AS MATERIALIZED (SELECT pos, r - 1 AS c, x AS y FROM p WHERE r <= 64),
+        a0 AS MATERIALIZED ({_NEAREST.format(book="b0")}),
+        b1 AS MATERIALIZED ({_UPDATED.format(book="b0", near="a0")}),
+        a1 AS MATERIALIZED ({_NEAREST.format(book="b1")}),
+        b2 AS MATERIALIZED ({_UPDATED.format(book="b1", near="a1")}),
+        a2 AS MATERIALIZED ({_NEAREST.format(book="b2")}),
+        coded AS (
+            SELECT v.vec_id, v.label, string_agg(printf('%02x', a2.m % 64), '' ORDER BY a2.pos) AS code, CAST(sum(a2.m // 64) AS BIGINT) AS error
+            FROM v JOIN a2 ON a2.r = v.r GROUP BY v.r, v.vec_id, v.label)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY pos, c)) FROM b2) AS codebooks_sha256
+        FROM coded
+    """,
 }
