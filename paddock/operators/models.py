@@ -81,6 +81,13 @@ def speed_partials(enriched: DataFrame) -> DataFrame:
     ).agg(F.sum("speed").alias("speed_sum"), F.count("speed").alias("speed_count"))
 
 
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Sums and counts of several parts of the fact, added up."""
+    return partials.groupBy(*DAY_KEYS, "n_gear").agg(
+        F.sum("speed_sum").alias("speed_sum"), F.sum("speed_count").alias("speed_count")
+    )
+
+
 def avg_speed_gear_from_partials(partials: DataFrame) -> DataFrame:
     return partials.select(
         *DAY_KEYS, "n_gear",

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType
 
 from paddock.operators.enrich import enrich
-from paddock.plans import sinks
+from paddock.plans import sinks, speed_state
 
 
 @dataclass
@@ -142,6 +142,8 @@ def run_ingest(
 ) -> RunReport:
     """Load car rows newer than the table's watermark into ``table``.
 
+    A run that finds none leaves an existing table as it is: no file, no schema change.
+
     ``on_schema_change="sync_all_columns"`` first makes an existing table carry
     exactly the new rows' columns (added ones NULL for old rows, removed ones
     dropped, retyped ones cast); ``"fail"`` refuses columns that the table lacks,
@@ -157,6 +159,10 @@ def run_ingest(
     if wm_token is not None:
         # Strict '>': a row that ties the watermark, or is older, is skipped.
         new = car.where(F.col("date") > token_literal(wm_token, date_type))
+    if exists and new.isEmpty():
+        # The gate: reading stops at the first new row; without one nothing is committed.
+        at = token_to_datetime(spark, wm_token, date_type)
+        return RunReport(table, False, at, 0, 0, rows_before, at, wm_token)
 
     obs_new = Observation("new_fact_rows")
     obs_out = Observation("rows_written")
@@ -271,24 +277,31 @@ def refresh_stale_models(
     fact_table: str,
     average_speed_table: str,
     avg_speed_gear_table: str,
-    token: int | str | None,
+    token: int | str | None = None,
     *,
     incremental: bool = True,
     path_average_speed: str | None = None,
     path_avg_speed_gear: str | None = None,
 ) -> bool:
-    """Bring both aggregates up to the fact's watermark ``token``; True if anything was to do.
+    """Bring both aggregates up to the fact, whose watermark is ``token``; True if anything was to do.
+
+    What has to be recomputed follows from the fact's files and the aggregates' own
+    recorded state (``speed_state``), not from the run's: an earlier run that died between
+    fact and aggregates, a model added later, late rows and a rebuilt fact are made good.
+    ``incremental=False`` recomputes every day from the whole fact.
 
-    What has to be recomputed follows from the aggregates' own recorded state, not
-    from the run's: an earlier run that died between fact and aggregates, or a
-    model added later, is made good.  No record means a full recompute, else the days
-    from the older record on.
+    A table format with its own catalog doesn't show its files.  There the watermark
+    that the aggregates were last brought up to decides: without a record of it every
+    day is recomputed, else the days from the older record on.
     """
+    if sinks.is_file_table(spark, fact_table):
+        targets = speed_state.speed_models(average_speed_table, avg_speed_gear_table, path_average_speed, path_avg_speed_gear)
+        return speed_state.refresh(spark, fact_table, targets, anew=not incremental)
     for name, path in ((average_speed_table, path_average_speed), (avg_speed_gear_table, path_avg_speed_gear)):
         sinks.attach_if_present(spark, name, path)
     models = (average_speed_table, avg_speed_gear_table)
     known = [covered(spark, m, fact_table) for m in models]
-    if all(sinks.table_exists(spark, m) for m in models) and all(k == token for k in known):
+    if incremental and all(sinks.table_exists(spark, m) for m in models) and all(k == token for k in known):
         return False
     # a record beyond the fact's watermark belongs to rows that are gone
     usable = incremental and token is not None and all(type(k) is type(token) and k <= token for k in known)
@@ -328,9 +341,9 @@ def run_daily(
 ) -> RunReport:
     """One scheduled run: ingest new car rows, then bring both aggregates up to date.
 
-    With ``incremental_models`` the days from the watermark on that the aggregates
-    were last brought up to are recomputed (``refresh_stale_models``); without a
-    record of it, or with ``incremental_models=False``, every day is.
+    With ``incremental_models`` only new files of the fact are read for them and only
+    their days are made anew (``refresh_stale_models``); with
+    ``incremental_models=False`` every day is recomputed from the whole fact.
     """
     report = run_ingest(spark, car, drivers, sessions, tables.fact, partition_cols=partition_cols,
                         add_year=add_year, driver_keys=driver_keys, path=tables.fact_path,

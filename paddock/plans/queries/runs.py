@@ -186,6 +186,45 @@ def q_daily_models_added_later(spark, sf_dir):
     return spark.table(t.avg_speed_gear)
 
 
+@register("daily_late_rows", f"WITH {SQL_ENRICHED} {SQL_AVG_GEAR.format(src='enriched')}")
+def q_daily_late_rows(spark, sf_dir):
+    """Rows from below the watermark reach the fact (a repair by hand); the next run's aggregates hold them."""
+    s = StandIns(spark, sf_dir)
+    car, drivers, sessions = s.car(), s.drivers(), s.sessions()
+    t = _new_tables(spark, "late")
+    late = F.col("date") < ts_ntz(LOADED_BEFORE)
+    ingest.run_daily(spark, car.where(~late), drivers, sessions, t, partition_cols=FACT_PARTITIONS)
+    sinks.append(enriched_fact(spark, sf_dir, add_year=True).where(late), t.fact)
+    report = ingest.run_daily(spark, car, drivers, sessions, t, partition_cols=FACT_PARTITIONS)
+    assert not report.wrote  # the watermark shows nothing of it
+    return spark.table(t.avg_speed_gear)
+
+
+@register(
+    "daily_fact_rebuilt",
+    f"""WITH {SQL_ENRICHED},
+rebuilt AS (SELECT team_name, full_name, location, "date", speed + 7 AS speed FROM enriched WHERE speed % 5 <> 0)
+{SQL_AVG.format(src='rebuilt')}""",
+)
+def q_daily_fact_rebuilt(spark, sf_dir):
+    """The fact is built anew with other speeds, fewer rows and the same last date; its aggregates follow."""
+    t = _daily_scenario(spark, sf_dir, "rebuilt")
+    rebuilt = enriched_fact(spark, sf_dir, add_year=True).where("speed % 5 <> 0").withColumn("speed", F.col("speed") + 7)
+    sinks.refresh(rebuilt, t.fact, FACT_PARTITIONS)
+    ingest.refresh_stale_models(spark, t.fact, t.average_speed, t.avg_speed_gear)
+    return spark.table(t.average_speed)
+
+
+@register("daily_forced_refresh", f"WITH {SQL_ENRICHED} {SQL_AVG.format(src='enriched')}")
+def q_daily_forced_refresh(spark, sf_dir):
+    """Every day is recomputed from the whole fact on demand, whatever the aggregates and their state hold."""
+    t = _daily_scenario(spark, sf_dir, "forced")
+    state = f"{sinks.table_location(spark, t.fact)}_speed_state/partials"
+    spark.read.parquet(state).limit(0).drop("run").write.mode("overwrite").parquet(state)  # the state is lost
+    assert ingest.refresh_stale_models(spark, t.fact, t.average_speed, t.avg_speed_gear, incremental=False)
+    return spark.table(t.average_speed)
+
+
 @register("ingest_layout_b", f"WITH {SQL_ENRICHED} SELECT * FROM enriched")
 def q_ingest_layout_b(spark, sf_dir):
     """The second job's flavour: alphabetical (B) car files read through a

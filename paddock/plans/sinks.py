@@ -30,6 +30,7 @@ from pyspark.sql.types import StructType
 from paddock.operators.checks import duplicate_keys
 from paddock.operators.merge import upsert_rows
 from paddock.session import checkpoint_root, scratch_path
+from paddock.sources.files import path_exists
 
 FILE_PROVIDERS = {"parquet", "orc", "csv", "json", "avro", "text"}
 
@@ -41,8 +42,11 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def _table_detail(spark: SparkSession, name: str, key: str) -> str | None:
+    detailed = False  # the table's own columns come first, and one of them may be called like the key
     for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
-        if (row["col_name"] or "").strip().lower() == key:
+        title = (row["col_name"] or "").strip().lower()
+        detailed = detailed or title == "# detailed table information"
+        if detailed and title == key:
             return (row["data_type"] or "").strip()
     return None
 
@@ -88,12 +92,14 @@ def attach_if_present(spark: SparkSession, name: str, path: str | None, fmt: str
     re-attaches it (schema and partition columns are read from the folder,
     then the partitions are registered).  Returns True if it attached one.
     """
-    if not path or table_exists(spark, name):
+    if not path or table_exists(spark, name) or not path_exists(spark, path):
         return False
     try:
         spark.read.format(fmt).load(path)
-    except AnalysisException:  # no such folder, or no data files in it
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # no data files in the folder
+            return False
+        raise
     spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
     if partition_columns(spark, name):
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
@@ -306,8 +312,18 @@ def upsert(
             touched_df, target[partition_col].eqNullSafe(touched_df[partition_col]), "left_semi"
         )
     staged = detach(upsert_rows(affected, src, keys, null_safe))
-    writer = cluster_for_write(staged, [partition_col]).write.mode("overwrite")
-    with _overwrite_mode(spark, "DYNAMIC"):
+    replace_partitions(staged, name, [partition_col])
+
+
+def replace_partitions(df: DataFrame, name: str, partition_cols: Sequence[str]) -> None:
+    """Replace those partitions of a file table that ``df`` has rows for; the others stay.
+
+    ``df`` must not read the table itself (see ``detach``).
+    """
+    table_cols = df.sparkSession.table(name).columns
+    _refuse_extra(df, table_cols, name)
+    writer = cluster_for_write(df.select(*table_cols), partition_cols).write.mode("overwrite")
+    with _overwrite_mode(df.sparkSession, "DYNAMIC"):
         writer.insertInto(name)
 
 

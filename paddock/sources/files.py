@@ -10,6 +10,7 @@ the row is kept (PERMISSIVE).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructType
 
@@ -20,6 +21,21 @@ TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """There is a file or folder of this name, wherever the path's own file system keeps it."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:  # a remote session: only a look at it can tell
+        try:
+            spark.read.format("binaryFile").load(path)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+        return True
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
