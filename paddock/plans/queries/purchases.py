@@ -129,6 +129,24 @@ def q_data_tests(spark, sf_dir):
     return checks.run_tests(models_by_name, DECLARED_TESTS)
 
 
+# Several columns of a model, tests that fail among them.
+_TABLE_TESTS = [
+    ("orders", "unique", "o_orderkey"), ("orders", "not_null", "o_orderkey"), ("orders", "unique", "o_custkey"),
+    ("orders", "unique", "o_orderdate"), ("orders", "not_null", "o_orderpriority"), ("documents", "not_null", "lang"), ("documents", "not_null", "text"),
+]
+
+
+@register(
+    "data_tests_by_column",
+    " UNION ALL ".join(
+        "(" + check_sql(f"{test}_{model}_{col}", _FAILING_SQL[test].format(col=col, src=model)) + ")" for model, test, col in _TABLE_TESTS
+    ),
+)
+def q_data_tests_by_column(spark, sf_dir):
+    s = StandIns(spark, sf_dir)
+    return checks.run_tests({model: s.t(model) for model, _, _ in _TABLE_TESTS}, _TABLE_TESTS)
+
+
 def _build(spark, sf_dir):
     s = StandIns(spark, sf_dir)
     tag, root = scratch_table(spark, "purchase_models")

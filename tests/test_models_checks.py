@@ -105,3 +105,22 @@ def test_models_from_partials_equal_direct_averages(spark):
         assert derived.columns == direct.columns
         assert derived.schema == direct.schema
         assert direct.exceptAll(derived).isEmpty() and derived.exceptAll(direct).isEmpty()
+
+
+def test_fused_tests_equal_the_single_ones(spark):
+    rows = [(1, "a", None, 1.0), (2, "a", None, 2.0), (2, None, "x", None), (None, "b", "y", 2.0), (None, "b", "y", 0.0), (3, "", "z", -0.0)]
+    df = spark.createDataFrame(rows, "n bigint, set_0 string, nulls_0 string, key_0 double")
+    cases = [("unique", c) for c in df.columns] + [("not_null", c) for c in df.columns]
+    for some in (cases, cases[:1], cases[4:], cases[1:3] + cases[6:], [cases[7]], [cases[0], cases[0], cases[4]]):
+        got = checks.fused(df, [(f"{t}_{c}", t, c) for t, c in some]).collect()
+        want = [checks.summarize(checks.TESTS[t](df, c), f"{t}_{c}").first() for t, c in some]
+        assert got == want
+    none = df.where("false")
+    assert [r.failures for r in checks.fused(none, [(c, t, c) for t, c in cases]).collect()] == [0] * len(cases)
+
+
+def test_fused_tests_refuse_unknown_ones(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="no such"):
+        checks.fused(spark.range(1), [("x", "between", "id")])

@@ -227,3 +227,11 @@ def test_table_watermark_reads_the_latest_year_and_survives_an_empty_one(spark,
     assert "2025" in sinks.partition_values(spark, name, "year")
     token, n = ingest.table_watermark(spark, name)
     assert ingest.token_to_datetime(spark, token, df.schema["date"].dataType) == dt.datetime(2024, 3, 1, 8)
+
+
+def test_data_tests_read_each_model_once(spark):
+    p = plan(registry.QUERIES["data_tests_by_column"](spark, SF_SMALL))
+    for table, columns in (("orders", 4), ("documents", 2)):
+        assert len(re.findall(rf"Location: InMemoryFileIndex \[[^\]]*{table}\.parquet", p)) == 1
+    # counted in the scan's own tasks before the one shuffle by value; without unique tests no value is shuffled
+    assert p.count("Expand") and len(re.findall(r"Exchange\n.*\n?Arguments: hashpartitioning", p)) <= 1
