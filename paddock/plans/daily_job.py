@@ -35,6 +35,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                         "zone), or 'auto': the previous logged run's start minus --modified-margin")
     p.add_argument("--modified-margin", type=int, default=3600,
                    help="seconds subtracted from the previous run's start for 'auto' (clock skew)")
+    p.add_argument("--new-files-only", action="store_true",
+                   help="read only car files that no earlier run into this fact took in")
+    p.add_argument("--input-ledger", default=None, help="folder of the ledger of files taken in (default: <fact-path>_input)")
     p.add_argument("--run-log", default=None, help="run-log table (default: <fact>_runs)")
     p.add_argument("--drivers", required=True)
     p.add_argument("--sessions", required=True)
@@ -42,13 +45,17 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--fact-path", default=None, help="external location of the fact table")
     p.add_argument("--average-speed", default=None)
     p.add_argument("--avg-speed-gear", default=None)
+    p.add_argument("--average-speed-path", default=None, help="external location of the average_speed table")
+    p.add_argument("--avg-speed-gear-path", default=None, help="external location of the avg_speed_gear table")
+    p.add_argument("--format", default="parquet", help="table format of the fact")
     p.add_argument("--partition-by", default="year,location,full_name")
     p.add_argument("--no-year", action="store_true", help="do not add the year column")
     p.add_argument("--driver-keys", default="driver_number")
     p.add_argument("--full-model-refresh", action="store_true",
                    help="recompute every day of the aggregates (default: only touched days)")
     p.add_argument("--database", default=None, help="CREATE DATABASE IF NOT EXISTS first")
-    p.add_argument("--on-schema-change", default="ignore", choices=["ignore", "sync_all_columns"])
+    p.add_argument("--on-schema-change", default="sync_all_columns", choices=["sync_all_columns", "fail", "ignore"],
+                   help="what becomes of columns that come or go; 'ignore' leaves new ones out")
     p.add_argument("--profile", default="cluster", choices=["cluster", "local"],
                    help="session sizing (cluster: wide shuffles coalesced by AQE)")
     return p.parse_args(argv)
@@ -70,14 +77,22 @@ def main(argv: list[str] | None = None) -> dict:
     if modified_after == "auto":
         # Raw files are written once: files older than the previous run's start
         # (less a margin for clock skew) were all read by an earlier run.
-        previous = ingest.last_run_started(spark, log_table, a.fact, log_path, a.fact_path)
+        previous = ingest.last_run_started(spark, log_table, a.fact, log_path, a.fact_path, source=a.car)
         zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone", "UTC"))
         modified_after = (
             datetime.fromtimestamp(previous - a.modified_margin, zone).strftime("%Y-%m-%dT%H:%M:%S")
             if previous is not None else None
         )
-    car = files.read_car_csv(spark, a.car, a.layout, recursive=a.recursive, positional=a.positional,
-                             modified_after=modified_after)
+    taken = None
+    if a.new_files_only:
+        ledger = a.input_ledger or (f"{a.fact_path.rstrip('/')}_input" if a.fact_path else None)
+        if ledger is None:
+            raise SystemExit("--new-files-only needs --input-ledger or --fact-path")
+        taken = ingest.NewCarFiles(spark, ledger, a.fact, a.fact_path, a.format)
+        car = taken.read(a.car, a.layout, recursive=a.recursive, positional=a.positional)
+    else:
+        car = files.read_car_csv(spark, a.car, a.layout, recursive=a.recursive, positional=a.positional,
+                                 modified_after=modified_after)
     drivers = files.read_drivers(spark, a.drivers)
     sessions = files.read_sessions(spark, a.sessions)
     parts = tuple(c for c in a.partition_by.split(",") if c)
@@ -85,17 +100,21 @@ def main(argv: list[str] | None = None) -> dict:
     if a.average_speed and a.avg_speed_gear:
         report = ingest.run_daily(
             spark, car, drivers, sessions,
-            ingest.DailyTables(a.fact, a.average_speed, a.avg_speed_gear, fact_path=a.fact_path),
+            ingest.DailyTables(a.fact, a.average_speed, a.avg_speed_gear, a.fact_path, a.average_speed_path, a.avg_speed_gear_path),
             partition_cols=parts, incremental_models=not a.full_model_refresh,
-            add_year=not a.no_year, driver_keys=keys, on_schema_change=a.on_schema_change,
+            add_year=not a.no_year, driver_keys=keys, on_schema_change=a.on_schema_change, fmt=a.format,
         )
     else:
         report = ingest.run_ingest(spark, car, drivers, sessions, a.fact, partition_cols=parts,
                                    add_year=not a.no_year, driver_keys=keys, path=a.fact_path,
-                                   on_schema_change=a.on_schema_change)
-    ingest.log_run(spark, log_table, report, started, log_path)
+                                   on_schema_change=a.on_schema_change, fmt=a.format)
+    if taken is not None:
+        taken.done()
+    ingest.log_run(spark, log_table, report, started, log_path, source=a.car)
     out = {k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in report.as_dict().items()}
     out["files_modified_after"] = modified_after
+    if taken is not None:
+        out["files_read"] = len(taken.changes.fresh)
     print(json.dumps(out))
     return out
 

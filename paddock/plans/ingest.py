@@ -31,6 +31,9 @@ from pyspark.sql.types import DataType, TimestampNTZType
 
 from paddock.operators.enrich import enrich
 from paddock.plans import sinks, speed_state
+from paddock.plans.file_ledger import Changes, FileLedger, listing
+from paddock.schemas import car_schema
+from paddock.sources.files import literal_path, read_car_csv
 
 
 @dataclass
@@ -97,7 +100,7 @@ def token_literal(token: int | str, dtype: DataType) -> Column:
     return F.timestamp_micros(F.lit(token)).cast(dtype)
 
 
-def _observed(obs: Observation) -> dict | None:
+def observed(obs: Observation) -> dict | None:
     """The observed metrics, or None when the observed node never ran.
 
     AQE replaces a plan whose input turned out empty by an empty relation, and
@@ -180,7 +183,7 @@ def run_ingest(
         sinks.create_table(enriched, table, partition_cols, fmt, path)
 
     watermark_before = token_to_datetime(spark, wm_token, date_type)
-    written = _observed(obs_out)
+    written = observed(obs_out)
     if written is not None:
         # The written rows' own count and maximum move total and watermark: the
         # table is not read again.
@@ -191,7 +194,7 @@ def run_ingest(
         token_after, rows_after = table_watermark(spark, table, year_from_date=add_year)
         rows_written = rows_after - rows_before
     watermark_after = token_to_datetime(spark, token_after, date_type)
-    new_obs = _observed(obs_new)
+    new_obs = observed(obs_new)
     # Missing only when AQE dropped the observed node (an empty side made the
     # whole join empty); then the filtered input is counted directly.
     new_rows = int(new_obs["n"]) if new_obs is not None else new.count()
@@ -338,6 +341,7 @@ def run_daily(
     add_year: bool = True,
     driver_keys: Sequence[str] = ("driver_number",),
     on_schema_change: str = "fail",
+    fmt: str = "parquet",
 ) -> RunReport:
     """One scheduled run: ingest new car rows, then bring both aggregates up to date.
 
@@ -347,7 +351,7 @@ def run_daily(
     """
     report = run_ingest(spark, car, drivers, sessions, tables.fact, partition_cols=partition_cols,
                         add_year=add_year, driver_keys=driver_keys, path=tables.fact_path,
-                        on_schema_change=on_schema_change)
+                        on_schema_change=on_schema_change, fmt=fmt)
     refresh_stale_models(
         spark, tables.fact, tables.average_speed, tables.avg_speed_gear, report.token_after, incremental=incremental_models,
         path_average_speed=tables.average_speed_path, path_avg_speed_gear=tables.avg_speed_gear_path,
@@ -355,30 +359,67 @@ def run_daily(
     return report
 
 
+# --- raw files taken in once -------------------------------------------------------
+
+
+class NewCarFiles:
+    """The raw car files that no earlier run into this fact took in, by a ledger of all that were.
+
+    A file counts by path, length and modification time: one that is copied late, keeps an old time or
+    lies in another folder is new, whatever its date.  ``done`` enters the files into the ledger, after the run
+    has committed.  A run that dies before is repeated over the same files, whose loaded rows the
+    watermark then leaves out.  When the fact is gone or empty, every file is new.
+    """
+
+    def __init__(self, spark: SparkSession, ledger_root: str, fact: str, fact_path: str | None = None, fmt: str = "parquet"):
+        self.spark, self.ledger = spark, FileLedger(spark, ledger_root)
+        sinks.attach_if_present(spark, fact, fact_path, fmt)
+        self.known = sinks.table_exists(spark, fact) and not spark.table(fact).where(F.col("date").isNotNull()).isEmpty()
+        self.changes: Changes | None = None
+
+    def read(self, path: str, layout: str = "A", *, recursive: bool = True, **options) -> DataFrame:
+        now = listing(self.spark, path, recursive, pattern=not recursive)
+        self.changes = self.ledger.unseen(now) if self.known else self.ledger.changes(now, self.ledger.history(), anew=True)
+        if not self.changes.fresh:
+            return self.spark.createDataFrame([], car_schema(layout, options.get("ts_type")))
+        return read_car_csv(self.spark, [literal_path(p) for p in self.changes.fresh], layout, recursive=False, **options)
+
+    def done(self) -> None:
+        if self.changes:
+            self.ledger.commit(self.changes, self.ledger.new_run() if self.changes.fresh else None)
+
+
 # --- run log ---------------------------------------------------------------------
 
 RUN_LOG_SCHEMA = (
-    "run_started_epoch BIGINT, fact STRING, created BOOLEAN, watermark_before STRING, "
+    "run_started_epoch BIGINT, fact STRING, input STRING, created BOOLEAN, watermark_before STRING, "
     "new_fact_rows BIGINT, rows_written BIGINT, table_rows BIGINT, watermark_after STRING"
 )
 
 
 def log_run(spark: SparkSession, log_table: str, report: RunReport, started_epoch: int,
-            path: str | None = None) -> None:
-    """Append one row describing a finished run to a small run-log table."""
+            path: str | None = None, source: str | None = None) -> None:
+    """Append one row describing a finished run, and the input it read, to a small run-log table.
+
+    A log from before inputs were logged gets the column, NULL for its rows.
+    """
     def iso(v):
         return v.isoformat(sep=" ") if v is not None else None
 
-    row = [(started_epoch, report.table, report.created, iso(report.watermark_before),
+    row = [(started_epoch, report.table, source, report.created, iso(report.watermark_before),
             report.new_fact_rows, report.rows_written, report.table_rows, iso(report.watermark_after))]
+    rows = spark.createDataFrame(row, RUN_LOG_SCHEMA)
     sinks.attach_if_present(spark, log_table, path)
-    sinks.create_or_append(spark.createDataFrame(row, RUN_LOG_SCHEMA), log_table, path=path)
+    if sinks.table_exists(spark, log_table):
+        sinks.sync_all_columns(spark, log_table, rows.schema)
+    sinks.create_or_append(rows, log_table, path=path)
 
 
 def last_run_started(
-    spark: SparkSession, log_table: str, fact: str, path: str | None = None, fact_path: str | None = None
+    spark: SparkSession, log_table: str, fact: str, path: str | None = None, fact_path: str | None = None,
+    source: str | None = None,
 ) -> int | None:
-    """Start time (epoch seconds) of the latest logged run into ``fact``, or None.
+    """Start time (epoch seconds) of the latest logged run into ``fact`` (from ``source``, if given), or None.
 
     None as well when the fact does not exist or has no watermark (dropped,
     emptied): its next run has to read every file again.
@@ -389,4 +430,8 @@ def last_run_started(
         return None
     if not spark.table(fact).where(F.col("date").isNotNull()).take(1):
         return None
-    return spark.table(log_table).where(F.col("fact") == fact).agg(F.max("run_started_epoch")).first()[0]
+    runs = spark.table(log_table).where(F.col("fact") == fact)
+    if source is not None:
+        # a run that read another input says nothing about this one's files
+        runs = runs.where(F.col("input") == source) if "input" in runs.columns else runs.limit(0)
+    return runs.agg(F.max("run_started_epoch")).first()[0]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from paddock.plans import ingest, sinks
+from paddock.plans.file_ledger import listing
 from paddock.plans.queries.base import (
     FACT_PARTITIONS, LOADED_BEFORE, enriched_fact, register, scratch_table, ts_ntz,
 )
@@ -116,6 +117,54 @@ def q_ingest_report(spark, sf_dir):
     )
 
 
+SQL_GATED_REPORT = SQL_INGEST_REPORT + """
+UNION ALL
+SELECT 3, FALSE, wm, 0, 0, (SELECT rows_written FROM r1) + rows_written, wm
+FROM r2"""
+
+
+@register("ingest_report_gate", SQL_GATED_REPORT)
+def q_ingest_report_gate(spark, sf_dir):
+    """Three runs; the third finds no new row and leaves the table's files and definition as they are."""
+    s = StandIns(spark, sf_dir)
+    car, drivers, sessions = s.car(), s.drivers(), s.sessions()
+    name, path = scratch_table(spark, "fact_gate")
+    reports = [ingest.run_ingest(spark, car.where(F.col("date") < ts_ntz(LOADED_BEFORE)), drivers, sessions, name,
+                                 partition_cols=FACT_PARTITIONS, path=path)]
+    reports.append(ingest.run_ingest(spark, car, drivers, sessions, name))
+
+    def table_now():
+        return listing(spark, path).collect(), spark.table(name).inputFiles(), spark.table(name).schema
+
+    before = table_now()
+    reports.append(ingest.run_ingest(spark, car, drivers, sessions, name, on_schema_change="sync_all_columns"))
+    assert table_now() == before
+    return spark.createDataFrame(
+        [(i, r.created, r.watermark_before, r.new_fact_rows, r.rows_written, r.table_rows, r.watermark_after) for i, r in enumerate(reports, 1)],
+        "run int, created boolean, watermark_before timestamp_ntz, new_fact_rows bigint, "
+        "rows_written bigint, table_rows bigint, watermark_after timestamp_ntz",
+    )
+
+
+@register("ingest_new_files", SQL_ENRICHED_YEAR)
+def q_ingest_new_files(spark, sf_dir):
+    """Two arrivals through the ledger of raw files, then a run that finds none; each file is parsed once."""
+    root = _raw_files(spark, sf_dir)
+    drivers, sessions = _raw_dims(spark, root)
+    name, path = scratch_table(spark, "fact_files")
+    read = []
+    for arrival in (1, 2, 3):
+        if arrival == 2:
+            _second_arrival(spark, sf_dir, root)
+        taken = ingest.NewCarFiles(spark, f"{path}_input", name, path)
+        car = taken.read(f"{root}/car_data", "A", ts_type=TimestampNTZType(), timestamp_ntz_format=files.TS_NTZ_FORMAT)
+        ingest.run_ingest(spark, car, drivers, sessions, name, partition_cols=FACT_PARTITIONS, path=path)
+        taken.done()
+        read += taken.changes.fresh
+    assert sorted(read) == sorted(r["file"] for r in listing(spark, f"{root}/car_data").collect())
+    return spark.table(name)
+
+
 @register("table_in_database", SQL_ENRICHED_YEAR)
 def q_table_in_database(spark, sf_dir):
     """Create a namespace at a scratch location, then a managed table in it,
@@ -273,6 +322,29 @@ def q_telemetry_models_avg_speed_gear(spark, sf_dir):
     return spark.table(_telemetry_chain(spark, sf_dir).table(AVG_SPEED_GEAR))
 
 
+@register(
+    "telemetry_models_schema_sync",
+    f"""WITH {SQL_ENRICHED}
+SELECT full_name, team_name, rpm, CAST(speed AS BIGINT) AS speed, n_gear, brake, drs, "date", location,
+       CASE WHEN "date" >= TIMESTAMP '{LOADED_BEFORE}' THEN country_name END AS country_name, CAST(year("date") AS INTEGER) AS year
+FROM enriched""",
+)
+def q_telemetry_models_schema_sync(spark, sf_dir):
+    """The source changes its columns between two runs (one comes, one goes, one is widened); the copy follows."""
+    from paddock.plans.telemetry_models import FACT_COPY, TelemetryModelNames, build_telemetry_models
+
+    e = enriched_fact(spark, sf_dir, add_year=True)
+    source, source_path = scratch_table(spark, "sync_source")
+    tag, root = scratch_table(spark, "sync")
+    names = TelemetryModelNames(prefix=f"{tag}_", path_root=root)
+    old = e.where(F.col("date") < ts_ntz(LOADED_BEFORE)).drop("country_name").withColumn("note", F.lit("old"))
+    sinks.create_table(old, source, FACT_PARTITIONS, path=source_path)
+    build_telemetry_models(spark, source, names, copy_partitions=("team_name",))
+    sinks.refresh(e.withColumn("speed", F.col("speed").cast("long")), source, FACT_PARTITIONS)
+    build_telemetry_models(spark, source, names, copy_partitions=("team_name",))
+    return spark.table(names.table(FACT_COPY))
+
+
 @register("telemetry_models_copy", SQL_ENRICHED_YEAR)
 def q_telemetry_models_copy(spark, sf_dir):
     from paddock.plans.telemetry_models import FACT_COPY

@@ -30,6 +30,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from paddock.operators import models
 from paddock.plans import sinks
 from paddock.plans.file_ledger import FileLedger, listing, read_if_present
+from paddock.sources.files import literal_path
 
 APPLIED_SCHEMA = "at BIGINT, model STRING, version BIGINT, content STRING"
 
@@ -57,7 +58,7 @@ def scan_files(spark: SparkSession, table: str, paths: list[str]) -> DataFrame:
     if not paths:
         return whole.where(F.lit(False))
     reader = spark.read.format(sinks.table_provider(spark, table) or "parquet").schema(whole.schema)
-    return reader.option("basePath", sinks.table_location(spark, table)).load(paths).select(*whole.columns)
+    return reader.option("basePath", sinks.table_location(spark, table)).load([literal_path(p) for p in paths]).select(*whole.columns)
 
 
 class SpeedState:

@@ -3,10 +3,12 @@
 1. the fact copy: an incremental append of the source rows strictly newer
    than the copy's watermark (created with all rows the first time, or when
    the copy is empty), partitioned by team and driver;
-2. the two daily aggregates, upserted from the copy.  By default only the days
-   the appended rows can touch are recomputed (``since`` = the copy's
-   watermark before the append); ``full_refresh_models=True`` recomputes every
-   day, as the SQL models do.
+2. the two daily aggregates, kept up with the copy's files (``speed_state``): by
+   default only the appended files are read for them; ``full_refresh_models=True``
+   recomputes every day, as the SQL models do.
+
+How many rows were copied is observed while they are written; the copy is read once a run,
+for its watermark.
 """
 
 from __future__ import annotations
@@ -14,12 +16,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.operators import incremental
 from paddock.plans import sinks
-from paddock.plans.ingest import refresh_stale_models, table_watermark, token_literal
+from paddock.plans.ingest import observed, refresh_stale_models, token_literal, watermark_token
 
 # --- fixed values: model names and the copy's partitioning ---------------------------
 FACT_COPY = "car_telemetry_copy"
@@ -56,17 +57,23 @@ def build_telemetry_models(
     date_type = source.schema["date"].dataType
     sinks.attach_if_present(spark, copy, n.path(FACT_COPY))
     token = None
+    written = Observation("copied")
+    count = F.count(F.lit(1)).alias("n")
     if sinks.table_exists(spark, copy):
-        token, before = table_watermark(spark, copy, year_from_date=False)
+        token, _ = watermark_token(spark.table(copy), "date")
         new = source if token is None else source.where(F.col("date") > token_literal(token, date_type))
         if on_schema_change == "sync_all_columns":
             sinks.sync_all_columns(spark, copy, source.schema)
-        sinks.append(new, copy, ignore_extra=on_schema_change == "ignore")
+        if not new.isEmpty():
+            sinks.append(new.observe(written, count), copy, ignore_extra=on_schema_change == "ignore")
+            appended = written.get["n"]
+        else:
+            appended = 0
     else:
-        before = 0
-        sinks.create_table(source, copy, copy_partitions, path=n.path(FACT_COPY))
-    token, after = table_watermark(spark, copy, year_from_date=False)
-    appended = after - before
+        sinks.create_table(source.observe(written, count), copy, copy_partitions, path=n.path(FACT_COPY))
+        appended = (observed(written) or {"n": 0})["n"]
+    if appended and not sinks.is_file_table(spark, copy):
+        token, _ = watermark_token(spark.table(copy), "date")
 
     refresh_stale_models(
         spark, copy, n.table(AVERAGE_SPEED), n.table(AVG_SPEED_GEAR), token, incremental=not full_refresh_models,

@@ -10,6 +10,8 @@ the row is kept (PERMISSIVE).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructType
@@ -36,6 +38,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
 
 
+def literal_path(path: str) -> str:
+    """The path with what a glob would take as a pattern escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -81,14 +88,14 @@ def read_csv(
 
 def read_car_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     layout: str = "A",
     *,
     recursive: bool = True,
     ts_type: DataType | None = None,
     **options,
 ) -> DataFrame:
-    """Car telemetry files: a folder tree (``recursive``) or a one-level glob."""
+    """Car telemetry files: a folder tree (``recursive``), a one-level glob, or a list of files."""
     return read_csv(spark, path, car_schema(layout, ts_type), recursive=recursive, **options)
 
 
