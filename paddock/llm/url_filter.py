@@ -37,8 +37,9 @@ class Rule:
         segments = self.path.split("/")[:-1]  # what follows the last slash may go on in the URL
         return [f"h:{x}" for x in self.host.split(".") if x] + [f"p:{x}" for x in segments if x]
 
-    def pattern(self) -> re.Pattern:
-        return re.compile(rf"(?:[^\n]*\.)?{re.escape(self.host)}\n{re.escape(self.path)}")
+    def patterns(self) -> tuple[re.Pattern, re.Pattern]:
+        """Of the whole host, which may hold any character, and of the path's beginning."""
+        return re.compile(rf"(?s:.*\.)?{re.escape(self.host)}"), re.compile(re.escape(self.path))
 
 
 def rule(text: str, verdict: str) -> Rule:
@@ -55,18 +56,18 @@ class Index:
     """Rules by their rarest token; rules without a token are candidates of every URL."""
 
     def __init__(self, rules: Sequence[Rule], counts: dict[str, int]) -> None:
-        self.by: dict[str, list[tuple[Rule, re.Pattern]]] = {}
-        self.always: list[tuple[Rule, re.Pattern]] = []
+        self.by: dict[str, list[tuple[Rule, re.Pattern, re.Pattern]]] = {}
+        self.always: list[tuple[Rule, re.Pattern, re.Pattern]] = []
         for r in rules:
             rarest = min(r.tokens(), key=lambda t: (counts.get(t, 0), t), default=None)
             into = self.always if rarest is None else self.by.setdefault(rarest, [])
-            into.append((r, r.pattern()))
+            into.append((r, *r.patterns()))
 
     def best(self, host: str, path: str) -> Rule | None:
         """The longest rule that fits (of equal ones the first by name and verdict)."""
-        target, fits = f"{host}\n{path}", []
+        fits: list[Rule] = []
         for found in (self.always, *[self.by[t] for t in tokens(host, path) if t in self.by]):
-            fits += [r for r, pattern in found if pattern.match(target)]
+            fits += [r for r, of_host, of_path in found if of_host.fullmatch(host) and of_path.match(path)]
         return min(fits, key=lambda r: (-len(r.name), r.name, r.verdict), default=None)
 
 
