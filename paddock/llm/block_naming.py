@@ -95,10 +95,8 @@ def decisions(spark: SparkSession, rows: DataFrame, block: int = BLOCK_BYTES) ->
     level, name = F.coalesce("level", F.lit(-1)).alias("level"), F.coalesce("name", F.lit(0)).alias("name")
     each = base.join(done, "rid", "left").join(ids, "rid")
     each = common.stage(spark, each.select("rid", "doc_id", "points", "text_sha256", level, name), "each")
-    rank = F.struct("points", F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("small"), (-F.col("rid")).alias("first"))
-    best = each.groupBy("level", "name").agg(
-        F.max(F.struct(rank.alias("rank"), F.col("doc_id"), F.col("rid"))).alias("best"), F.count("*").alias("group_size")
-    )
+    rank = F.struct((-F.col("points")).alias("fewer"), F.col("doc_id").isNull().alias("unknown"), "doc_id", "rid")
+    best = each.groupBy("level", "name").agg(F.min(rank).alias("best"), F.count("*").alias("group_size"))
     best = best.select("level", "name", F.col("best.doc_id").alias("keep_id"), F.col("best.rid").alias("keep_rid"), "group_size")
     return each.join(best, ["level", "name"]).select(
         "rid", "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "text_sha256"
@@ -109,7 +107,7 @@ def exact_dedup(spark: SparkSession, df: DataFrame, doc_id: str = "doc_id", text
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Null counts as empty; texts of white space alone are equal to it.  Repeated rows are members
-    of their group like others and one of them stays.  Integer ids; other columns are ignored.
+    of their group like others and one of them stays.  Ids of any type that has an order; other columns are ignored.
     An empty table gives an empty result.
     """
     rows = common.row_ids(spark, common.pick(df, doc_id=doc_id, text=text))
