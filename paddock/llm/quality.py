@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from paddock.operators.joins import dimension
+
 from . import common, ngrams
 
 BITS = 13
@@ -26,7 +28,7 @@ RATE = 0.05
 RIDGE = 1e-4
 #: A document is selected when P(grade >= 1) reaches this.
 SELECT = 0.5
-#: A labels table with at most so many rows (16 bytes each) is broadcast, a larger one shuffled.
+#: A labels table with at most so many rows may be broadcast.
 BROADCAST_ROWS = 2_000_000
 
 
@@ -90,16 +92,19 @@ def train(at: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, to
 
 
 def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows with their labels; labels are broadcast only when their number is small, else both are shuffled."""
-    labels = labels.dropDuplicates(["doc_id"])
-    if labels.count() <= BROADCAST_ROWS:
-        labels = F.broadcast(labels)
-    return rows.join(labels, "doc_id")
+    """Rows with their labels; of labels that share an id the largest counts.  They are broadcast only when
+    their number and bytes are measured as small, else both sides are shuffled."""
+    return rows.join(dimension(one_each(labels), BROADCAST_ROWS), "doc_id")
+
+
+def one_each(labels: DataFrame) -> DataFrame:
+    """One row per id, with the largest value of every other column: the same however the rows are dealt."""
+    return labels.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in labels.columns if c != "doc_id"])
 
 
 def fit(rows: DataFrame, graded: DataFrame, top: int = 2) -> Model:
     """rows: doc_id, text; graded: doc_id, grade (null grades teach nothing)."""
-    graded = graded.where(F.col("grade").isNotNull() & ~common.held_out(F.col("doc_id")))
+    graded = one_each(graded.where(F.col("grade").isNotNull() & ~common.held_out(F.col("doc_id"))))
     share = F.lit(min(1.0, SAMPLE / max(1, graded.count())))
     chosen = common.drawn(graded, ["doc_id"], share).orderBy("draw").limit(SAMPLE).select("doc_id", "grade")
     # of rows that share an id, one teaches
@@ -129,7 +134,7 @@ def quality(spark: SparkSession, df: DataFrame, labels: DataFrame, doc_id: str =
 
     ``labels``: doc_id, quality, toxic.  p_good = P(grade >= 1), p_best = P(grade >= 2).  A null text counts
     as empty.  Without labels every document gets the same grade.  Repeated rows get equal results, an
-    empty table an empty one; other columns are ignored; of repeated labels one counts.
+    empty table an empty one; other columns are ignored; of labels that share an id the best grade counts.
     """
     rows = common.pick(df, doc_id=doc_id, text=text)
     graded = common.pick(labels, doc_id="doc_id", quality="quality", toxic="toxic")

@@ -240,8 +240,8 @@ def toxicity(spark: SparkSession, df: DataFrame, labels: DataFrame, doc_id: str
     """One row per input row: ``doc_id, held_out, score, predicted, n_passages``.
 
     A null or empty text has no passage and the lowest score.  Without labels nothing is significant by
-    more than chance.  Repeated rows get equal results, an empty table an empty one; of repeated labels
-    one counts; other columns are ignored.
+    more than chance.  Repeated rows get equal results, an empty table an empty one; of labels
+    that share an id the largest counts; other columns are ignored.
     """
     out = _texts_scored(spark, df, labels, doc_id, text, False)
     return out.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_passages")
