@@ -25,11 +25,11 @@ import hashlib
 import json
 import re
 import struct
-import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame
 
 from . import common
@@ -182,14 +182,28 @@ class Tokenizer:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        splitter = spec["pre_tokenizer"]["pretokenizers"][0]
+        self.pattern = regex.compile(splitter["pattern"]["Regex"])
+        self.split = tokenizers.pre_tokenizers.Split(tokenizers.Regex(splitter["pattern"]["Regex"]), splitter["behavior"].lower(), splitter["invert"])
+        self.normalizer = tokenizers.Tokenizer.from_file(path).normalizer
+        self.plain = self._plain()
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.marks = re.compile("(" + "|".join(map(re.escape, self.added)) + ")")
         self.label = {i: s for s, i in (spec["model"]["vocab"] | self.added).items()}
-        self.words = Memo(self.word_encoder(path, spec["model"]))
+        self.word = self.word_encoder(path, spec["model"])
+        self.words = Memo(self.word)
         self.ids = Memo(self._ids)
         self.labels = Memo(lambda run: self.decode(self.ids[run]))
 
+    def _plain(self) -> re.Pattern:
+        """ASCII, and letters of alphabets with cases that Python and the library treat alike, one by one."""
+        alike = []
+        for c in map(chr, range(0xC0, 0x530)):
+            if c.isalpha() and len(c.lower()) == 1 and c != "Σ":  # Python looks at what follows a sigma
+                if self.normalizer.normalize_str(c) == c.lower() and len(self.split.pre_tokenize_str(f"a{c}b")) == 1:
+                    alike.append(c)
+        return re.compile(rf"[\x00-\x7f{''.join(alike)}]+")
+
     def word_encoder(self, path: str, model: dict) -> Callable[[str], bytes]:
         """The function that gives the ids of a pre-split word, as little-endian 32-bit integers."""
         automaton = Automaton(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"])
@@ -204,11 +218,16 @@ class Tokenizer:
         """Ids of a run without white space, or of a special token, as little-endian 32-bit integers."""
         if run in self.added:
             return struct.pack("<I", self.added[run])
-        text = run if run.isascii() else unicodedata.normalize("NFC", run).replace("Σ", "σ")
-        text = text.lower()
-        if text.isalpha():
-            return self.words[text]
-        return b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
+        if not self.plain.fullmatch(run):  # which characters are letters, and what they compose to, is as the library has it
+            pieces = self.split.pre_tokenize_str(self.normalizer.normalize_str(run))
+            return b"".join([self.words[piece] for piece, _ in pieces])
+        text = run.lower()
+        if text == run and text.isalpha():
+            return self.word(run)
+        pieces = [text] if text.isalpha() else self.pattern.findall(text)
+        if pieces == [run]:
+            return self.word(run)
+        return b"".join([self.ids[piece] for piece in pieces])  # each is a run that is cut no further
 
     def runs(self, text: str) -> list[str]:
         """A text's runs without white space; the special tokens in it are runs of their own."""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from paddock.session import scratch_path
@@ -26,9 +26,7 @@ from . import (
 )
 from .common import table
 
-#: Folder of the public tokenizers' files.
-TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
