@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from paddock.sources.files import path_exists
 
 IDENTITY = ["file", "length", "modified"]
 FILE_SCHEMA = "file STRING, length BIGINT, modified TIMESTAMP"
-LOG_SCHEMA = f"version BIGINT, run STRING, came BOOLEAN, {FILE_SCHEMA}"
+LOG_SCHEMA = f"version BIGINT, run STRING, came BOOLEAN, note STRING, {FILE_SCHEMA}"
 
 
 def listing(spark: SparkSession, path: str, recursive: bool = True, pattern: bool = False) -> DataFrame:
@@ -57,6 +58,15 @@ class Changes:
         return bool(self.fresh or self.gone)
 
 
+class Entry(NamedTuple):
+    """A run came into force, with what was noted of it, or went."""
+
+    version: int
+    run: str
+    came: bool
+    note: str | None = None
+
+
 class FileLedger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.path = spark, f"{root.rstrip('/')}/log"
@@ -64,23 +74,27 @@ class FileLedger:
     def log(self) -> DataFrame:
         return read_if_present(self.spark, self.path, LOG_SCHEMA)
 
-    def history(self) -> list[tuple[int, str, bool]]:
-        """(version, run, came or went) of every run, in order."""
-        return sorted(map(tuple, self.log().select("version", "run", "came").distinct().collect()))
+    def history(self) -> list[Entry]:
+        """What became of every run, in order."""
+        rows = self.log().select("version", "run", "came", "note").distinct().collect()
+        return sorted((Entry(*r) for r in rows), key=lambda e: (e.version, e.came, e.run))
 
     @staticmethod
-    def runs(history: list[tuple[int, str, bool]], version: int | None = None) -> list[str]:
-        """Runs in force, now or at a version."""
-        came = [r for v, r, yes in history if yes and (version is None or v <= version)]
-        went = {r for v, r, yes in history if not yes and (version is None or v <= version)}
-        return [r for r in came if r not in went]
+    def in_force(history: list[Entry], version: int | None = None) -> list[Entry]:
+        """The runs in force, now or at a version."""
+        until = [e for e in history if version is None or e.version <= version]
+        went = {e.run for e in until if not e.came}
+        return [e for e in until if e.came and e.run not in went]
+
+    def runs(self, history: list[Entry], version: int | None = None) -> list[str]:
+        return [e.run for e in self.in_force(history, version)]
 
     def _files(self, runs: list[str]) -> DataFrame:
         return self.log().where(F.col("came") & F.col("run").isin(runs)).select("run", *IDENTITY)
 
-    def changes(self, now: DataFrame, history: list[tuple[int, str, bool]], anew: bool = False) -> Changes:
+    def changes(self, now: DataFrame, history: list[Entry], anew: bool = False) -> Changes:
         """What is new in a listing; ``anew`` takes every run out of force."""
-        version, runs = max((v for v, _, _ in history), default=0), self.runs(history)
+        version, runs = max((e.version for e in history), default=0), self.runs(history)
         if anew or not runs:
             return Changes(now, version, [], runs, [r["file"] for r in now.select("file").collect()])
         both = now.withColumn("here", F.lit(True)).join(self._files(runs), IDENTITY, "full_outer")
@@ -97,21 +111,22 @@ class FileLedger:
         history = self.history()
         runs = self.runs(history)
         fresh = now.join(self._files(runs), IDENTITY, "left_anti") if runs else now
-        return Changes(now, max((v for v, _, _ in history), default=0), runs, [], [r["file"] for r in fresh.select("file").collect()])
+        return Changes(now, max((e.version for e in history), default=0), runs, [], [r["file"] for r in fresh.select("file").collect()])
 
     @staticmethod
     def new_run() -> str:
         return f"r{uuid.uuid4().hex[:16]}"
 
-    def commit(self, changes: Changes, run: str | None) -> int:
-        """Put ``run`` in force for the fresh files and take the gone ones out; returns the new version."""
+    def commit(self, changes: Changes, run: str | None, note: str | None = None) -> list[Entry]:
+        """Put ``run`` in force for the fresh files and take the gone ones out; returns the new entries."""
         version = F.lit(changes.version + 1).alias("version")
         paths = self.spark.createDataFrame([(p,) for p in changes.fresh], "file STRING")
         # the files as they were listed, not those of another look at the folder
-        rows = changes.now.join(paths, "file", "left_semi").select(version, F.lit(run).alias("run"), F.lit(True).alias("came"), *IDENTITY)
+        rows = changes.now.join(paths, "file", "left_semi").select(version, F.lit(run).alias("run"), F.lit(True).alias("came"), F.lit(note).cast("string").alias("note"), *IDENTITY)
         if changes.gone:
             went = self.spark.createDataFrame([(r,) for r in changes.gone], "run STRING")
             missing = [F.lit(None).cast(t).alias(c) for c, t in zip(IDENTITY, ("string", "long", "timestamp"))]
-            rows = rows.union(went.select(version, "run", F.lit(False), *missing))
+            rows = rows.union(went.select(version, "run", F.lit(False), F.lit(None).cast("string"), *missing))
         rows.coalesce(1).write.mode("append").parquet(self.path)
-        return changes.version + 1
+        came = [Entry(changes.version + 1, run, True, note)] if changes.fresh else []
+        return [*(Entry(changes.version + 1, r, False) for r in changes.gone), *came]

@@ -2,9 +2,9 @@
 
 One run is one pass over the raw files:
 
-1. If the target exists, a small job reads its ``max(date)`` (the column
-   alone, partial max per task; only the latest ``year`` partition when the
-   table is partitioned by year).  The value is carried in a zone-free form
+1. If the target exists, its ``max(date)`` and row count are taken from what
+   earlier runs noted of the files they wrote (``FactTotals``); only files that
+   others wrote are read for them.  The value is carried in a zone-free form
    (epoch microseconds, or wall-clock text for TIMESTAMP_NTZ) and turned back
    into a literal inside the plan, so no time zone touches it and it is
    pushed into the file scan.
@@ -13,13 +13,14 @@ One run is one pass over the raw files:
    taken *during* the write report the new fact rows before the joins and the
    rows written, so no extra count scans the input.
 3. The new watermark is the larger of the old one and the written rows'
-   observed maximum, so the table's date column is not read again; the table
-   total is a count that reads no column.  Observed metrics count successful
-   task attempts only (tested with injected task failures).
+   observed maximum, the table total the old one and the rows written, so the
+   table is not read again.  Observed metrics count successful task attempts
+   only (tested with injected task failures).
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from datetime import date, datetime
@@ -94,6 +95,40 @@ def table_watermark(
     return token, n
 
 
+class FactTotals:
+    """Row count and watermark of a fact table by a ledger of its files, without reading what is known.
+
+    Every run that wrote files is noted with their rows and their largest date, as observed during the
+    write.  Files that others wrote are read once, when they are first met; files that went take
+    their run's note with them.  One writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, table: str):
+        self.spark, self.table, self.location = spark, table, sinks.table_location(spark, table)
+        self.ledger = FileLedger(spark, f"{self.location}_totals")
+        self.history = self.ledger.history()
+
+    def _changes(self) -> Changes:
+        return self.ledger.changes(listing(self.spark, self.location), self.history)
+
+    def _note(self, changes: Changes, token: int | str | None, rows: int) -> None:
+        run = self.ledger.new_run() if changes.fresh else None
+        self.history += self.ledger.commit(changes, run, json.dumps([token, rows]) if run else None)
+
+    def current(self) -> tuple[int | str | None, int]:
+        """``(watermark token, row count)`` of the table as it is now."""
+        if changes := self._changes():
+            fresh = speed_state.scan_files(self.spark, self.table, changes.fresh)
+            self._note(changes, *(watermark_token(fresh, "date") if changes.fresh else (None, 0)))
+        notes = [json.loads(e.note) for e in self.ledger.in_force(self.history)]
+        return max((t for t, _ in notes if t is not None), default=None), sum(n for _, n in notes)
+
+    def wrote(self, token: int | str | None, rows: int) -> None:
+        """Note the files that have come since ``current`` as this run's."""
+        if changes := self._changes():
+            self._note(changes, token, rows)
+
+
 def token_literal(token: int | str, dtype: DataType) -> Column:
     if isinstance(token, str):
         return F.lit(token).cast(dtype)
@@ -155,8 +190,11 @@ def run_ingest(
     date_type = car.schema["date"].dataType
     sinks.attach_if_present(spark, table, path, fmt)
     exists = sinks.table_exists(spark, table)
-    wm_token, rows_before = (None, 0)
-    if exists:
+    wm_token, rows_before, totals = None, 0, None
+    if exists and sinks.is_file_table(spark, table):
+        totals = FactTotals(spark, table)
+        wm_token, rows_before = totals.current()
+    elif exists:
         wm_token, rows_before = table_watermark(spark, table, year_from_date=add_year)
     new = car
     if wm_token is not None:
@@ -190,6 +228,8 @@ def run_ingest(
         rows_written = int(written["n"])
         rows_after = rows_before + rows_written
         token_after = max((t for t in (wm_token, written["wm"]) if t is not None), default=None)
+        if sinks.is_file_table(spark, table):
+            (totals or FactTotals(spark, table)).wrote(written["wm"], rows_written)
     else:
         token_after, rows_after = table_watermark(spark, table, year_from_date=add_year)
         rows_written = rows_after - rows_before

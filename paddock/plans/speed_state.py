@@ -86,9 +86,7 @@ class SpeedState:
         if run:
             part = models.speed_partials(scan_files(self.spark, self.fact, changes.fresh))
             part.write.mode("errorifexists").parquet(f"{self.root}/partials/run={run}")
-        version = self.ledger.commit(changes, run)
-        added = [(version, run, True)] if run else []
-        return version, [*history, *added, *((version, r, False) for r in changes.gone)]
+        return changes.version + 1, [*history, *self.ledger.commit(changes, run)]
 
     def applied(self) -> dict[str, tuple[int, str]]:
         """For each model's table the version that it was last brought to, and its content then."""

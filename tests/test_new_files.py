@@ -80,3 +80,66 @@ def test_a_run_without_new_rows_commits_nothing(spark, raw):  # noqa: F811
     report = ingest.run_ingest(spark, car.where(F.col("rpm") > 0), drivers, sessions, fact, on_schema_change="sync_all_columns")
     assert not report.wrote and report.watermark_after == report.watermark_before and report.table_rows == 6
     assert now() == before and spark.table(fact).schema == schema
+
+
+def unreadable(folder):
+    """Spoil every data file below a folder, under its name, length and time; returns how to undo it."""
+    import glob
+
+    kept = {}
+    for path in glob.glob(f"{folder}/**/*.parquet", recursive=True):
+        with open(path, "rb") as f:
+            kept[path] = f.read(), os.stat(path)
+    def put(spoil):  # noqa: E306
+        for path, (body, at) in kept.items():
+            with open(path, "wb") as out:
+                out.write(b"x" * len(body) if spoil else body)
+            os.utime(path, ns=(at.st_atime_ns, at.st_mtime_ns))
+            crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+            if os.path.exists(crc):
+                os.remove(crc)
+    put(True)
+    return lambda: put(False)
+
+
+def test_a_run_reads_no_row_of_the_fact(spark, raw):  # noqa: F811
+    """Totals, watermark and both models come from what is noted; the fact's old files can't even be read."""
+    tag = uuid.uuid4().hex[:8]
+    drivers, sessions = _dims(spark, raw)
+    root = f"{raw}/tables"
+    t = ingest.DailyTables(f"none_{tag}", f"avg_{tag}", f"gear_{tag}", f"{root}/none", f"{root}/avg", f"{root}/gear")
+
+    def daily():
+        from paddock.sources import files
+
+        return ingest.run_daily(spark, files.read_car_csv(spark, f"{raw}/car_data", "A"), drivers, sessions, t)
+
+    daily()
+    undo = unreadable(f"{root}/none")
+    write_text(f"{raw}/car_data/2023/09/batch2.csv", _csv(CAR_COLUMNS_A, _car_rows(BATCH2)))
+    report = daily()
+    again = daily()
+    undo()
+    assert (report.rows_written, report.table_rows, again.table_rows, again.wrote) == (2, 8, 8, False)
+    assert spark.table(t.fact).count() == 8
+    assert str(report.watermark_after) == str(again.watermark_after) == "2023-09-22 05:00:02"
+    assert spark.table(t.average_speed).count() == 3
+
+
+def test_totals_follow_other_writers_and_removed_rows(spark, raw):  # noqa: F811
+    from paddock.sources import files
+
+    fact = f"totals_{uuid.uuid4().hex[:8]}"
+    drivers, sessions = _dims(spark, raw)
+    path = f"{raw}/tables/{fact}"
+    car = files.read_car_csv(spark, f"{raw}/car_data", "A")
+    ingest.run_ingest(spark, car, drivers, sessions, fact, path=path)
+    rows = sinks.stage_parquet(spark.table(fact))
+    for df in (rows.where("speed = 280"), rows.where("false"), rows):
+        sinks.append(df, fact)
+        totals = ingest.FactTotals(spark, fact).current()
+        assert totals == ingest.table_watermark(spark, fact)
+    sinks.refresh(rows.where("location = 'Monza'"), fact, ["year", "location", "full_name"])
+    assert ingest.FactTotals(spark, fact).current() == ingest.table_watermark(spark, fact)
+    sinks.refresh(rows.where("false"), fact, ["year", "location", "full_name"])
+    assert ingest.FactTotals(spark, fact).current() == (None, 0)

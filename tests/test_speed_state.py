@@ -164,13 +164,14 @@ def test_ledger_compares_path_length_and_time(spark, workdir):
     look = lambda: file_ledger.listing(spark, folder)
     assert ledger.history() == [] and file_ledger.listing(spark, f"{workdir}/none").count() == 0
     first = ledger.changes(look(), [])
-    assert len(first.fresh) == 2 and ledger.commit(first, "r1") == 1
+    assert len(first.fresh) == 2 and [e.version for e in ledger.commit(first, "r1", "noted")] == [1]
     assert not ledger.changes(look(), ledger.history()) and not ledger.unseen(look())
     with open(f"{folder}/a.csv", "w") as out:
         out.write("12\n")  # replaced under its name
     changed = ledger.changes(look(), ledger.history())
     assert changed.gone == ["r1"] and len(changed.fresh) == 2  # its run is taken in anew
     assert [os.path.basename(p) for p in ledger.unseen(look()).fresh] == ["a.csv"]
-    assert ledger.commit(changed, "r2") == 2
+    added = ledger.commit(changed, "r2")
     history = ledger.history()
+    assert history[1:] == added and [e.note for e in history] == ["noted", None, None]
     assert ledger.runs(history) == ["r2"] and ledger.runs(history, 1) == ["r1"]
