@@ -168,3 +168,22 @@ def q_schema_sync(spark, sf_dir):
     return spark.table(name)
 
 
+@register(
+    "schema_drop",
+    f"""SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIMESTAMP '{SCHEMA_CHANGED_AT}' THEN o_orderpriority END AS o_orderpriority, o_orderstatus
+FROM orders""",
+)
+def q_schema_drop(spark, sf_dir):
+    """A column goes and another comes without a data file being written; the table is partitioned."""
+    name, path = scratch_table(spark, "orders_drop")
+    orders = StandIns(spark, sf_dir).t("orders")
+    old = orders.where(F.col("o_orderdate") < ts_ntz(SCHEMA_CHANGED_AT))
+    sinks.create_table(old.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"), name, ["o_orderstatus"], path=path)
+    new = orders.where(F.col("o_orderdate") >= ts_ntz(SCHEMA_CHANGED_AT)).select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    before = sorted(spark.table(name).inputFiles())
+    sinks.sync_all_columns(spark, name, new.schema)
+    assert sorted(spark.table(name).inputFiles()) == before
+    sinks.append(new, name)
+    return spark.table(name)
+
+

@@ -19,6 +19,8 @@ over several tasks and merges small ones, so each task writes few files.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -398,6 +400,42 @@ def align_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
+# Columns that a table's files hold but its definition doesn't any more.
+DROPPED = "paddock.dropped"
+
+
+def _dropped(spark: SparkSession, name: str) -> list[str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return json.loads(next((r["value"] for r in rows if r["key"] == DROPPED), "[]"))
+
+
+def _redefine(spark: SparkSession, name: str, change: SchemaChange, new_schema: StructType) -> bool:
+    """Drop (and add) columns of an external table by defining it anew over the same files; False if it can't be.
+
+    The files keep the dropped columns, which the new definition doesn't read.  So that
+    none comes back to life, their names are kept with the table: when one is added again, or
+    a column changes its type or is one that the table is partitioned by, the caller rewrites
+    the files.  The new definition is made under another name first and then takes the old one's place.
+    """
+    gone, partitions = _dropped(spark, name), partition_columns(spark, name)
+    back = {c.lower() for c in change.added} & {c.lower() for c in [*gone, *change.removed]}
+    fixed = (table_provider(spark, name) or "parquet") not in ("parquet", "orc")  # columns of text files go by place
+    if change.retyped or back or fixed or set(change.removed) & set(partitions) or _table_detail(spark, name, "type") != "EXTERNAL":
+        return False
+    made, location, provider = f"{name}_{uuid.uuid4().hex[:8]}", table_location(spark, name), table_provider(spark, name)
+    # partition columns come last, as everywhere
+    fields = [f for f in new_schema.fields if f.name not in partitions] + [new_schema[c] for c in partitions]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partitions)})" if partitions else ""
+    properties = f"TBLPROPERTIES ('{DROPPED}' = '{json.dumps(sorted({*gone, *change.removed}))}')"
+    spark.sql(f"CREATE TABLE {made} ({columns}) USING {provider} {by} LOCATION '{location}' {properties}")
+    if partitions:
+        spark.sql(f"ALTER TABLE {made} RECOVER PARTITIONS")
+    spark.sql(f"DROP TABLE {name}")  # external: its files stay
+    spark.sql(f"ALTER TABLE {made} RENAME TO {name}")
+    return True
+
+
 def sync_all_columns(
     spark: SparkSession,
     name: str,
@@ -410,7 +448,8 @@ def sync_all_columns(
     retyped columns are cast (a value that does not convert fails the job
     rather than being lost).  Partition columns stay partition columns.  On a
     file table, added columns alone are a metadata change (no data is read or
-    written); a drop or a retype rewrites the table from a staged Parquet copy.
+    written), and so are drops on an external one (``_redefine``); a retype
+    rewrites the table from a staged Parquet copy.
     """
     target = spark.table(name)
     change = schema_change(target.schema, new_schema)
@@ -424,12 +463,14 @@ def sync_all_columns(
         for c in change.retyped:
             spark.sql(f"ALTER TABLE {name} ALTER COLUMN {c} TYPE {new_schema[c].dataType.simpleString()}")
         return change
-    if not change.removed and not change.retyped:
+    if not change.removed and not change.retyped and not {c.lower() for c in change.added} & {c.lower() for c in _dropped(spark, name)}:
         # Additions only: a metadata change; old files read the new columns as NULL.
         cols = ", ".join(f"`{c}` {new_schema[c].dataType.simpleString()}" for c in change.added)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
         return change
     parts = [c for c in partition_columns(spark, name) if c in new_schema.fieldNames()]
+    if _redefine(spark, name, change, new_schema):
+        return change
     staged = stage_parquet(align_to_schema(target, new_schema), "schema-sync")
     refresh(staged, name, parts, table_provider(spark, name) or "parquet", path=path)
     return change
