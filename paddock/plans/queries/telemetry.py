@@ -7,12 +7,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from paddock.operators import incremental, merge, models
+from paddock.operators.enrich import enrich, join_accounts
 from paddock.plans.queries.base import (
     HALF_LOADED, LOADED_BEFORE, ORACLE_SQL, SOURCE_FROM, TARGET_UNTIL,
     enriched_fact, register, ts_ntz,
 )
-from paddock.plans.queries.oracle import SQL_AVG, SQL_AVG_GEAR, SQL_ENRICHED, merge_sql
-from paddock.plans.standins import StandIns
+from paddock.plans.queries.oracle import SQL_AVG, SQL_AVG_GEAR, SQL_CAR, SQL_DRV, SQL_ENRICHED, SQL_SES, merge_sql
+from paddock.plans.standins import StandIns, untidy
 from paddock.schemas import AVERAGE_SPEED_KEYS, AVG_SPEED_GEAR_KEYS
 
 
@@ -23,6 +24,51 @@ def q_enrich(spark, sf_dir):
     return enriched_fact(spark, sf_dir)
 
 
+# The dimensions as `standins.untidy` makes them.
+SQL_UNTIDY = f"""{SQL_CAR}, {SQL_DRV}, {SQL_SES},
+drivers AS (
+  SELECT * FROM drv WHERE CAST(driver_number AS INTEGER) % 7 <> 0
+  UNION ALL SELECT '0' || driver_number, full_name || ' II', team_name FROM drv WHERE CAST(driver_number AS INTEGER) % 5 = 0
+  UNION ALL SELECT 'n' || driver_number, full_name, team_name FROM drv WHERE CAST(driver_number AS INTEGER) % 3 = 0
+  UNION ALL SELECT NULL, full_name, team_name FROM drv WHERE CAST(driver_number AS INTEGER) % 11 = 0),
+sessions AS (
+  SELECT * FROM ses WHERE session_key % 4 <> 0
+  UNION ALL SELECT session_key, location || ' 2', country_name FROM ses WHERE session_key % 6 = 1)"""
+_UNTIDY_JOIN = """
+SELECT d.full_name, d.team_name, c.rpm, c.speed, c.n_gear, c.brake, c.drs, c."date", s.location, s.country_name
+FROM car c {how} JOIN drivers d ON c.driver_number = TRY_CAST(d.driver_number AS INTEGER) {how} JOIN sessions s ON c.session_key = s.session_key"""
+
+
+def _untidy(spark, sf_dir):
+    s = StandIns(spark, sf_dir)
+    return s.car(), *untidy(s.drivers(), s.sessions())
+
+
+@register("enrich_untidy", f"WITH {SQL_UNTIDY} {_UNTIDY_JOIN.format(how='')}")
+def q_enrich_untidy(spark, sf_dir):
+    """Misses, fan-out and keys that are no numbers, on both sides of the join."""
+    return enrich(*_untidy(spark, sf_dir))
+
+
+@register("enrich_keep_all", f"WITH {SQL_UNTIDY} {_UNTIDY_JOIN.format(how='LEFT')}")
+def q_enrich_keep_all(spark, sf_dir):
+    return enrich(*_untidy(spark, sf_dir), keep_all=True)
+
+
+@register(
+    "enrich_accounts",
+    f"""WITH {SQL_UNTIDY},
+f AS (SELECT 'drivers' AS dimension, driver_number AS key, COUNT(*) AS fact_rows FROM car GROUP BY driver_number
+      UNION ALL SELECT 'sessions', session_key, COUNT(*) FROM car GROUP BY session_key),
+k AS (SELECT 'drivers' AS dimension, TRY_CAST(driver_number AS INTEGER) AS key FROM drivers UNION ALL SELECT 'sessions', session_key FROM sessions)
+SELECT f.dimension, f.key, f.fact_rows, COUNT(k.key) AS dimension_rows, f.fact_rows * COUNT(k.key) AS joined_rows
+FROM f LEFT JOIN k ON k.dimension = f.dimension AND k.key = f.key GROUP BY f.dimension, f.key, f.fact_rows""",
+)
+def q_enrich_accounts(spark, sf_dir):
+    """Per key of both dimensions: rows that miss it, and by how much it multiplies them."""
+    return join_accounts(*_untidy(spark, sf_dir))
+
+
 @register(
     "enrich_with_year",
     f'WITH {SQL_ENRICHED} SELECT *, CAST(year("date") AS INTEGER) AS year FROM enriched',

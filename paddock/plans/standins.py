@@ -128,6 +128,23 @@ def products_from_part(part: DataFrame) -> DataFrame:
     return part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("product"))
 
 
+def untidy(drivers: DataFrame, sessions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both dimensions with numbers that are missing, repeated in another spelling, no numbers at all, or NULL."""
+    number, name = F.col("driver_number"), F.col("full_name")
+    key = number.cast("int")
+    drivers = (
+        drivers.where(key % 7 != 0)
+        .unionByName(drivers.where(key % 5 == 0).withColumns({"driver_number": F.concat(F.lit("0"), number), "full_name": F.concat(name, F.lit(" II"))}))
+        .unionByName(drivers.where(key % 3 == 0).withColumn("driver_number", F.concat(F.lit("n"), number)))
+        .unionByName(drivers.where(key % 11 == 0).withColumn("driver_number", F.lit(None).cast("string")))
+    )
+    session = F.col("session_key")
+    sessions = sessions.where(session % 4 != 0).unionByName(
+        sessions.where(session % 6 == 1).withColumn("location", F.concat("location", F.lit(" 2")))
+    )
+    return drivers, sessions
+
+
 class StandIns:
     """Lazily built role frames for one scale-factor folder."""
 

@@ -235,3 +235,20 @@ def test_data_tests_read_each_model_once(spark):
         assert len(re.findall(rf"Location: InMemoryFileIndex \[[^\]]*{table}\.parquet", p)) == 1
     # counted in the scan's own tasks before the one shuffle by value; without unique tests no value is shuffled
     assert p.count("Expand") and len(re.findall(r"Exchange\n.*\n?Arguments: hashpartitioning", p)) <= 1
+
+
+def test_join_accounts_read_the_fact_once(spark):
+    p = plan(registry.QUERIES["enrich_accounts"](spark, SF_SMALL))
+    assert len(re.findall(r"Location: InMemoryFileIndex \[[^\]]*events\.parquet", p)) == 1
+
+
+def test_join_accounts_add_up_to_the_join(spark):
+    accounts = registry.QUERIES["enrich_accounts"](spark, SF_SMALL).collect()
+    kept = registry.QUERIES["enrich_keep_all"](spark, SF_SMALL)
+    total = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    for dimension, column in (("drivers", "full_name"), ("sessions", "location")):
+        of = [r for r in accounts if r.dimension == dimension]
+        assert sum(r.fact_rows for r in of) == total
+        assert any(r.joined_rows == 0 for r in of) and any(r.joined_rows > r.fact_rows for r in of)
+        # rows that miss one dimension stay, once for each match in the other
+        assert (kept.where(F.col(column).isNull()).count() > 0) == any(r.dimension_rows == 0 for r in of)
