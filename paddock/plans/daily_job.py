@@ -39,6 +39,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                    help="read only car files that no earlier run into this fact took in")
     p.add_argument("--input-ledger", default=None, help="folder of the ledger of files taken in (default: <fact-path>_input)")
     p.add_argument("--run-log", default=None, help="run-log table (default: <fact>_runs)")
+    p.add_argument("--bad-lines", default=None, help="table that lines with bad fields are copied to")
+    p.add_argument("--bad-lines-path", default=None, help="external location of that table")
     p.add_argument("--drivers", required=True)
     p.add_argument("--sessions", required=True)
     p.add_argument("--fact", required=True, help="fact table name")
@@ -89,14 +91,16 @@ def main(argv: list[str] | None = None) -> dict:
         if ledger is None:
             raise SystemExit("--new-files-only needs --input-ledger or --fact-path")
         taken = ingest.NewCarFiles(spark, ledger, a.fact, a.fact_path, a.format)
-        car = taken.read(a.car, a.layout, recursive=a.recursive, positional=a.positional)
+        car = taken.read(a.car, a.layout, recursive=a.recursive, positional=a.positional, bad_lines=bool(a.bad_lines))
     else:
         car = files.read_car_csv(spark, a.car, a.layout, recursive=a.recursive, positional=a.positional,
-                                 modified_after=modified_after)
+                                 modified_after=modified_after, bad_lines=bool(a.bad_lines))
     drivers = files.read_drivers(spark, a.drivers)
     sessions = files.read_sessions(spark, a.sessions)
     parts = tuple(c for c in a.partition_by.split(",") if c)
     keys = tuple(c for c in a.driver_keys.split(",") if c)
+    set_aside = ingest.set_aside(car, a.bad_lines, a.bad_lines_path) if a.bad_lines else None
+    car = car.drop(files.BAD_LINE, "_file")
     if a.average_speed and a.avg_speed_gear:
         report = ingest.run_daily(
             spark, car, drivers, sessions,
@@ -113,6 +117,8 @@ def main(argv: list[str] | None = None) -> dict:
     ingest.log_run(spark, log_table, report, started, log_path, source=a.car)
     out = {k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in report.as_dict().items()}
     out["files_modified_after"] = modified_after
+    if set_aside is not None:
+        out["bad_lines"] = set_aside
     if taken is not None:
         out["files_read"] = len(taken.changes.fresh)
     print(json.dumps(out))

@@ -34,7 +34,7 @@ from paddock.operators.enrich import enrich
 from paddock.plans import sinks, speed_state
 from paddock.plans.file_ledger import Changes, FileLedger, listing
 from paddock.schemas import car_schema
-from paddock.sources.files import literal_path, read_car_csv
+from paddock.sources.files import BAD_LINE, literal_path, read_car_csv
 
 
 @dataclass
@@ -48,13 +48,16 @@ class RunReport:
     watermark_after: datetime | None
     # The fact's watermark after the run in its zone-free form (``watermark_token``).
     token_after: int | str | None = None
+    # Lines set aside, None if they weren't looked for.
+    bad_lines: int | None = None
 
     @property
     def wrote(self) -> bool:
         return self.created or self.rows_written > 0
 
     def as_dict(self) -> dict:
-        return {k: v for k, v in asdict(self).items() if k != "token_after"}
+        left_out = {"token_after"} | ({"bad_lines"} if self.bad_lines is None else set())
+        return {k: v for k, v in asdict(self).items() if k not in left_out}
 
 
 def watermark_token(df: DataFrame, column: str) -> tuple[int | str | None, int]:
@@ -177,9 +180,15 @@ def run_ingest(
     fmt: str = "parquet",
     path: str | None = None,
     on_schema_change: str = "fail",
+    bad_lines: str | None = None,
+    bad_lines_path: str | None = None,
 ) -> RunReport:
     """Load car rows newer than the table's watermark into ``table``.
 
+    ``bad_lines`` names a table that lines with bad fields are copied to, once each, when ``car`` was
+    read with them (``read_car_csv(.., bad_lines=True)``).  In the fact such a row is as without it:
+    NULL in the bad fields, and left out if its date is one of them.
+
     A run that finds none leaves an existing table as it is: no file, no schema change.
 
     ``on_schema_change="sync_all_columns"`` first makes an existing table carry
@@ -187,6 +196,12 @@ def run_ingest(
     dropped, retyped ones cast); ``"fail"`` refuses columns that the table lacks,
     ``"ignore"`` leaves them out.
     """
+    if bad_lines is not None:
+        found = set_aside(car, bad_lines, bad_lines_path)
+        report = run_ingest(spark, car.drop(BAD_LINE, "_file"), drivers, sessions, table, partition_cols=partition_cols, add_year=add_year,
+                            driver_keys=driver_keys, fmt=fmt, path=path, on_schema_change=on_schema_change)
+        report.bad_lines = found
+        return report
     date_type = car.schema["date"].dataType
     sinks.attach_if_present(spark, table, path, fmt)
     exists = sinks.table_exists(spark, table)
@@ -250,6 +265,29 @@ def run_ingest(
     )
 
 
+def set_aside(car: DataFrame, table: str, path: str | None = None) -> int:
+    """Copy bad lines that the table doesn't hold yet to it; returns how many came.
+
+    Columns: ``file``, ``line`` and ``fields``, the number of fields that could be read.
+
+    A line that a file holds twice is one.  Without any no table is made.
+    """
+    spark = car.sparkSession
+    fields = [F.col(c).isNotNull().cast("int") for c in car.columns if c not in (BAD_LINE, "_file")]
+    bad = car.where(F.col(BAD_LINE).isNotNull()).select(
+        F.col("_file").alias("file"), F.col(BAD_LINE).alias("line"), sum(fields[1:], fields[0]).alias("fields")
+    ).distinct()
+    sinks.attach_if_present(spark, table, path)
+    if sinks.table_exists(spark, table):
+        bad = bad.join(spark.table(table), ["file", "line"], "left_anti")
+    # few as they are, they are staged, so that the raw files are parsed for them once
+    staged = sinks.stage_parquet(bad, "bad-lines")
+    n = staged.count()
+    if n:
+        sinks.create_or_append(staged, table, path=path)
+    return n
+
+
 def refresh_daily_models(
     spark: SparkSession,
     fact_table: str,
@@ -421,7 +459,10 @@ class NewCarFiles:
         now = listing(self.spark, path, recursive, pattern=not recursive)
         self.changes = self.ledger.unseen(now) if self.known else self.ledger.changes(now, self.ledger.history(), anew=True)
         if not self.changes.fresh:
-            return self.spark.createDataFrame([], car_schema(layout, options.get("ts_type")))
+            schema = car_schema(layout, options.get("ts_type"))
+            if options.get("bad_lines"):
+                schema = schema.add(BAD_LINE, "string").add("_file", "string")
+            return self.spark.createDataFrame([], schema)
         return read_car_csv(self.spark, [literal_path(p) for p in self.changes.fresh], layout, recursive=False, **options)
 
     def done(self) -> None:

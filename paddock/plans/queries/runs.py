@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from paddock.plans import ingest, sinks
+from paddock.plans import ingest, sinks, standins
 from paddock.plans.file_ledger import listing
 from paddock.plans.queries.base import (
     FACT_PARTITIONS, LOADED_BEFORE, enriched_fact, register, scratch_table, ts_ntz,
@@ -165,6 +165,39 @@ def q_ingest_new_files(spark, sf_dir):
     return spark.table(name)
 
 
+# Raw rows of which some have a speed that is no number, some a date that is none.
+_BAD_SPEED, _BAD_DATE = "event_id % 97 = 0", "event_id % 89 = 0"
+_LINE = " || ',' || ".join(
+    {"driver_number": "CAST(user_id AS VARCHAR)", "speed": f"CASE WHEN {_BAD_SPEED} THEN 'fast' ELSE CAST(CAST(FLOOR(value) AS INTEGER) AS VARCHAR) END",
+     "n_gear": "CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 9 AS VARCHAR)", "session_key": "CAST(user_id % 25 AS VARCHAR)",
+     "date": f"CASE WHEN {_BAD_DATE} THEN 'noon' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END"}.get(c, "''")
+    for c in CAR_COLUMNS_A
+)
+
+
+@register("quarantine_bad_lines", f"""
+SELECT line, 5 - CAST(bad_speed AS INTEGER) - CAST(bad_date AS INTEGER) - CAST(gearless AS INTEGER) AS fields, COUNT(DISTINCT part) AS files
+FROM (SELECT {_LINE} AS line, {_BAD_SPEED} AS bad_speed, {_BAD_DATE} AS bad_date, event_id % 3 AS part,
+             json_extract_string(props, '$.k') IS NULL AS gearless FROM events)
+WHERE bad_speed OR bad_date GROUP BY ALL""")
+def q_quarantine_bad_lines(spark, sf_dir):
+    """Lines of an exported tree with fields that can't be parsed, set aside by a run and its repetition, each once."""
+    s = StandIns(spark, sf_dir)
+    root = scratch_path(spark, "raw_bad")
+    car = standins.car_from_events(s.t("events"), keep=["event_id"])
+    car = car.withColumns({
+        "speed": F.when(F.expr(_BAD_SPEED), "fast").otherwise(F.col("speed").cast("string")),
+        "date": F.when(F.expr(_BAD_DATE), "noon").otherwise(F.date_format("date", files.TS_NTZ_FORMAT)),
+        "part": F.col("event_id") % 3,
+    })
+    files.write_csv(car, f"{root}/car_data", columns=CAR_COLUMNS_A, nest_by="part")
+    (name, path), (bad, bad_path) = scratch_table(spark, "fact_bad"), scratch_table(spark, "bad_lines")
+    for _ in range(2):
+        raw = files.read_car_csv(spark, f"{root}/car_data", "A", ts_type=TimestampNTZType(), timestamp_ntz_format=files.TS_NTZ_FORMAT, bad_lines=True)
+        ingest.run_ingest(spark, raw, s.drivers(), s.sessions(), name, partition_cols=FACT_PARTITIONS, path=path, bad_lines=bad, bad_lines_path=bad_path)
+    return spark.table(bad).groupBy("line", "fields").agg(F.count(F.lit(1)).alias("files"))
+
+
 @register("table_in_database", SQL_ENRICHED_YEAR)
 def q_table_in_database(spark, sf_dir):
     """Create a namespace at a scratch location, then a managed table in it,

@@ -19,6 +19,8 @@ frame has exactly the schema of ``paddock.schemas``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
-def car_from_events(events: DataFrame) -> DataFrame:
+def car_from_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     derived = {
         "driver_number": F.col("user_id").cast("int"),
         "speed": F.floor("value").cast("int"),
@@ -60,7 +62,7 @@ def car_from_events(events: DataFrame) -> DataFrame:
         "session_key": (F.col("user_id") % F.lit(SESSIONS_PER_CAR)).cast("int"),
     }
     return events.select(
-        *[(derived[c] if c in derived else F.lit(None).cast("int")).alias(c) for c in CAR_COLUMNS_A]
+        *[(derived[c] if c in derived else F.lit(None).cast("int")).alias(c) for c in CAR_COLUMNS_A], *keep
     )
 
 

@@ -14,6 +14,7 @@ import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from paddock.schemas import car_schema, driver_schema, session_schema
@@ -55,6 +56,7 @@ def read_csv(
     timestamp_ntz_format: str | None = None,
     timestamp_format: str | None = None,
     modified_after: str | None = None,
+    bad_line_column: str | None = None,
 ) -> DataFrame:
     """Read CSV text with a fixed schema.
 
@@ -81,11 +83,17 @@ def read_csv(
         reader = reader.option("timestampNTZFormat", timestamp_ntz_format)
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
+    if bad_line_column:
+        reader = reader.option("columnNameOfCorruptRecord", bad_line_column)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
     return reader.csv(path)
 
 
+#: Holds the whole line of a row with a field that its column's type can't hold, or with a wrong number of fields.
+BAD_LINE = "_bad_line"
+
+
 def read_car_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -93,10 +101,19 @@ def read_car_csv(
     *,
     recursive: bool = True,
     ts_type: DataType | None = None,
+    bad_lines: bool = False,
     **options,
 ) -> DataFrame:
-    """Car telemetry files: a folder tree (``recursive``), a one-level glob, or a list of files."""
-    return read_csv(spark, path, car_schema(layout, ts_type), recursive=recursive, **options)
+    """Car telemetry files: a folder tree (``recursive``), a one-level glob, or a list of files.
+
+    ``bad_lines`` adds ``BAD_LINE`` and the file that a row comes from, for ``ingest.run_ingest`` to set
+    bad lines aside; every field of every line is then parsed, whatever columns are read.
+    """
+    schema = car_schema(layout, ts_type)
+    if not bad_lines:
+        return read_csv(spark, path, schema, recursive=recursive, **options)
+    car = read_csv(spark, path, schema.add(BAD_LINE, "string"), recursive=recursive, bad_line_column=BAD_LINE, **options)
+    return car.select("*", F.col("_metadata.file_path").alias("_file"))
 
 
 def read_drivers(spark: SparkSession, path: str, **options) -> DataFrame:

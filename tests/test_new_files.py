@@ -143,3 +143,27 @@ def test_totals_follow_other_writers_and_removed_rows(spark, raw):  # noqa: F811
     assert ingest.FactTotals(spark, fact).current() == ingest.table_watermark(spark, fact)
     sinks.refresh(rows.where("false"), fact, ["year", "location", "full_name"])
     assert ingest.FactTotals(spark, fact).current() == (None, 0)
+
+
+def test_bad_lines_are_set_aside_once(spark, raw):  # noqa: F811
+    from paddock.sources import files
+
+    fact, bad = f"aside_{uuid.uuid4().hex[:8]}", f"bad_{uuid.uuid4().hex[:8]}"
+    drivers, sessions = _dims(spark, raw)
+    good = _csv(CAR_COLUMNS_A, _car_rows(BATCH1))
+    lines = ["1,1,fast,8,9,0,0,2023-09-01 14:00:00.000,100,1", "1,1,300,8,9,0,0,noon,100,1", "44,1,300", "x" * 5000]
+
+    def run_once():
+        car = files.read_car_csv(spark, f"{raw}/car_data", "A", bad_lines=True)
+        return ingest.run_ingest(spark, car, drivers, sessions, fact, path=f"{raw}/tables/{fact}", bad_lines=bad, bad_lines_path=f"{raw}/tables/{bad}")
+
+    report = run_once()
+    assert (report.rows_written, report.bad_lines) == (6, 0) and not sinks.table_exists(spark, bad)
+    write_text(f"{raw}/car_data/x.csv", "\n".join([good.splitlines()[0], *lines, lines[0]]) + "\n")
+    report = run_once()
+    assert report.bad_lines == 4
+    got = {r.line: r.fields for r in spark.table(bad).collect()}
+    assert set(got) == set(lines) and got[lines[0]] == 9 and got[lines[3]] == 0
+    # as without setting them aside: no date, or one below the watermark
+    assert report.rows_written == 0
+    assert run_once().bad_lines == 0
