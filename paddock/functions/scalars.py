@@ -1,6 +1,7 @@
 """Column-expression helpers: calendar, JSON maps, report lines.
 
-All are built from JVM-side functions, so they stay inside whole-stage codegen.
+All are built from JVM-side functions, no Python runs.  They stay inside whole-stage codegen, but for
+the sum over a map's values, whose lambda Spark interprets.
 """
 
 from __future__ import annotations

@@ -16,9 +16,7 @@ from paddock.schemas import (
 
 
 def _maybe_dimension(df: DataFrame, broadcast: bool | None) -> DataFrame:
-    if broadcast is None:
-        return dimension(df)
-    return F.broadcast(df) if broadcast else df
+    return df if broadcast is False else dimension(df)
 
 
 def enrich(
@@ -46,8 +44,8 @@ def enrich(
       appears n times in the driver file yields n output rows per car row.
       Pass ``driver_keys=("driver_number", "session_key")`` to key on both.
     - Only the needed dimension columns are kept before the join, and a
-      dimension is broadcast only after it is measured small (``broadcast=None``);
-      otherwise the join is a shuffle join keyed on the same columns.
+      dimension is broadcast only after it is measured small, and never with
+      ``broadcast=False``; otherwise the join is a shuffle join keyed on the same columns.
     """
     drv_cols = [
         F.col(k).try_cast("int").alias(f"_drv_{k}") for k in driver_keys

@@ -129,13 +129,12 @@ def purchase_enriched(
     broadcast: bool | None = None,
 ) -> DataFrame:
     """purchases(id, name, region, product, qty) joined to region and product
-    names: (id, name, region <- region name, product <- product name, qty)."""
+    names: (id, name, region <- region name, product <- product name, qty).
+    Both are broadcast if they are measured small, unless ``broadcast`` is False."""
     r = regions.select(F.col("id").alias("_r_id"), F.col("name").alias("_r_name"))
     p = products.select(F.col("id").alias("_p_id"), F.col("product").alias("_p_product"))
-    if broadcast is None:
+    if broadcast is not False:
         r, p = dimension(r), dimension(p)
-    elif broadcast:
-        r, p = F.broadcast(r), F.broadcast(p)
     return (
         purchases.join(r, purchases["region"] == r["_r_id"], "inner")
         .join(p, purchases["product"] == p["_p_id"], "inner")

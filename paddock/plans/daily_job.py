@@ -58,6 +58,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--database", default=None, help="CREATE DATABASE IF NOT EXISTS first")
     p.add_argument("--on-schema-change", default="sync_all_columns", choices=["sync_all_columns", "fail", "ignore"],
                    help="what becomes of columns that come or go; 'ignore' leaves new ones out")
+    p.add_argument("--shuffle-gb", type=int, default=None, help="the most that one shuffle is expected to carry; widens it beyond 1 TB")
     p.add_argument("--profile", default="cluster", choices=["cluster", "local"],
                    help="session sizing (cluster: wide shuffles coalesced by AQE)")
     return p.parse_args(argv)
@@ -70,7 +71,7 @@ def main(argv: list[str] | None = None) -> dict:
 
     a = parse_args(argv)
     started = int(time.time())
-    spark = build_session(app_name="paddock-daily", profile=a.profile)
+    spark = build_session(app_name="paddock-daily", profile=a.profile, shuffle_bytes=a.shuffle_gb << 30 if a.shuffle_gb else None)
     if a.database:
         tables.ensure_database(spark, a.database)
     log_table = a.run_log or f"{a.fact}_runs"

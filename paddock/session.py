@@ -30,12 +30,15 @@ DEFAULT_CONF: dict[str, str] = {
 
 
 # Sizing for a large cluster (hundreds of executors, tens of TB per run).
-# Shuffles start wide and AQE merges them towards the advisory size, so no
-# task holds more than a few hundred MB; raw files are split at the same size;
-# a partition counts as skewed from 1 GB and 5x the median and is then split.
+# Shuffles start wide and AQE merges them towards the advisory size; raw files are
+# split at the same size; a partition counts as skewed from 1 GB and 5x the median
+# and is then split.  4,000 partitions keep a task at the advisory size up to 1 TB in one
+# shuffle; for more pass ``shuffle_bytes`` (the star join doesn't shuffle the fact, but a
+# first load's partitioned write does).
+ADVISORY_BYTES = 256 << 20
 CLUSTER_CONF: dict[str, str] = {
     "spark.sql.shuffle.partitions": "4000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_BYTES),
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
@@ -53,10 +56,12 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
     profile: str = "local",
+    shuffle_bytes: int | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the package defaults applied.
 
-    ``profile="cluster"`` adds ``CLUSTER_CONF``; explicit arguments win.
+    ``profile="cluster"`` adds ``CLUSTER_CONF``; explicit arguments win.  ``shuffle_bytes``, the most that one
+    shuffle is expected to carry, widens its shuffles to partitions of the advisory size.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -64,6 +69,9 @@ def build_session(
     conf = dict(DEFAULT_CONF)
     if profile == "cluster":
         conf.update(CLUSTER_CONF)
+    if shuffle_bytes is not None:
+        wide = -(-shuffle_bytes // ADVISORY_BYTES)
+        conf["spark.sql.shuffle.partitions"] = str(max(wide, int(conf.get("spark.sql.shuffle.partitions", "200"))))
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
