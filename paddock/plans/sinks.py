@@ -420,6 +420,8 @@ def _redefine(spark: SparkSession, name: str, change: SchemaChange, new_schema:
     gone, partitions = _dropped(spark, name), partition_columns(spark, name)
     back = {c.lower() for c in change.added} & {c.lower() for c in [*gone, *change.removed]}
     fixed = (table_provider(spark, name) or "parquet") not in ("parquet", "orc")  # columns of text files go by place
+    if name.count(".") > 1:  # a table can't be renamed by a name with its catalog in it
+        return False
     if change.retyped or back or fixed or set(change.removed) & set(partitions) or _table_detail(spark, name, "type") != "EXTERNAL":
         return False
     made, location, provider = f"{name}_{uuid.uuid4().hex[:8]}", table_location(spark, name), table_provider(spark, name)

@@ -102,6 +102,7 @@ class SpeedState:
 
 def content(spark: SparkSession, table: str) -> str:
     """A hash of the names of a table's files; a write, whoever makes it, changes it."""
+    spark.catalog.refreshTable(table)  # another process's write isn't in this one's file list
     return sha256("\n".join(sorted(spark.table(table).inputFiles())).encode()).hexdigest()
 
 
