@@ -183,7 +183,7 @@ def test_url_rules(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = ent.queries()[name](spark, SF)
     got = con.execute(queries.ORACLE_SQL[name])
